@@ -1,0 +1,63 @@
+"""Joins that survive a hot key.
+
+Adaptive execution splits a hot partition only when both join inputs are plain
+shuffles.  ``join_unique`` is for the other case: the right side is the result
+of a window or an aggregate on the join key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot when it holds more than one row in HOT_FRACTION, so there are
+# at most HOT_FRACTION of them.
+HOT_FRACTION = 64
+_TRACKED = 8 * HOT_FRACTION
+_SKETCH_GROUPS = 256
+
+
+def hot_keys(df: DataFrame, key: str, fraction: int = HOT_FRACTION) -> list:
+    """The values of ``key`` held by more than 1/fraction of the rows.
+
+    Frequent-item sketches are merged in two steps, so no task receives the
+    sketch of every input split.  A sketch may name a key that is a little
+    colder; it misses none that is hot.
+    """
+    groups = (df.select(key)
+              .groupBy(F.expr(f"pmod(spark_partition_id(), {_SKETCH_GROUPS})"))
+              .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {_TRACKED})").alias("sketch"),
+                   F.count("*").alias("n")))
+    top = groups.agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {_TRACKED}), {fraction})")
+        .alias("top"), F.sum("n").alias("n")).first()
+    if not top.n:
+        return []
+    return [item["item"] for item in top.top if item["count"] * fraction > top.n]
+
+
+def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left",
+                salts: int = 64) -> DataFrame:
+    """``left`` join ``right`` on ``key``, where ``right`` has one row per key.
+
+    Rows of hot keys on the left go to ``salts`` partitions each, and only
+    those keys are repeated on the right.  NULL keys match nothing and are
+    spread the same way.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"unsupported join type {how}")
+    hot = hot_keys(left, key)
+    if not hot:
+        return left.join(right, key, how)
+    values = [value for value in hot if value is not None]
+    is_hot = F.col(key).isNull()
+    if values:
+        is_hot = is_hot | F.col(key).isin(values)
+    # Split and row content decide the salt: a recomputed split gets the same
+    # salts, and copies of one row still part between splits.
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts))
+    salted = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
+    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    repeated = right.withColumn("_salt", F.explode(
+        F.when(is_hot, all_salts).otherwise(F.array(F.lit(0).cast("bigint")))))
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
