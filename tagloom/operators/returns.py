@@ -16,6 +16,10 @@ from ..functions.tagrows import tag_rows
 from ..settings import TAG_IDS, ReturnSettings
 
 
+# returned / paid to two places, half up, in whole numbers; NULL without orders.
+RATE = "((200 * returned + paid) div nullif(2 * paid, 0)) / 100"
+
+
 def _paid_in_window(orders: DataFrame, as_of: Day, settings: ReturnSettings) -> DataFrame:
     first = days_before(as_of, settings.window_days)
     return (orders
@@ -74,6 +78,4 @@ def tag_return_rate(orders: DataFrame, returns: DataFrame, as_of: Day,
     counts = (window_orders(orders, returns, as_of, settings)
               .groupBy("user_id")
               .agg(F.count("order_id").alias("paid"), F.sum("returned").alias("returned")))
-    # Whole-number rounding: exact, and NULL for a user without order ids.
-    hundredths = F.expr("(200 * returned + paid) div nullif(2 * paid, 0)")
-    return tag_rows(counts, TAG_IDS["return_goods_rate"], "user_id", hundredths / 100)
+    return tag_rows(counts, TAG_IDS["return_goods_rate"], "user_id", F.expr(RATE))

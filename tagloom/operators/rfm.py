@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from ..functions.days import Day, parse_day, partition_value
 from ..functions.tagrows import tag_rows
 from ..settings import RFM_USER_TAG_PREFIX, RfmSettings
-from .skew import join_unique
 
 
 def latest_country(user_info: DataFrame, snapshot: Day,
@@ -18,7 +17,10 @@ def latest_country(user_info: DataFrame, snapshot: Day,
 
     Equal dates are resolved by country name.
     """
-    newest = Window.partitionBy("user_id").orderBy(
+    # All rows have one data_date.  With it among the keys, a join on user_id
+    # shuffles the ranked rows by itself, and adaptive execution can split a
+    # hot user only when both join inputs are plain shuffles.
+    newest = Window.partitionBy("user_id", "data_date").orderBy(
         F.col("last_date").desc(), F.col("country").asc())
     return (user_info
             .filter((F.col("data_date") == partition_value(snapshot))
@@ -47,7 +49,7 @@ def rfm_base(consume: DataFrame, user_info: DataFrame, snapshot: Day,
                     & F.col("last_order_paid_time").isNotNull())
             .select("user_id", "last_1y_paid_orders", "last_1y_paid_order_amount",
                     _last_pay_date(consume).alias("last_pay_date")))
-    joined = join_unique(paid, latest_country(user_info, snapshot, settings), "user_id", "left")
+    joined = paid.join(latest_country(user_info, snapshot, settings), "user_id", "left")
     return joined.select("user_id", "country", "last_1y_paid_orders",
                          "last_1y_paid_order_amount", "last_pay_date")
 

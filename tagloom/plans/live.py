@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tagloom.session import build_session
+from tagloom.session import STREAMING, build_session
 from tagloom.sources.kafka import kafka_options, kafka_stream, topic_list
 from tagloom.streaming import events, runner, words
 from tagloom.streaming.offsets import OffsetLedger, OffsetReporter
@@ -66,7 +66,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--jdbc-driver", default="com.mysql.jdbc.Driver")
     args = parser.parse_args(argv)
 
-    spark = build_session(args.job)
+    spark = build_session(args.job, **STREAMING)
     spark.streams.addListener(OffsetReporter(
         lambda batch, rows, ranges: print(f"batch {batch}: {rows} messages", *ranges, sep="\n")))
     messages = kafka_stream(spark, kafka_options(args.servers, args.topics, args.start,
