@@ -19,6 +19,8 @@ from ..functions.tagrows import tag_schema
 from ..session import path_exists
 
 PARTITIONS = ("data_date", "tagtype")
+_DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic",
+            "hive.exec.dynamic.partition.mode": "nonstrict"}
 
 
 @dataclass(frozen=True)
@@ -124,9 +126,20 @@ class CatalogTagTable(TagTable):
         return not self.spark.sql(f"SHOW PARTITIONS {self.location} {spec}").isEmpty()
 
     def _replace(self, rows: DataFrame) -> None:
-        # insertInto takes columns by position.
-        (rows.select(*self.read().columns).write
-         .option("partitionOverwriteMode", "dynamic").insertInto(self.location, overwrite=True))
+        # Catalog tables take the overwrite mode from the session only.
+        conf = self.spark.conf
+        before = {key: conf.get(key, None) for key in _DYNAMIC}
+        try:
+            for key, value in _DYNAMIC.items():
+                conf.set(key, value)
+            # insertInto takes columns by position.
+            rows.select(*self.read().columns).write.insertInto(self.location, overwrite=True)
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    conf.unset(key)
+                else:
+                    conf.set(key, value)
 
     def _clear(self, data_date: str, tagtype: str) -> None:
         spec = self._spec(data_date, tagtype)

@@ -1,0 +1,70 @@
+"""The daily jobs as they are launched."""
+
+from decimal import Decimal
+
+import pytest
+
+from conftest import rows
+from tagloom.operators.writer import PathTagTable
+from tagloom.plans import daily
+
+DAY = "20240131"
+
+
+@pytest.fixture
+def upstream(spark, tmp_path):
+    tables = {
+        "user_info": ([(1, "MY", 600, "2024-01-01", Decimal("0.00"), DAY),
+                       (2, "ID", 900, "2024-01-01", Decimal("5.00"), DAY)],
+                      "user_id bigint, country string, site_id int, last_date string, "
+                      "paid_order_amount decimal(18,2), data_date string"),
+        "user_consume_info": ([(1, 4, Decimal("500.00"), "20240120101010", "JC", DAY),
+                               (2, 1, Decimal("10.00"), "20230101101010", "JC", DAY)],
+                              "user_id bigint, last_1y_paid_orders bigint, "
+                              "last_1y_paid_order_amount decimal(18,2), last_order_paid_time string, "
+                              "app_name string, data_date string"),
+        "cookie_user_relation": ([("x", 1, "1", "1"), ("y", 2, "1", "1"), ("z", 9, "1", "1")],
+                                 "cookie_id string, userid bigint, last_time string, last_date string"),
+        "order_fact": ([(2, 7, Decimal("5.00"), 1, "2024-01-30 10:00:00", "2024-01-30 10:00:00"),
+                        (2, 8, Decimal("1.50"), 3, "2024-01-31 10:00:00", "2024-01-31 10:00:00")],
+                       "user_id bigint, order_id bigint, order_total_amount decimal(18,2), "
+                       "pay_status int, pay_time string, result_pay_time string"),
+        "returned_order_info": ([(2, 7, 0, 0, 1706659200)],
+                                "user_id bigint, returned_order_id bigint, return_status int, "
+                                "site_id int, returned_time bigint"),
+        "sms_delivered": ([(5, "9", "2024-01-01 00:00:00")],
+                          "user_id bigint, status_code string, event_captured_dt string"),
+    }
+    arguments = []
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}")
+        arguments += ["--source", f"{name}={tmp_path}/{name}"]
+    return arguments
+
+
+def test_jobs(spark, tmp_path, upstream):
+    where = ["--tags", f"{tmp_path}/tags", "--cookie-tags", f"{tmp_path}/cookies", *upstream]
+    for _ in range(2):
+        assert daily.main(["rfm", DAY, *where]) == {"rfm_model": 2}
+        assert daily.main(["cookie-rfm", DAY, *where]) == {"cookie_rfm_model": 2}
+        assert daily.main(["paid-info", DAY, *where]) == {
+            "userid_all_paid_money": 1, "userid_all_paid_times": 1, "userid_last_paid": 1,
+            "userid_regist_notpaid": 1}
+        assert daily.main(["return-rate", DAY, *where]) == {"return_goods_rate": 1}
+        assert daily.main(["sms-blacklist", DAY, "--bootstrap", *where]) == {"sms_blacklist": 1}
+    assert rows(PathTagTable(spark, f"{tmp_path}/tags").read(), "tagtype", "tagid", "userid", "tagweight") == [
+        ("return_goods_rate", "B220U071_001", "2", "0.5"),
+        ("rfm_model", "A111U008_001", "1", ""), ("rfm_model", "A111U008_008", "2", ""),
+        ("sms_blacklist", "B120U037_003", "5", ""),
+        ("userid_all_paid_money", "A220U083_001", "2", "6.50"),
+        ("userid_all_paid_times", "A220U087_001", "2", "2"),
+        ("userid_last_paid", "A220U084_001", "2", "0"),
+        ("userid_regist_notpaid", "A220U088_001", "1", "")]
+    assert rows(PathTagTable(spark, f"{tmp_path}/cookies", "cookieid").read(), "tagid", "cookieid") == [
+        ("A111H008_001", "x"), ("A111H008_008", "y")]
+
+
+def test_recency_day_is_an_argument(spark, tmp_path, upstream):
+    daily.main(["rfm", DAY, "--recency-as-of", "20240901", "--tags", f"{tmp_path}/tags", *upstream])
+    assert rows(PathTagTable(spark, f"{tmp_path}/tags").read(), "userid", "tagid") == [
+        ("1", "A111U008_002"), ("2", "A111U008_008")]

@@ -1,0 +1,52 @@
+import pytest
+
+from tagloom.functions.messages import extract_events
+
+GOOD = "2018-09-30 16:00:00"   # 1538323200 in UTC
+UNKNOWN = "(unknown)"
+INFO = '"i":{"timestamp":1538323200}'
+
+CASES = [
+    ('{%s,"d":{"d":"dev"}}' % INFO, GOOD, "dev"),
+    ('{"x":[1,{"d":2}],"d":{"k":1,"d":"dev"},"i":{"a":"b","timestamp":1538323200}}', GOOD, "dev"),
+    ("not json", UNKNOWN, UNKNOWN),
+    (None, UNKNOWN, UNKNOWN),
+    ("", UNKNOWN, UNKNOWN),
+    ("[1]", UNKNOWN, UNKNOWN),
+    ('{"d":{"d":"dev"}}', UNKNOWN, "dev"),                                  # no i
+    ('{"i":{},"d":{"d":"dev"}}', UNKNOWN, "dev"),                           # no timestamp
+    ('{"i":{"timestamp":null},"d":{"d":"dev"}}', UNKNOWN, "dev"),
+    ('{"i":{"timestamp":"soon"},"d":{"d":"dev"}}', UNKNOWN, "dev"),
+    ('{"i":{"timestamp":"1538323200"},"d":{"d":"dev"}}', GOOD, "dev"),      # a number as text
+    ('{"i":{"timestamp":1538323200000},"d":{"d":"dev"}}', "50717-07-10 16:00:00", "dev"),
+    ('{"i":{"timestamp":9223372036854775807},"d":{"d":"dev"}}', UNKNOWN, "dev"),
+    ('{%s}' % INFO, GOOD, UNKNOWN),                                         # no d
+    ('{%s,"d":"text"}' % INFO, GOOD, UNKNOWN),
+    ('{%s,"d":[{"d":1}]}' % INFO, GOOD, UNKNOWN),
+    ('{%s,"d":null}' % INFO, GOOD, UNKNOWN),
+    ('{%s,"d":{}}' % INFO, GOOD, "null"),
+    ('{%s,"d":{"d":null}}' % INFO, GOOD, "null"),
+    ('{%s,"d":{"d":""}}' % INFO, GOOD, UNKNOWN),
+    ('{%s,"d":{"d":"##x"}}' % INFO, GOOD, UNKNOWN),
+    ('{%s,"d":{"d":"a##b##c"}}' % INFO, GOOD, "a"),
+    ('{%s,"d":{"d":"a#b"}}' % INFO, GOOD, "a#b"),
+    ('{%s,"d":{"d":17}}' % INFO, GOOD, "17"),
+    ('{%s,"d":{"d":{"e":1}}}' % INFO, GOOD, '{"e":1}'),
+]
+
+
+@pytest.fixture(scope="module")
+def extracted(spark):
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "id int, value string")
+    return {r.id: (r.data_date, r.cookies_num) for r in extract_events(df, "id").collect()}
+
+
+@pytest.mark.parametrize("number", range(len(CASES)))
+def test_fields(extracted, number):
+    assert extracted[number] == CASES[number][1:]
+
+
+def test_session_time_zone(spark, changed_conf):
+    changed_conf(spark__sql__session__timeZone="Asia/Shanghai")
+    df = spark.createDataFrame([(CASES[0][0],)], "value string")
+    assert extract_events(df).first().data_date == "2018-10-01 00:00:00"
