@@ -36,16 +36,24 @@ def days_before(day: Day, days: int) -> dt.date:
     return parse_day(day) - dt.timedelta(days=days)
 
 
-def in_days(df: DataFrame, column: str, first: Day, last: Day) -> Column:
-    """Rows of ``df`` whose ``column`` falls on a day in [first, last]."""
-    start, stop = parse_day(first), days_before(last, -1)
-    kind, value = df.schema[column].dataType, F.col(column)
+def _start_of(day: dt.date, kind: T.DataType) -> Column:
+    """The first value of a day in a column of type ``kind``."""
     if isinstance(kind, T.StringType):
-        return (value >= start.isoformat()) & (value < stop.isoformat())
+        return F.lit(day.isoformat())
     if isinstance(kind, T.IntegralType):
-        start, stop = (F.unix_timestamp(F.lit(d).cast("timestamp")) for d in (start, stop))
-        return (value >= start) & (value < stop)
-    return (value >= F.lit(start).cast(kind)) & (value < F.lit(stop).cast(kind))
+        return F.unix_timestamp(F.lit(day).cast("timestamp"))
+    return F.lit(day).cast(kind)
+
+
+def since_day(df: DataFrame, column: str, first: Day) -> Column:
+    """Rows of ``df`` whose ``column`` falls on ``first`` or a later day."""
+    return F.col(column) >= _start_of(parse_day(first), df.schema[column].dataType)
+
+
+def in_days(df: DataFrame, column: str, first: Day, last: Day) -> Column:
+    """Rows of ``df`` whose ``column`` falls on a day in [first, last]."""
+    stop = _start_of(days_before(last, -1), df.schema[column].dataType)
+    return since_day(df, column, first) & (F.col(column) < stop)
 
 
 def day_of(df: DataFrame, column: str) -> Column:

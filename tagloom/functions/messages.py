@@ -5,34 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Text for an unreadable field, and where an id is cut.
 UNKNOWN = "(unknown)"
 ID_SEPARATOR = "##"
 # Seconds whose microseconds still fit a timestamp.
 _LAST_SECOND = (2**63 - 1) // 10**6
 
 
-def event_time(info: Column) -> Column:
-    """Local ``yyyy-MM-dd HH:mm:ss`` of the message's epoch seconds."""
-    seconds = F.get_json_object(info, "$.timestamp").try_cast("bigint")
+def event_time(seconds: Column) -> Column:
+    """Local ``yyyy-MM-dd HH:mm:ss`` of epoch seconds."""
     text = F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd HH:mm:ss")
     # Years past 9999 come with a plus sign.
-    return F.coalesce(
-        F.when(seconds.between(-_LAST_SECOND, _LAST_SECOND), F.ltrim(text, F.lit("+"))),
-        F.lit(UNKNOWN))
+    readable = F.when(seconds.between(-_LAST_SECOND, _LAST_SECOND), F.ltrim(text, F.lit("+")))
+    return F.coalesce(readable, F.lit(UNKNOWN))
 
 
-def device_id(device: Column) -> Column:
-    """The inner ``d``: ``"null"`` when absent, unknown when ``d`` is no object
-    or the id is empty; an id is cut at its first separator."""
-    inner = F.coalesce(F.get_json_object(device, "$.d"), F.lit("null"))
-    head = F.substring_index(inner, ID_SEPARATOR, 1)
+def device_id(device: Column, inner: Column) -> Column:
+    """The id in the member ``d``: ``"null"`` when the object has none, unknown
+    when the member is no object or the id is empty."""
+    head = F.substring_index(F.coalesce(inner, F.lit("null")), ID_SEPARATOR, 1)
     return (F.when(F.ltrim(device).startswith("{") & (head != ""), head)
             .otherwise(F.lit(UNKNOWN)))
 
 
 def extract_events(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:
     """Message rows → (*keep, data_date, cookies_num)."""
-    # One pass over the message; both members stay raw JSON text.
-    parsed = messages.select(*keep, F.from_json(value, "i STRING, d STRING").alias("m"))
-    return parsed.select(*keep, event_time(F.col("m.i")).alias("data_date"),
-                         device_id(F.col("m.d")).alias("cookies_num"))
+    # The message is read once; its two members stay JSON text.
+    members = messages.select(*keep, F.json_tuple(value, "i", "d").alias("i", "d"))
+    fields = members.select(
+        *keep, "d", F.get_json_object("i", "$.timestamp").try_cast("bigint").alias("seconds"),
+        F.get_json_object("d", "$.d").alias("inner"))
+    return fields.select(*keep, event_time(F.col("seconds")).alias("data_date"),
+                         device_id(F.col("d"), F.col("inner")).alias("cookies_num"))

@@ -35,11 +35,11 @@ def _returned_in_window(orders: DataFrame, returns: DataFrame, as_of: Day,
     return (returns
             .filter(F.col("return_status").isin(*settings.return_statuses)
                     & F.col("site_id").isin(*settings.site_ids)
-                    & in_days(returns, "returned_time", first, as_of)
-                    # A missing key equals no key.
-                    & F.col("user_id").isNotNull() & F.col("returned_order_id").isNotNull())
-            .select(F.col("user_id").cast(kinds["user_id"]).alias("user_id"),
-                    F.col("returned_order_id").cast(kinds["order_id"]).alias("order_id")))
+                    & in_days(returns, "returned_time", first, as_of))
+            .select(F.col("user_id").try_cast(kinds["user_id"]).alias("user_id"),
+                    F.col("returned_order_id").try_cast(kinds["order_id"]).alias("order_id"))
+            # A missing key equals no key.
+            .filter("user_id IS NOT NULL AND order_id IS NOT NULL"))
 
 
 def window_orders(orders: DataFrame, returns: DataFrame, as_of: Day,

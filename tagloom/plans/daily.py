@@ -57,10 +57,13 @@ def run_return_rate(sources: Sources, tags: TagTable, day: Day,
 
 
 def run_sms_blacklist(sources: Sources, tags: TagTable, day: Day, bootstrap: bool = False,
-                      settings: SmsSettings = SmsSettings()) -> Written:
+                      settings: SmsSettings = SmsSettings(),
+                      hard_since: Day | None = None) -> Written:
     """Today's blacklist on top of yesterday's partition of the same table."""
     previous = tags.previous_state(days_before(day, 1), "sms_blacklist", bootstrap)
-    rows = sms.sms_blacklist(sources["sms_delivered"](), previous, day, settings)
+    if previous is None:
+        hard_since = None
+    rows = sms.sms_blacklist(sources["sms_delivered"](), previous, day, settings, hard_since)
     return tags.overwrite(rows, day, "sms_blacklist")
 
 
@@ -84,6 +87,8 @@ def main(argv: list[str] | None = None) -> Written:
                         help="table or path of an upstream table")
     parser.add_argument("--recency-as-of", type=parse_day)
     parser.add_argument("--bootstrap", action="store_true", help="first day of a blacklist")
+    parser.add_argument("--hard-since", type=parse_day,
+                        help="earlier permanent SMS failures are all in the previous blacklist")
     parser.add_argument("--hive", action="store_true", help="use the Hive metastore")
     args = parser.parse_args(argv)
 
@@ -103,7 +108,7 @@ def main(argv: list[str] | None = None) -> Written:
         return run_paid_info(sources, tags, args.day)
     if args.job == "return-rate":
         return run_return_rate(sources, tags, args.day)
-    return run_sms_blacklist(sources, tags, args.day, args.bootstrap)
+    return run_sms_blacklist(sources, tags, args.day, args.bootstrap, hard_since=args.hard_since)
 
 
 if __name__ == "__main__":

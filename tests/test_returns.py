@@ -48,6 +48,15 @@ def test_returns_need_status_site_day_and_a_paid_order(spark):
         (None, "0.0"), ("1", "0.25"), ("2", "0.0"), ("3", None)]
 
 
+def test_keys_of_another_type(spark):
+    orders = spark.createDataFrame([(1, 10, 1, at(0)), (None, 10, 1, at(0))], ORDERS)
+    returned = spark.createDataFrame(
+        [("1", "10", 0, 0, seconds(0)), ("x", "10", 0, 0, seconds(0))],
+        RETURNS.replace("user_id bigint", "user_id string").replace("order_id bigint", "order_id string"))
+    assert rows(returns.tag_return_rate(orders, returned, DAY), "userid", "tagweight") == [
+        (None, "0.0"), ("1", "1.0")]
+
+
 def test_half_up_rounding(spark):
     orders = spark.createDataFrame([(1, n, 1, at(0)) for n in range(200)], ORDERS)
     returned = spark.createDataFrame([(1, n, 0, 0, seconds(0)) for n in range(57)], RETURNS)
