@@ -115,3 +115,21 @@ def test_hot_user_is_split(spark, changed_conf, tmp_path):
     assert len(found) == 60000 and len({r.last_1y_paid_orders for r in found}) == 60000
     assert sum(r.country is None for r in found) == 20000
     assert "skew=true" in base._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, changed_conf):
+    changed_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    (spark.range(50).selectExpr(
+        "id AS user_id", "id AS last_1y_paid_orders", "CAST(5 AS DECIMAL(18,2)) AS last_1y_paid_order_amount",
+        "'20240401' AS last_order_paid_time", "'JC' AS app_name", f"'{DAY}' AS data_date")
+     .write.bucketBy(4, "user_id").mode("overwrite").saveAsTable("bucketed_consume"))
+    (spark.range(40).selectExpr("id AS user_id", "'MY' AS country", "600 AS site_id", "'x' AS last_date",
+                                f"'{DAY}' AS data_date")
+     .write.bucketBy(4, "user_id").mode("overwrite").saveAsTable("bucketed_users"))
+    try:
+        base = rfm.rfm_base(spark.table("bucketed_consume"), spark.table("bucketed_users"), DAY)
+        assert base.count() == 50 and base.filter("country IS NULL").count() == 10
+        assert "Exchange" not in base._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql("DROP TABLE bucketed_consume")
+        spark.sql("DROP TABLE bucketed_users")

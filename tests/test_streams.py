@@ -223,6 +223,61 @@ def test_console(spark, inbox, tmp_path):
     assert query.exception() is None
 
 
+class SqlDouble:
+    """Runs the statements of a JDBC table in the oracle's SQL engine.
+
+    Every append is made twice, as by a task that was repeated after it had
+    committed.  The JDBC driver itself is not part of these tests.
+    """
+
+    def __init__(self):
+        import duckdb
+        self.con = duckdb.connect()
+
+    def write(self, frame, url, name, properties):
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema)
+        self.con.execute(f"CREATE TABLE IF NOT EXISTS {name} ({columns})")
+        found = [tuple(r) for r in frame.collect()] * 2
+        if found:
+            marks = ", ".join("?" * len(frame.columns))
+            self.con.executemany(f"INSERT INTO {name} VALUES ({marks})", found)
+
+    def transact(self, spark, url, properties, statements):
+        self.con.execute("BEGIN")
+        for statement in statements:
+            self.con.execute(statement)
+        self.con.execute("COMMIT")
+
+    def table(self, spark, name):
+        return JdbcTable(spark, "jdbc:x", name, write=self.write, transact=self.transact)
+
+    def rows(self, query):
+        return sorted(self.con.execute(query).fetchall())
+
+
+def test_jdbc_events_survive_repeated_tasks_and_batches(spark):
+    double = SqlDouble()
+    first = spark.createDataFrame([message(event(60, "x"), 0, 5), message(event(60, "x"), 0, 6)], LOG)
+    second = spark.createDataFrame([message(event(61, "y"), 1, 1)], LOG)
+    # The last two batches are delivered again to a job that has restarted.
+    for batch, batch_id in ((first, 0), (second, 1)) * 2:
+        events.append_handler(double.table(spark, "dau"))(batch, batch_id)
+    assert double.rows("SELECT batch_id, data_date, cookies_num FROM dau") == [
+        (0, "1970-01-01 00:01:00", "x"), (0, "1970-01-01 00:01:00", "x"),
+        (1, "1970-01-01 00:01:01", "y")]
+    assert double.rows("SELECT * FROM dau_stage") == []
+
+
+def test_jdbc_ledger_keeps_one_row_per_partition(spark):
+    double = SqlDouble()
+    handler = events.ledger_handler(double.table(spark, "offsetinfo"))
+    for batch_id, messages in enumerate([[message("", 0, 4), message("", 1, 2)], [message("", 0, 9)]]):
+        for _ in range(2):
+            handler(spark.createDataFrame(messages, LOG), batch_id)
+    assert double.rows("SELECT topic, partitionname, untilOffset FROM offsetinfo") == [
+        ("t", 0, 10), ("t", 1, 3)]
+
+
 class Database:
     """Records what a JDBC table would be told; no database is started."""
 
