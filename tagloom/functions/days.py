@@ -50,10 +50,14 @@ def since_day(df: DataFrame, column: str, first: Day) -> Column:
     return F.col(column) >= _start_of(parse_day(first), df.schema[column].dataType)
 
 
+def until_day(df: DataFrame, column: str, last: Day) -> Column:
+    """Rows of ``df`` whose ``column`` falls on ``last`` or an earlier day."""
+    return F.col(column) < _start_of(days_before(last, -1), df.schema[column].dataType)
+
+
 def in_days(df: DataFrame, column: str, first: Day, last: Day) -> Column:
     """Rows of ``df`` whose ``column`` falls on a day in [first, last]."""
-    stop = _start_of(days_before(last, -1), df.schema[column].dataType)
-    return since_day(df, column, first) & (F.col(column) < stop)
+    return since_day(df, column, first) & until_day(df, column, last)
 
 
 def day_of(df: DataFrame, column: str) -> Column:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.days import Day, day_of, parse_day, partition_value
+from ..functions.days import Day, day_of, parse_day, partition_value, until_day
 from ..functions.tagrows import tag_rows
 from ..settings import PAID_STATUSES, TAG_IDS
 
@@ -15,7 +15,7 @@ def _paid(orders: DataFrame, until: Day | None) -> DataFrame:
     paid = orders.filter(F.col("pay_status").isin(*PAID_STATUSES))
     if until is None:
         return paid
-    return paid.filter(day_of(orders, "result_pay_time") <= F.lit(parse_day(until)))
+    return paid.filter(until_day(orders, "result_pay_time", until))
 
 
 def _amount() -> Column:

@@ -92,6 +92,8 @@ class PathTagTable(TagTable):
 
     def partition(self, day: Day, tagtype: str) -> DataFrame:
         # Only this folder is listed, however many days the table holds.
+        if not self.exists(day, tagtype):
+            return self.spark.createDataFrame([], tag_schema(self.owner))
         return (self.spark.read.schema(tag_schema(self.owner))
                 .option("basePath", self.location)
                 .parquet(self._folder(partition_value(day), tagtype)))

@@ -120,4 +120,4 @@ def kafka_log(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").alias("key"), _message_text().alias("value"),
         F.lit("events").alias("topic"), (event % 8).cast("int").alias("partition"),
-        F.floor(event / 8).alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+        F.expr("event_id div 8").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))

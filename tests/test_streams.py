@@ -69,6 +69,20 @@ def test_job_restarts_where_it_stopped(spark, inbox, tmp_path):
         (0, "a", 1), (0, "b", 1), (1, "b", 1), (1, "c", 1)]
 
 
+def test_running_query_takes_new_batches(spark, inbox, tmp_path):
+    """The timed trigger of a live job."""
+    inbox.put(message("a"))
+    query = live.start_word_count(inbox.stream(), f"{tmp_path}/job")
+    try:
+        query.processAllAvailable()
+        inbox.put(message("b"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(BatchFolder(spark, f"{tmp_path}/job/counts").read(), "batch_id", "word", "n") == [
+        (0, "a", 1), (1, "b", 1)]
+
+
 def brute_windows(messages, length, slide):
     counts = Counter()
     for text, second in messages:

@@ -59,6 +59,12 @@ def test_several_types_in_one_write(spark, tags):
     assert content(tags) == [(DAY, "a", "1"), (DAY, "a", "2"), (DAY, "b", "3"), (DAY, "other", "8")]
 
 
+def test_a_missing_partition_has_no_rows(spark, tags):
+    tags.overwrite(some(spark, 1), DAY, "a")
+    assert rows(tags.partition(NEXT, "a")) == [] and rows(tags.partition(DAY, "b")) == []
+    assert tags.partition(NEXT, "a").columns == tags.partition(DAY, "a").columns
+
+
 def sms(spark, *entries):
     moment = lambda day: dt.datetime.strptime(day, "%Y%m%d")
     return {"sms_delivered": lambda: spark.createDataFrame(
