@@ -64,7 +64,7 @@ def day_of(df: DataFrame, column: str) -> Column:
     """The calendar day of ``column``; NULL when a string holds no date."""
     kind, value = df.schema[column].dataType, F.col(column)
     if isinstance(kind, T.StringType):
-        return F.try_to_date(F.substring(value, 1, 10), "yyyy-MM-dd")
+        return F.substring(value, 1, 10).try_cast("date")
     if isinstance(kind, T.IntegralType):
         value = F.timestamp_seconds(value)
     return F.to_date(value)

@@ -33,7 +33,8 @@ def latest_country(user_info: DataFrame, snapshot: Day,
 def _last_pay_date(consume: DataFrame) -> Column:
     kind, value = consume.schema["last_order_paid_time"].dataType, F.col("last_order_paid_time")
     if isinstance(kind, T.StringType):
-        return F.try_to_date(F.substring(value, 1, 8), "yyyyMMdd")
+        parts = (F.substring(value, start, length) for start, length in ((1, 4), (5, 2), (7, 2)))
+        return F.concat_ws("-", *parts).try_cast("date")
     return F.to_date(value)
 
 

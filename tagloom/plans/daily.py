@@ -4,8 +4,8 @@ Each job rewrites the partitions of one day and can be repeated.  The cookie
 job reads the RFM partition of the same day, the blacklist job reads its own
 partition of the day before.
 
-    spark-submit daily.py rfm 20240116 --tags dw.profile_tag_user \
-        --source user_consume_info=dw.user_consume_info --source user_info=dim.dim_user_info
+    spark-submit daily.py rfm 20240116 --tags dw.user_tags \
+        --source user_consume_info=dw.consumption --source user_info=dw.users
 """
 
 from __future__ import annotations

@@ -61,10 +61,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--min-partitions", type=int, help="read tasks per batch")
     parser.add_argument("--max-offsets", type=int, help="messages per batch")
     parser.add_argument("--jdbc-url")
-    parser.add_argument("--jdbc-table", default="dau_tmp_table")
-    parser.add_argument("--jdbc-user", default="root")
-    parser.add_argument("--jdbc-driver", default="com.mysql.jdbc.Driver")
+    parser.add_argument("--jdbc-table")
+    parser.add_argument("--jdbc-user", help="the password comes from JDBC_PASSWORD")
+    parser.add_argument("--jdbc-driver")
     args = parser.parse_args(argv)
+    if args.jdbc_url and not args.jdbc_table:
+        parser.error("--jdbc-url needs --jdbc-table")
 
     spark = build_session(args.job, **STREAMING)
     spark.streams.addListener(OffsetReporter(
@@ -80,8 +82,9 @@ def main(argv: list[str] | None = None) -> None:
         sink = None
         if args.jdbc_url:
             login = {"user": args.jdbc_user, "driver": args.jdbc_driver,
-                     "password": os.environ.get("JDBC_PASSWORD", "")}
-            sink = JdbcTable(spark, args.jdbc_url, args.jdbc_table, login)
+                     "password": os.environ.get("JDBC_PASSWORD")}
+            sink = JdbcTable(spark, args.jdbc_url, args.jdbc_table,
+                             {key: value for key, value in login.items() if value})
         query = start_event_extract(messages, args.out, sink=sink)
     query.awaitTermination()
 

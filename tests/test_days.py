@@ -33,6 +33,12 @@ def test_ranges_include_both_days(spark, kind):
         dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 5), dt.date(2024, 1, 6), None]
 
 
+def test_unreadable_text_has_no_day(spark):
+    texts = ["2024-01-03", "2024-01-03T10:00", "2024-1-3 10:00:00", "soon", "2024-13-01", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "m string")
+    assert [r[0] for r in df.select(day_of(df, "m")).collect()] == [dt.date(2024, 1, 3)] * 3 + [None] * 4
+
+
 def test_epoch_days_follow_the_session_time_zone(spark, changed_conf):
     changed_conf(spark__sql__session__timeZone="Asia/Shanghai")
     # 2024-01-02 00:00 in Shanghai is 2024-01-01 16:00 UTC.
