@@ -45,9 +45,12 @@ def window_word_counts(messages: DataFrame, time: str = "timestamp", text: str =
               .agg(F.count("*").alias("n")))
     if not messages.isStreaming:
         # Over a long time, neighbouring slides of a word meet in one task, so
-        # the windows they share are added up before the next shuffle.
+        # the windows they share are added up before the next shuffle.  The
+        # counts are about to grow by length / slide: a stated number of
+        # partitions keeps adaptive execution from merging them by their size.
         stretch = F.floor(F.unix_timestamp("part.start") / (10 * length))
-        slides = slides.repartition("word", stretch)
+        partitions = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slides = slides.repartition(partitions, "word", stretch)
     return (slides
             .groupBy(F.window(F.window_time("part"), f"{length} seconds", f"{slide} seconds")
                      .alias("span"), "word")
