@@ -338,3 +338,10 @@ def test_jdbc_ledger_replaces_its_keys(spark):
         "untilOffset FROM (SELECT DISTINCT topic, partitionname, untilOffset, batch_id "
         "FROM offsetinfo_stage WHERE batch_id = 2) s",
         "DELETE FROM offsetinfo_stage WHERE batch_id = 2"]]
+
+
+def test_command_line_values():
+    assert live._start_offset("t:3:17") == ("t", 3, 17)
+    with pytest.raises(SystemExit):
+        live.main(["event-extract", "--servers", "b:1", "--topics", "t", "--out", "/o",
+                   "--jdbc-url", "jdbc:x"])
