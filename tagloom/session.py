@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,8 +20,6 @@ STREAMING = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-_local_scratch: list[tempfile.TemporaryDirectory] = []
-
 
 def build_session(app_name: str, master: str | None = None,
                   **conf: str) -> SparkSession:
@@ -35,19 +32,21 @@ def build_session(app_name: str, master: str | None = None,
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new path for checkpoints and stream output that every executor sees.
+    """A new path for checkpoints and intermediate tables that every executor sees.
 
-    It lies under ``spark.checkpoint.dir``.  Only a local master may go
-    without that setting; it then gets a temporary folder removed at exit.
+    It lies under ``spark.checkpoint.dir``, or else in the temporary folder
+    of the default file system, and is deleted when the session's JVM ends.
     """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        if not _local_scratch:
-            _local_scratch.append(tempfile.TemporaryDirectory(prefix="tagloom-"))
-        base = _local_scratch[0].name
-    return f"{base.rstrip('/')}/tagloom/{name}-{uuid.uuid4().hex}"
+        home = jvm.org.apache.hadoop.fs.FileSystem.get(conf)
+        base = home.makeQualified(jvm.org.apache.hadoop.fs.Path(conf.get("hadoop.tmp.dir"))).toString()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/tagloom/{name}-{uuid.uuid4().hex}")
+    files = folder.getFileSystem(conf)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{folder.toString()}/data"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

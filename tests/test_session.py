@@ -1,5 +1,3 @@
-import pytest
-
 from tagloom import session
 
 
@@ -9,16 +7,16 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert first.startswith(base) and first != second
 
 
-class Fake:
-    def __init__(self, master):
-        self.conf, self.sparkContext = self, self
-        self.master = master
+class WithoutFolder:
+    """A session without ``spark.checkpoint.dir``."""
+
+    def __init__(self, spark):
+        self.conf, self.sparkContext = self, spark.sparkContext
 
     def get(self, key, default=None):
         return default
 
 
-def test_only_a_local_master_may_go_without():
-    assert session.scratch_dir(Fake("local[2]"), "x")
-    with pytest.raises(ValueError):
-        session.scratch_dir(Fake("yarn"), "x")
+def test_without_a_setting_it_lies_in_the_default_file_system(spark):
+    path = session.scratch_dir(WithoutFolder(spark), "x")
+    assert path.startswith("file:/") and session.path_exists(spark, path.rsplit("/", 1)[0])
