@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, chat, contamination, lines, minhash, urls
+from tagloom.llm import bpe, chat, contamination, lines, lm, minhash, toxicity, urls
 from tagloom.llm.tables import read, ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +35,15 @@ def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), k=2, percent=80)
 
 
+def op4_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(read(spark, folder, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.score_toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("segments").cast("long").alias("n_segments"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contained_items(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
@@ -65,7 +74,7 @@ def _shipping(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _shipping(f) for f in (
-    op1_chat_format, op3_minhash_dedup, op6_decontamination, op7_url_filter, op9_bpe, op10_line_dedup)}
+    op1_chat_format, op3_minhash_dedup, op4_lm_score, op5_toxicity, op6_decontamination, op7_url_filter, op9_bpe, op10_line_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
