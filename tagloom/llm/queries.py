@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, chat, contamination, lines, lm, minhash, toxicity, urls
+from tagloom.llm import bpe, chat, contamination, lines, lm, minhash, quality, toxicity, urls, vectors
 from tagloom.llm.tables import read, ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,10 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op2_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(read(spark, folder, "embeddings"), 0.9)
+
+
 def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), k=2, percent=80)
 
@@ -52,6 +56,11 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(read(spark, folder, "pages"))
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(read(spark, folder, "documents"), read(spark, folder, "labels")).select(
+        "doc_id", "score", "predicted")
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read(spark, folder, "documents"), TOKENIZER)
 
@@ -74,7 +83,7 @@ def _shipping(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _shipping(f) for f in (
-    op1_chat_format, op3_minhash_dedup, op4_lm_score, op5_toxicity, op6_decontamination, op7_url_filter, op9_bpe, op10_line_dedup)}
+    op1_chat_format, op2_vector_dedup, op3_minhash_dedup, op4_lm_score, op5_toxicity, op6_decontamination, op7_url_filter, op8_quality, op9_bpe, op10_line_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -111,6 +120,18 @@ ORACLE: dict[str, str] = {
                 AS loss_sha256,
             sum(length(esc) + CASE WHEN opens THEN length(esc_role) + 24 ELSE 8 END)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op2_vector_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+        u AS MATERIALIZED (SELECT * FROM v WHERE list_bool_and(list_transform(x, lambda c: isfinite(c)))
+              AND list_dot_product(x, x) > 0),
+        l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+              WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+        reach(vec_id, other) AS (SELECT vec_id, vec_id FROM v
+              UNION SELECT reach.vec_id, l.b FROM reach JOIN l ON reach.other = l.a)
+        SELECT r.vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.other) AS component_id,
+            min(r.other) = r.vec_id AS kept
+        FROM reach r LEFT JOIN n ON n.a = r.vec_id GROUP BY r.vec_id""",
     "op3_minhash_dedup": f"""
         WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest({_shingles('2')}) AS g FROM d),
