@@ -36,7 +36,7 @@ ADD = 0.1
 #: Levels of quantised values: 12 bits.
 STEPS = 4095
 #: Tokens of a shard, about.
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 
 
 class EliasFano:
@@ -197,7 +197,7 @@ def _pairs_by_shard(documents: DataFrame, totals: Totals) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        for batch in slices(batches, size=6 * PIECE):
+        for batch in slices(batches):
             token, before, text = _tokens(hash_words(batch.column("text")))
             context = (before >> U64(32)).astype(U64)
             words, at = np.unique(token, return_inverse=True)
@@ -249,7 +249,7 @@ def _score_shard(table: pa.Table, totals: Totals) -> pa.Table:
     rows, row_sizes = column("rows", np.int64)
     ids, _ = column("ids", np.int64)
     flags, _ = column("held", np.uint8)
-    text = local.astype(np.int64) + np.repeat(np.cumsum(row_sizes) - row_sizes, local_sizes)
+    text = local.astype(np.int32) + np.repeat((np.cumsum(row_sizes) - row_sizes).astype(np.int32), local_sizes)
     del local
     distinct, word_at = np.unique(words, return_inverse=True)
     key = (np.repeat(word_at, per_word).astype(U64) << U64(32)) | contexts
@@ -273,9 +273,10 @@ def _score_shard(table: pa.Table, totals: Totals) -> pa.Table:
         count, normaliser, numerator = trie.look_up(distinct, word_of, keys & U64(0xFFFFFFFF))
     part = numerator - np.where(distinct == END, 0.0, normaliser)[word_of]
     base, is_known = np.log10(count + ADD)[word_of], (count > 0)[word_of]
-    each = np.repeat(key_at, uses)
+    each = np.repeat(key_at.astype(np.int32), uses)
+    del keys, key_at, word_at, words
     n = len(rows)
-    sums = [np.bincount(text, w, n) for w in (None, is_known[each].astype(float), base[each], part[each])]
+    sums = [np.bincount(text, None if w is None else w[each], n) for w in (None, is_known, base, part)]
     some = sums[0] > 0
     return pa.table([
         pa.array(rows[some]), pa.array(ids[some], mask=(flags[some] & 2) > 0), pa.array((flags[some] & 1) > 0),
