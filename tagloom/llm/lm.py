@@ -187,9 +187,10 @@ def totals_of(training: DataFrame) -> Totals:
                   np.array([r["n"] for r in hot], float), shards)
 
 
-_PAIRS = ("shard int, words binary, pairs binary, contexts binary, uses binary, texts binary, "
+_PAIRS = ("shard int, batch long, words binary, pairs binary, contexts binary, uses binary, texts binary, "
           "rows binary, ids binary, held binary")
-_PARTS = "row long, id long, held boolean, n long, known long, base double, numerator double"
+_PARTS = "batch long, rows binary, ids binary, held binary, n binary, known binary, base binary, numerator binary"
+_SUMS = "id long, held boolean, n long, known long, base double, numerator double"
 
 
 def _pairs_by_shard(documents: DataFrame, totals: Totals) -> DataFrame:
@@ -223,14 +224,15 @@ def _pairs_by_shard(documents: DataFrame, totals: Totals) -> DataFrame:
                 p, q = word[a], word[b] if b < len(word) else len(pair)
                 t, u = pair[p], pair[q] if q < len(pair) else len(key)
                 own, local = np.unique(text[t:u], return_inverse=True)
-                out.append((int(s), words[unit[word[a:b]] % len(words)].tobytes(),
+                out.append((int(s), row, words[unit[word[a:b]] % len(words)].tobytes(),
                             contexts_of[a:b].astype(np.uint32).tobytes(),
                             (key[pair[p:q]] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
                             uses[p:q].astype(np.uint32).tobytes(), local.astype(np.uint32).tobytes(),
-                            (row + own).astype(np.int64).tobytes(), ids[own].tobytes(), held[own].tobytes()))
+                            own.astype(np.uint32).tobytes(), ids[own].tobytes(), held[own].tobytes()))
             row += batch.num_rows
             columns = list(zip(*out))
-            yield pa.record_batch([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
+            yield pa.record_batch([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
+                                   *(pa.array(c, pa.binary()) for c in columns[2:])],
                                   names=[x.split()[0] for x in _PAIRS.split(", ")])
 
     return documents.mapInArrow(split, _PAIRS)
@@ -246,8 +248,7 @@ def _score_shard(table: pa.Table, totals: Totals) -> pa.Table:
     contexts, _ = column("contexts", np.uint32)
     uses, _ = column("uses", np.uint32)
     local, local_sizes = column("texts", np.uint32)
-    rows, row_sizes = column("rows", np.int64)
-    ids, _ = column("ids", np.int64)
+    row_sizes = np.array([len(x) // 4 for x in table.column("rows").to_pylist()])
     flags, _ = column("held", np.uint8)
     text = local.astype(np.int32) + np.repeat((np.cumsum(row_sizes) - row_sizes).astype(np.int32), local_sizes)
     del local
@@ -275,13 +276,28 @@ def _score_shard(table: pa.Table, totals: Totals) -> pa.Table:
     base, is_known = np.log10(count + ADD)[word_of], (count > 0)[word_of]
     each = np.repeat(key_at.astype(np.int32), uses)
     del keys, key_at, word_at, words
-    n = len(rows)
+    n = len(flags)
     sums = [np.bincount(text, None if w is None else w[each], n) for w in (None, is_known, base, part)]
-    some = sums[0] > 0
-    return pa.table([
-        pa.array(rows[some]), pa.array(ids[some], mask=(flags[some] & 2) > 0), pa.array((flags[some] & 1) > 0),
-        pa.array(sums[0][some].astype(np.int64)), pa.array(sums[1][some].astype(np.int64)),
-        pa.array(sums[2][some]), pa.array(sums[3][some])], names=[x.split()[0] for x in _PARTS.split(", ")])
+    bounds = np.append(0, np.cumsum(row_sizes))
+    kinds = (np.uint32, np.uint32, np.float64, np.float64)
+    packed = [pa.array([x[a:b].astype(kind).tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())
+              for x, kind in zip(sums, kinds)]
+    return pa.table([*(table.column(c) for c in ("batch", "rows", "ids", "held")), *packed],
+                    names=[x.split()[0] for x in _PARTS.split(", ")])
+
+
+def _add_up(table: pa.Table) -> pa.Table:
+    """The sums of each text of one batch, from all shards."""
+    def column(name: str, kind: type) -> np.ndarray:
+        return np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
+
+    text, first, at = np.unique(column("rows", np.uint32), return_index=True, return_inverse=True)
+    flags = column("held", np.uint8)[first]
+    sums = [np.bincount(at, column(c, kind), len(text)) for c, kind in (
+        ("n", np.uint32), ("known", np.uint32), ("base", np.float64), ("numerator", np.float64))]
+    return pa.table([pa.array(column("ids", np.int64)[first], mask=(flags & 2) > 0), pa.array((flags & 1) > 0),
+                     *(pa.array(x.astype(np.int64)) for x in sums[:2]), *(pa.array(x) for x in sums[2:])],
+                    names=[x.split()[0] for x in _SUMS.split(", ")])
 
 
 def score_documents(documents: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -299,9 +315,9 @@ def score_documents(documents: DataFrame, folds: int = 10, id_col: str = "doc_id
     totals = totals_of(source.where("NOT held"))
     pairs = _pairs_by_shard(source, totals)
     parts = pairs.groupBy("shard").applyInArrow(lambda table: _score_shard(table, totals), _PARTS)
-    whole = parts.groupBy("row").agg(
-        F.first("id").alias(id_col), F.first("held").alias("held_out"), F.sum("n").alias("n_tokens"),
-        F.sum("known").alias("n_known"), F.sum("base").alias("base"), F.sum("numerator").alias("numerator"))
+    whole = parts.groupBy("batch").applyInArrow(_add_up, _SUMS).select(
+        F.col("id").alias(id_col), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"),
+        F.col("known").alias("n_known"), "base", "numerator")
     start = float(np.log10(totals.documents + MU))
     return whole.select(
         id_col, "held_out", "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"),

@@ -331,5 +331,5 @@ def _components(documents: DataFrame, sketches: DataFrame, rows: DataFrame, k: i
     same = rows.where("id <> class_id").select(F.col("id").alias("a"), F.col("class_id").alias("b"))
     links = materialize(same.unionByName(confirm(pairs, texts, k, percent)), "links")
     components = materialize(connected_components(links), "components")
-    more = _search(_open_keys(members, components), texts, k, percent)
+    more = materialize(_search(_open_keys(members, components), texts, k, percent), "links")
     return connected_components(links.unionByName(more))

@@ -1,0 +1,228 @@
+"""Edge cases of the operators on documents, against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from tokenizers import Tokenizer
+
+import public_tokenizers
+from tagloom.llm import bpe, contamination, lines, lm, minhash, quality, toxicity
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, score double, id string, n long"
+RNG = random.Random(5)
+BASE = [" ".join(RNG.choice("alpha beta gamma delta eps zeta eta theta".split()) + str(RNG.randrange(40))
+                 for _ in range(80)) for _ in range(6)]
+TEXTS = ["", None, " \t\n ", "one", "one", "Two words", "two\x0bWORDS", "word " * 50_000,
+         *BASE, BASE[0], BASE[0].upper(), BASE[1] + " tail more", BASE[2][:-30] + " changed end",
+         "keep me\nrepeated line\n\nRepeated Line  ", "repeated line", "x\nrepeated line\ny"]
+
+
+def frame(spark, texts=TEXTS):
+    rows = [(i, t, "en", "s", len(t or ""), 0.5, "x", i) for i, t in enumerate(texts)]
+    rows += [(None, "no id", None, None, None, None, None, None), (3, "one", "en", "s", 3, 0.5, "x", 3)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def words(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower() if (text or "").isascii() else
+                      "".join(c.lower() if c < "\x80" else c for c in text).encode())
+
+
+def shingles(text, k):
+    w = words(text)
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} - {()}
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_near_duplicates(spark, k):
+    sets = {i: shingles(t, k) for i, t in enumerate(TEXTS)}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    found = minhash.near_duplicates(frame(spark), k).collect()
+    assert len(found) == len(TEXTS) + 2
+    for r in found:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == (
+                len(sets[r.doc_id]), find(r.doc_id), find(r.doc_id) == r.doc_id)
+    assert minhash.near_duplicates(frame(spark).limit(0), k).count() == 0
+
+
+def test_large_keys_are_searched_in_blocks(spark, monkeypatch):
+    expected = {tuple(r) for r in minhash.near_duplicates(frame(spark), 5).collect()}
+    monkeypatch.setattr(minhash, "BLOCK", 1)
+    assert {tuple(r) for r in minhash.near_duplicates(frame(spark), 5).collect()} == expected
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_repeated_lines(spark, keep_first):
+    found = {(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in lines.drop_repeated_lines(
+        frame(spark), min_docs=3, keep_first=keep_first).collect()}
+    at = TEXTS.index("repeated line") - 1
+    assert (at, "keep me\nrepeated line\n" if keep_first else "keep me\n", 4, 1 if keep_first else 2) in found
+    assert (at + 1, "", 1, 1) in found and (at + 2, "x\ny", 3, 1) in found
+    assert (0, "", 1, 0) in found and (1, "", 1, 0) in found and (None, "no id", 1, 0) in found
+    assert lines.drop_repeated_lines(frame(spark).limit(0)).count() == 0
+
+
+def test_contained_items(spark):
+    items = [(1, BASE[0][60:360]), (2, "word word word"), (3, ""), (4, None), (5, BASE[3].title()), (None, "one"),
+             (6, "one"), (6, "one")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    expected = set()
+    for item, text in items:
+        own = words(text)
+        k = min(5, len(own))
+        for i, t in enumerate(TEXTS):
+            doc = words(t)
+            runs = {tuple(doc[j:j + k]) for j in range(len(doc) - k + 1)} if k else set()
+            wanted = shingles(text, 5)
+            if item and wanted and 100 * len(wanted & runs) >= 80 * len(wanted):
+                expected.add((i, item, len(wanted & runs), len(wanted)))
+    found = contamination.contained_items(frame(spark), benchmark)
+    assert {tuple(r) for r in found.collect()} == expected and expected
+    kept = contamination.without_contaminated(frame(spark), benchmark)
+    assert {r.doc_id for r in kept.collect()} == {None, *range(len(TEXTS))} - {e[0] for e in expected}
+    assert contamination.contained_items(frame(spark), benchmark.limit(0)).count() == 0
+    assert contamination.contained_items(frame(spark).limit(0), benchmark).count() == 0
+
+
+def test_items_in_several_blocks(spark, monkeypatch):
+    benchmark = spark.createDataFrame([(i, t) for i, t in enumerate(BASE)], "item_id long, text string")
+    expected = {tuple(r) for r in contamination.contained_items(frame(spark), benchmark).collect()}
+    monkeypatch.setattr(contamination, "BLOCK", 10)
+    assert {tuple(r) for r in contamination.contained_items(frame(spark), benchmark).collect()} == expected
+
+
+HARD = ["", None, " İstanbul ΣΑΣ ﬁ e\u0301 é <|startoftext|>Hi<|endoftext|>x", "a\x1cb\x1d c\x85d\xa0e\u2028f",
+        "it's I'LL we've 12345 !!!??? x_y", "🙂👍🏽 中文字 ไทย", "a" * 3000, "ab" * 500 + " " + "xyz" * 99,
+        "\u200bz\u3000q", "'s't're'd  '", "\ufeffbom \ufffd", "\u0301a \u0301b", "<|startoftext|", "A<|endoftext|> b"]
+
+
+def test_bpe_equals_the_tokenizers_library(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    found = bpe.round_trip(frame(spark, HARD + TEXTS), path).collect()
+    encoded = {r.doc_id: r.ids for r in bpe.encode(frame(spark, HARD), path).collect()}
+    decoded = {r.doc_id: r.text for r in bpe.decode(bpe.encode(frame(spark, HARD), path), path).collect()}
+    texts = dict(enumerate(HARD + TEXTS))
+    for r in found:
+        if r.doc_id is None or r.doc_id == 3:
+            continue
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert r.n_tokens == len(ids), texts[r.doc_id]
+        assert r.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
+        back = library.decode(ids, skip_special_tokens=False)
+        assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
+        if r.doc_id < len(HARD):
+            assert encoded[r.doc_id] == ids and decoded[r.doc_id] == back
+    assert bpe.round_trip(frame(spark).limit(0), path).count() == 0
+
+
+def tokens(text):
+    return [*words(text), None]
+
+
+def test_language_model_equals_plain_counts(spark):
+    texts = TEXTS + [f"{a} b c {a}" for a in range(20)]
+    rows = [(r.doc_id, r.text) for r in frame(spark, texts).collect()]
+    train = [tokens(t) for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 10]
+    c = Counter(w for t in train for w in t)
+    pairs = Counter(p for t in train for p in zip(["<", *t], t))
+    n, v = sum(c.values()), len(c)
+    c["<"] = len(train)
+
+    def prior(w):
+        return (c[w] + 0.1) / (n + 0.1 * (v + 1))
+
+    expected = Counter()
+    for i, t in rows:
+        own = tokens(t)
+        base = sum(math.log10(prior(w)) for w in own)
+        score = sum(math.log10((pairs[h, w] + lm.MU * prior(w)) / (c[h] + lm.MU)) for h, w in zip(["<", *own], own))
+        expected[i, len(own), sum(c[w] > 0 for w in own), n, round(base, 5)] += 1
+        expected[i] = score
+    for r in lm.score_documents(frame(spark, texts)).collect():
+        assert expected[r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)] > 0
+        assert r.score == pytest.approx(expected[r.doc_id], rel=2e-3, abs=0.02)
+    assert lm.score_documents(frame(spark).limit(0)).count() == 0
+
+
+def test_elias_fano_finds_what_is_there(tmp_path):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for size, universe in ((0, 10), (1, 1), (500, 600), (3000, 1 << 50)):
+        values = np.unique(rng.integers(0, universe, size, dtype=np.uint64))
+        level = lm.EliasFano(values, universe, str(tmp_path), f"x{size}")
+        asked = np.concatenate((values, rng.integers(0, universe, 500, dtype=np.uint64)))
+        place = {int(x): i for i, x in enumerate(values)}
+        assert level.find(asked).tolist() == [place.get(int(x), -1) for x in asked]
+
+
+def test_segments_equal_the_recursive_definition():
+    import numpy as np
+
+    def recursive(scores, low, high):
+        best = max(((sum(scores[a:b]), -a, -b) for a in range(low, high) for b in range(a + 1, high + 1)),
+                   default=(0,))
+        if best[0] <= 1e-9:
+            return []
+        a, b = -best[1], -best[2]
+        return [*recursive(scores, low, a), (a, b - 1, round(best[0], 6)), *recursive(scores, b, high)]
+
+    rng = random.Random(3)
+    for _ in range(200):
+        scores = [rng.choice((-toxicity.DRIFT, -toxicity.DRIFT, rng.random() * 2)) for _ in range(25)]
+        hits = np.array([i for i, s in enumerate(scores) if s > 0], int)
+        found = toxicity.maximal_segments(hits, np.array([scores[i] for i in hits]))
+        assert [(a, b, round(s, 6)) for a, b, s in found] == recursive(scores, 0, len(scores))
+
+
+def labelled(spark):
+    calm = [f"the calm text number {i} says a word or two more of {i % 7}" for i in range(300)]
+    texts = [f"{t} you awful rude fool" if i % 3 == 0 else t for i, t in enumerate(calm)]
+    texts = [" ".join(["spam"] * 60) if i % 5 == 4 else t for i, t in enumerate(texts)]
+    docs = frame(spark, [*texts, "", None])
+    rows = [(i, int(i % 5 != 4), int("awful" in t)) for i, t in enumerate(texts) if i % 2] + [(None, 1, 1), (2, None, None)]
+    return docs, spark.createDataFrame(rows, "doc_id long, quality int, toxic int"), texts
+
+
+def test_toxic_passages(spark):
+    docs, labels, texts = labelled(spark)
+    found = [r for r in toxicity.score_toxicity(docs, labels).collect() if r.doc_id is not None and r.doc_id != 3]
+    for r in found:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+        text = texts[r.doc_id] if r.doc_id < len(texts) else ""
+        assert r.predicted == int("awful" in text)
+        if r.predicted:
+            assert "awful rude fool" in text.encode()[r.segments[0].start:r.segments[0].end].decode()
+    assert {r.predicted for r in toxicity.score_toxicity(docs, labels.limit(0)).collect()} == {0}
+    assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_quality(spark):
+    docs, labels, texts = labelled(spark)
+    found = quality.score_quality(docs, labels)
+    assert found.columns[:-2] == [c for c in docs.columns if c != "score"]
+    for r in found.collect():
+        if r.doc_id is not None and r.doc_id < len(texts) and r.doc_id != 3:
+            assert r.predicted == int("spam spam" not in texts[r.doc_id])
+    assert {r.predicted for r in quality.score_quality(docs, labels.limit(0)).collect()} == {1}
+    assert quality.score_quality(docs.limit(0), labels).count() == 0
