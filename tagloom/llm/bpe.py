@@ -30,7 +30,7 @@ _SPLIT_ONLY = regex.compile(r"[\x1c-\x1f]")
 _SPLIT = regex.compile(f"[{_SPACE}]+")
 _NO_RANK = np.int64(2**40)
 #: Pieces that a task remembers.
-CACHE = 150_000
+CACHE = 60_000
 
 
 def byte_characters() -> list[str]:
