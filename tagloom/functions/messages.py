@@ -20,20 +20,26 @@ def event_time(seconds: Column) -> Column:
     return F.coalesce(readable, F.lit(UNKNOWN))
 
 
-def device_id(device: Column, inner: Column) -> Column:
+def device_id(kind: Column, inner: Column) -> Column:
     """The id in the member ``d``: ``"null"`` when the object has none, unknown
-    when the member is no object or the id is empty."""
+    when the member's type is no object or the id is empty."""
     head = F.substring_index(F.coalesce(inner, F.lit("null")), ID_SEPARATOR, 1)
-    return (F.when(F.ltrim(device).startswith("{") & (head != ""), head)
-            .otherwise(F.lit(UNKNOWN)))
+    return F.when(kind.startswith("OBJECT") & (head != ""), head).otherwise(F.lit(UNKNOWN))
 
 
 def extract_events(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:
-    """Message rows → (*keep, data_date, cookies_num)."""
-    # The message is read once; its two members stay JSON text.
-    members = messages.select(*keep, F.json_tuple(value, "i", "d").alias("i", "d"))
-    fields = members.select(
-        *keep, "d", F.get_json_object("i", "$.timestamp").try_cast("bigint").alias("seconds"),
-        F.get_json_object("d", "$.d").alias("inner"))
-    return fields.select(*keep, event_time(F.col("seconds")).alias("data_date"),
-                         device_id(F.col("d"), F.col("inner")).alias("cookies_num"))
+    """Message rows → (*keep, data_date, cookies_num).
+
+    The whole value is parsed once, strictly: text after the message makes
+    both fields unknown.  Timestamps with a fraction or exponent are truncated.
+    """
+    # The parser stops after a first value.  Text behind the message can close
+    # one of two kinds of bracket around it, but not both.
+    inside = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    message = F.try_parse_json(F.concat(F.lit('{"m":'), value, F.lit("}")))
+    parsed = messages.select(*keep, F.when(inside.isNotNull(), message).alias("message"))
+    seconds = F.try_variant_get("message", "$.m.i.timestamp", "decimal(38,9)").try_cast("bigint")
+    kind = F.schema_of_variant(F.try_variant_get("message", "$.m.d", "variant"))
+    inner = F.try_variant_get("message", "$.m.d.d", "string")
+    return parsed.select(*keep, event_time(seconds).alias("data_date"),
+                         device_id(kind, inner).alias("cookies_num"))

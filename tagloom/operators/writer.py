@@ -38,18 +38,22 @@ class TagTable:
         """Replace the day's partitions; returns the rows written to each.
 
         With several tag types, ``tags`` carries them in a ``tagtype`` column
-        and all partitions are written by one job.
+        and all partitions are written by one job.  A row of any other tag
+        type, or of none, fails the write, and no partition changes.
         """
         data_date = partition_value(day)
         single = isinstance(tagtype, str)
         types = [tagtype] if single else list(tagtype)
         if single:
             tags = tags.withColumn("tagtype", F.lit(tagtype))
+        named = F.coalesce(F.col("tagtype").isin(types), F.lit(False))
+        unnamed = F.raise_error(F.concat(F.lit("tag type not named for this write: "),
+                                         F.coalesce("tagtype", F.lit("null"))))
         counts = Observation(f"tags-{uuid.uuid4().hex}")
         rows = (tags.withColumn("data_date", F.lit(data_date))
                 .select(*(F.col(f.name).cast("string").alias(f.name)
                           for f in tag_schema(self.owner)))
-                .filter(F.col("tagtype").isin(types))
+                .withColumn("tagtype", F.when(named, F.col("tagtype")).otherwise(unnamed))
                 .observe(counts, *(F.count_if(F.col("tagtype") == t).alias(t) for t in types)))
         self._replace(rows)
         written = {t: counts.get.get(t) or 0 for t in types}

@@ -14,6 +14,7 @@ import argparse
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.functions.days import Day, days_before, parse_day
 from tagloom.operators import cookie, paid, returns, rfm, sms
@@ -25,6 +26,7 @@ from tagloom.settings import (RFM_COOKIE_TAGTYPE, RFM_USER_TAGTYPE, ReturnSettin
 Sources = Mapping[str, Callable[[], DataFrame]]
 Written = dict[str, int]
 PAID_TAGTYPES = ("userid_all_paid_money", "userid_all_paid_times", "userid_last_paid")
+UNPAID_TAGTYPE = "userid_regist_notpaid"
 
 
 def run_rfm(sources: Sources, tags: TagTable, day: Day, recency_as_of: Day | None = None,
@@ -43,10 +45,11 @@ def run_cookie_rfm(sources: Sources, tags: TagTable, cookie_tags: TagTable, day:
 
 
 def run_paid_info(sources: Sources, tags: TagTable, day: Day) -> Written:
-    """The three payment tags in one pass, then the users who never paid."""
-    written = tags.overwrite(paid.paid_tags(sources["order_fact"](), day), day, PAID_TAGTYPES)
-    unpaid = paid.tag_registered_unpaid(sources["user_info"](), day)
-    return {**written, **tags.overwrite(unpaid, day, "userid_regist_notpaid")}
+    """The three payment tags and the users who never paid, written together."""
+    unpaid = paid.tag_registered_unpaid(sources["user_info"](), day).withColumn(
+        "tagtype", F.lit(UNPAID_TAGTYPE))
+    rows = paid.paid_tags(sources["order_fact"](), day).unionByName(unpaid)
+    return tags.overwrite(rows, day, [*PAID_TAGTYPES, UNPAID_TAGTYPE])
 
 
 def run_return_rate(sources: Sources, tags: TagTable, day: Day,

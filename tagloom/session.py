@@ -54,3 +54,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     return location.getFileSystem(conf).exists(location)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder of its file system."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(location) and files.getFileStatus(location).isDirectory()

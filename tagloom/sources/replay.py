@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import is_folder
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -11,9 +13,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def table_stream(spark: SparkSession, folder: str, name: str,
                  files_per_batch: int | None = None) -> DataFrame:
-    """A stream over ``<folder>/<name>.parquet`` and files added like it."""
-    reader = (spark.readStream.schema(table(spark, folder, name).schema)
-              .option("pathGlobFilter", f"{name}.parquet"))
+    """A stream over the table ``<folder>/<name>.parquet``.
+
+    A table that is a folder is streamed with the files added to it later; of
+    a single file, files of the same name.  A missing table is an error.
+    """
+    path = f"{folder}/{name}.parquet"
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)

@@ -32,6 +32,15 @@ CASES = [
     ('{%s,"d":{"d":"a#b"}}' % INFO, GOOD, "a#b"),
     ('{%s,"d":{"d":17}}' % INFO, GOOD, "17"),
     ('{%s,"d":{"d":{"e":1}}}' % INFO, GOOD, '{"e":1}'),
+    ('{%s,"d":"{broken"}' % INFO, GOOD, UNKNOWN),                           # a string, not an object
+    ('{%s,"d":"{}"}' % INFO, GOOD, UNKNOWN),
+    ('{%s,"d":{"d":"dev"}} tail' % INFO, UNKNOWN, UNKNOWN),
+    ('{%s,"d":{"d":"dev"}}{%s,"d":{"d":"dev"}}' % (INFO, INFO), UNKNOWN, UNKNOWN),
+    ('{%s,"d":{"d":"dev"}}] tail' % INFO, UNKNOWN, UNKNOWN),
+    ('{%s,"d":{"d":"dev"}}} tail' % INFO, UNKNOWN, UNKNOWN),
+    ('{%s,"d":{"d":"dev"}},{}' % INFO, UNKNOWN, UNKNOWN),
+    ('{"i":{"timestamp":1538323200.9},"d":{"d":"dev"}}', GOOD, "dev"),      # truncated
+    ('{"i":{"timestamp":1.5383232e9},"d":{"d":"dev"}}', GOOD, "dev"),
 ]
 
 

@@ -345,3 +345,15 @@ def test_command_line_values():
     with pytest.raises(SystemExit):
         live.main(["event-extract", "--servers", "b:1", "--topics", "t", "--out", "/o",
                    "--jdbc-url", "jdbc:x"])
+
+
+def test_a_table_of_several_files_is_streamed_whole(spark, tmp_path):
+    from tagloom.sources.replay import table, table_stream
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t.parquet"))
+    query = (table_stream(spark, str(tmp_path), "t", files_per_batch=1).writeStream.format("memory")
+             .queryName("several_files").trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert spark.table("several_files").count() == table(spark, str(tmp_path), "t").count() == 1000
+    assert query.lastProgress["batchId"] == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        table_stream(spark, str(tmp_path), "missing")

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from conftest import rows
+from pyspark.sql import functions as F
 from tagloom.functions.tagrows import tag_schema
 from tagloom.operators.writer import CatalogTagTable, PathTagTable
 from tagloom.plans import daily
@@ -97,3 +98,12 @@ def test_partition_read_is_pruned(spark, tags):
     assert "PartitionFilters: [" in plan and "ReadSchema: struct<userid:string>" in plan
     if isinstance(tags, PathTagTable):
         assert all(DAY in path for path in tags.partition(DAY, "a").inputFiles())
+
+
+@pytest.mark.parametrize("kind", ["typo", None])
+def test_a_tag_type_that_is_not_named_fails_and_changes_nothing(spark, tags, kind):
+    tags.overwrite(some(spark, 1), DAY, "x")
+    mixed = some(spark, 2, 3).withColumn("tagtype", F.when(F.col("userid") == 2, F.lit("x")).otherwise(F.lit(kind)))
+    with pytest.raises(Exception, match="not named for this write"):
+        tags.overwrite(mixed, DAY, ["x", "y"])
+    assert content(tags) == [(DAY, "x", "1")]
