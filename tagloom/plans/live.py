@@ -26,21 +26,26 @@ def start_word_count(messages: DataFrame, out: str, available_now: bool = False)
     return runner.start_batches(messages, handler, f"{out}/checkpoint", available_now)
 
 
-def start_window_word_count(messages: DataFrame, out: str,
-                            available_now: bool = False) -> StreamingQuery:
+def start_window_word_count(messages: DataFrame, out: str, available_now: bool = False,
+                            lateness: str = "1 minute") -> StreamingQuery:
     """Words of the last minute, every two seconds."""
-    return runner.start_append(words.window_word_counts(messages), f"{out}/counts",
+    return runner.start_append(words.window_word_counts(messages, lateness=lateness), f"{out}/counts",
                                f"{out}/checkpoint", available_now)
 
 
+def report_batch(batch: int, rows: int, ranges: list, late: int) -> None:
+    print(f"batch {batch}: {rows} messages, {late} counts of late words dropped", *ranges, sep="\n")
+
+
 def start_event_extract(messages: DataFrame, out: str, available_now: bool = False,
-                        sink: BatchFolder | JdbcTable | None = None) -> StreamingQuery:
+                        sink: BatchFolder | JdbcTable | None = None,
+                        ledger: OffsetLedger | JdbcTable | None = None) -> StreamingQuery:
     """Events, batch counts and the offset ledger from one read of each batch."""
     spark = messages.sparkSession
     handler = events.together(
         events.append_handler(sink or BatchFolder(spark, f"{out}/events")),
         events.count_handler(BatchFolder(spark, f"{out}/counts")),
-        events.ledger_handler(OffsetLedger(spark, f"{out}/offsets")))
+        events.ledger_handler(ledger or OffsetLedger(spark, f"{out}/offsets")))
     return runner.start_batches(messages, handler, f"{out}/checkpoint", available_now)
 
 
@@ -56,7 +61,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topics", required=True, type=topic_list, help="comma separated")
     parser.add_argument("--out", required=True, help="shared folder for output and checkpoints")
     parser.add_argument("--start", action="append", default=[], type=_start_offset,
-                        metavar="TOPIC:PARTITION:OFFSET")
+                        metavar="TOPIC:PARTITION:OFFSET", help="OFFSET -2: the earliest")
+    parser.add_argument("--start-from-ledger", metavar="FOLDER",
+                        help="start where the offset ledger of another run ends; "
+                             "--start names partitions that it does not hold")
+    parser.add_argument("--lateness", default="1 minute",
+                        help="how long windows wait for late messages")
+    parser.add_argument("--console", action="store_true", help="print the first messages of every batch")
     parser.add_argument("--group-id")
     parser.add_argument("--min-partitions", type=int, help="read tasks per batch")
     parser.add_argument("--max-offsets", type=int, help="messages per batch")
@@ -64,28 +75,41 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--jdbc-table")
     parser.add_argument("--jdbc-user", help="the password comes from JDBC_PASSWORD")
     parser.add_argument("--jdbc-driver")
+    parser.add_argument("--jdbc-connections", type=int, default=8, help="write tasks per batch")
+    parser.add_argument("--jdbc-ledger", metavar="TABLE", help="keep the offset ledger in a table")
     args = parser.parse_args(argv)
     if args.jdbc_url and not args.jdbc_table:
         parser.error("--jdbc-url needs --jdbc-table")
+    if args.jdbc_ledger and not args.jdbc_url:
+        parser.error("--jdbc-ledger needs --jdbc-url")
 
     spark = build_session(args.job, **STREAMING)
-    spark.streams.addListener(OffsetReporter(
-        lambda batch, rows, ranges: print(f"batch {batch}: {rows} messages", *ranges, sep="\n")))
-    messages = kafka_stream(spark, kafka_options(args.servers, args.topics, args.start,
+    spark.streams.addListener(OffsetReporter(report_batch))
+    start = list(args.start)
+    if args.start_from_ledger:
+        named = {place[:2] for place in start}
+        start += [place for place in OffsetLedger(spark, args.start_from_ledger).start_offsets()
+                  if place[0] in args.topics and place[:2] not in named]
+    messages = kafka_stream(spark, kafka_options(args.servers, args.topics, start,
                                                  args.group_id, args.min_partitions,
                                                  args.max_offsets))
     if args.job == "word-count":
         query = start_word_count(messages, args.out)
     elif args.job == "window-word-count":
-        query = start_window_word_count(messages, args.out)
+        query = start_window_word_count(messages, args.out, lateness=args.lateness)
     else:
-        sink = None
+        sink = ledger = None
         if args.jdbc_url:
             login = {"user": args.jdbc_user, "driver": args.jdbc_driver,
                      "password": os.environ.get("JDBC_PASSWORD")}
-            sink = JdbcTable(spark, args.jdbc_url, args.jdbc_table,
-                             {key: value for key, value in login.items() if value})
-        query = start_event_extract(messages, args.out, sink=sink)
+            login = {key: value for key, value in login.items() if value}
+            sink = JdbcTable(spark, args.jdbc_url, args.jdbc_table, login, args.jdbc_connections)
+            if args.jdbc_ledger:
+                ledger = JdbcTable(spark, args.jdbc_url, args.jdbc_ledger, login)
+        query = start_event_extract(messages, args.out, sink=sink, ledger=ledger)
+    if args.console:
+        runner.start_console(messages.select("topic", "partition", "offset", "value"),
+                             f"{args.out}/console-checkpoint")
     query.awaitTermination()
 
 

@@ -159,7 +159,7 @@ _COOKIE = _with(_RFM + " links binding",
 _WINDOWS = """
     SELECT strftime(epoch_ms(end_ms - 60000), '%Y-%m-%d %H:%M:%S') AS window_start,
            strftime(epoch_ms(end_ms), '%Y-%m-%d %H:%M:%S') AS window_end, word, count(*) AS n
-    FROM slid {closed} GROUP BY end_ms, word"""
+    FROM slid GROUP BY end_ms, word"""
 
 
 def _partition(day: str, tagtype: str) -> str:
@@ -214,9 +214,8 @@ ORACLE: dict[str, str] = {
             SELECT unnest(CASE WHEN text = '' THEN [''] WHEN rtrim(text, ' ') = '' THEN []
                                ELSE string_split(rtrim(text, ' '), ' ') END) AS word
             FROM documents) t GROUP BY word""",
-    "stream_window_word_count": _with("slid", _WINDOWS.replace(
-        "{closed}", "WHERE end_ms <= (SELECT max((epoch_us(ts) // 1000)) FROM events) - 60000")),
-    "window_word_count": _with("slid", _WINDOWS.replace("{closed}", "")),
+    "stream_window_word_count": _with("slid", _WINDOWS),
+    "window_word_count": _with("slid", _WINDOWS),
     "stream_union": """
         SELECT source, count(*) AS n, CAST(sum(length(value)) AS BIGINT) AS characters FROM (
             SELECT 'events' AS source, event_type AS value FROM events
@@ -226,6 +225,7 @@ ORACLE: dict[str, str] = {
         SELECT CAST(part AS INTEGER) AS partition, off AS "offset", data_date, cookies_num
         FROM extracted"""),
     "stream_batch_append": _with(_MESSAGES, "SELECT data_date, cookies_num FROM extracted"),
+    "stream_two_runs_append": _with(_MESSAGES, "SELECT data_date, cookies_num FROM extracted"),
     "stream_offset_ledger": """
         SELECT 'events' AS topic, CAST(event_id % 8 AS INTEGER) AS partitionname,
                max(event_id // 8) + 1 AS "untilOffset" FROM events GROUP BY event_id % 8""",
@@ -233,5 +233,7 @@ ORACLE: dict[str, str] = {
     "stream_source_from_offsets": """
         SELECT 'events' AS topic, CAST(event_id % 8 AS INTEGER) AS partition, count(*) AS n,
                min(event_id // 8) AS first_offset, max(event_id // 8) AS last_offset
-        FROM events GROUP BY event_id % 8""",
+        FROM (SELECT event_id, (max(event_id // 8) OVER (PARTITION BY event_id % 8) + 1)
+                     * (event_id % 8) // 8 AS seen FROM events) t
+        WHERE event_id // 8 >= seen GROUP BY event_id % 8""",
 }

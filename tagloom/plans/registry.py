@@ -12,10 +12,10 @@ from ..operators import cookie, paid, returns, rfm, sms
 from ..operators.writer import PathTagTable
 from ..session import scratch_dir
 from ..sources import sample
-from ..sources.kafka import from_offsets, union_streams
+from ..sources.kafka import after_ledger, union_streams
 from ..sources.replay import table, table_stream
 from ..streaming import events, runner, words
-from ..streaming.offsets import OffsetLedger
+from ..streaming.offsets import OffsetLedger, batch_offsets
 from ..streaming.sinks import BatchFolder
 from . import daily
 
@@ -192,10 +192,9 @@ def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
     return sink.read().groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _window_counts(messages: DataFrame) -> DataFrame:
-    timed = messages.select(F.col("ts").cast("timestamp").alias("timestamp"),
-                            F.col("event_type").alias("value"))
-    return words.window_word_counts(timed)
+def _timed(messages: DataFrame) -> DataFrame:
+    return messages.select(F.col("ts").cast("timestamp").alias("timestamp"),
+                           F.col("event_type").alias("value"))
 
 
 def _window_text(counts: DataFrame) -> DataFrame:
@@ -205,15 +204,17 @@ def _window_text(counts: DataFrame) -> DataFrame:
 
 @query
 def stream_window_word_count(spark: SparkSession, folder: str) -> DataFrame:
-    """The windows the watermark has closed."""
-    counts = _window_counts(table_stream(spark, folder, "events"))
-    return _window_text(runner.drain(counts, scratch_dir(spark, "window_word_count")))
+    """The windows the watermark has closed, then those that are open at the end of the input."""
+    counts = words.window_word_counts(_timed(table_stream(spark, folder, "events")))
+    closed, watermark, _ = runner.drain_closed(counts, scratch_dir(spark, "window_word_count"))
+    still_open = words.open_window_counts(_timed(table(spark, folder, "events")), watermark)
+    return _window_text(closed.unionByName(still_open))
 
 
 @query
 def window_word_count(spark: SparkSession, folder: str) -> DataFrame:
     """All windows, from the same plan over the whole table."""
-    return _window_text(_window_counts(table(spark, folder, "events")))
+    return _window_text(words.window_word_counts(_timed(table(spark, folder, "events"))))
 
 
 @query
@@ -244,6 +245,17 @@ def stream_batch_append(spark: SparkSession, folder: str) -> DataFrame:
     return sink.read().select("data_date", "cookies_num")
 
 
+@query
+def stream_two_runs_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs with checkpoints of their own share a sink and keep each other's batches."""
+    out = scratch_dir(spark, "two_runs")
+    sink = BatchFolder(spark, f"{out}/events")
+    for run in (0, 1):
+        part = _log_stream(spark, folder).where(F.col("offset") % 2 == run)
+        runner.drain_batches(part, events.append_handler(sink), f"{out}/run{run}")
+    return sink.read().select("data_date", "cookies_num")
+
+
 @query
 def stream_offset_ledger(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_dir(spark, "offset_ledger")
@@ -264,9 +276,11 @@ def stream_batch_count(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_source_from_offsets(spark: SparkSession, folder: str) -> DataFrame:
-    """All eight partitions, each from its first offset."""
-    start = [("events", partition, 0) for partition in range(8)]
-    messages = from_offsets(_log_stream(spark, folder), start)
+    """Seven partitions from the middle of their offsets, the first one, which no ledger knows, from its start."""
+    log = sample.kafka_log(table(spark, folder, "events"))
+    ledger = batch_offsets(log.where("partition > 0")).withColumn(
+        "untilOffset", F.expr("untilOffset * partitionname div 8"))
+    messages = after_ledger(_log_stream(spark, folder).select("topic", "partition", "offset"), ledger)
     rows = runner.drain(messages, scratch_dir(spark, "from_offsets"))
     return rows.groupBy("topic", "partition").agg(
         F.count("*").alias("n"), F.min("offset").alias("first_offset"),

@@ -28,6 +28,7 @@ def kafka_options(servers: str, topics: Sequence[str], start: Iterable[StartOffs
 
     With ``start`` only the listed partitions are read, each from its offset.
     Without it every partition of the topics is read from its latest offset.
+    An offset of -2 stands for the earliest one.
     """
     options = {"kafka.bootstrap.servers": servers, "failOnDataLoss": "true"}
     by_topic: dict[str, dict[str, int]] = {}
@@ -55,16 +56,14 @@ def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
                       *MESSAGE_COLUMNS[2:])
 
 
-def from_offsets(messages: DataFrame, start: Sequence[StartOffset]) -> DataFrame:
-    """The rule of ``startingOffsets`` for recorded messages: the listed
-    partitions from their offsets, or everything when none is listed."""
-    if not start:
-        return messages
-    keep = F.lit(False)
-    for topic, partition, offset in start:
-        keep = keep | ((F.col("topic") == topic) & (F.col("partition") == partition)
-                       & (F.col("offset") >= offset))
-    return messages.filter(keep)
+def after_ledger(messages: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Recorded messages, batch or stream, that a ledger (topic, partitionname,
+    untilOffset) has not seen; partitions absent from it from their start."""
+    seen = ledger.select(F.col("topic"), F.col("partitionname").alias("partition"),
+                         F.col("untilOffset").alias("_until"))
+    return (messages.join(seen, ["topic", "partition"], "left")
+            .where(F.col("_until").isNull() | (F.col("offset") >= F.col("_until")))
+            .select(messages.columns))
 
 
 def union_streams(first: DataFrame, *others: DataFrame) -> DataFrame:

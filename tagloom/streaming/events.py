@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.messages import extract_events
 from .offsets import LEDGER_KEYS, OffsetLedger, batch_offsets
-from .runner import BatchHandler
+from .runner import BatchHandler, BatchKey
 from .sinks import BatchFolder, JdbcTable
 
 # Column names of the staging table: the source names are reserved words.
@@ -18,12 +18,12 @@ IDENTITY = {"topic": "src_topic", "partition": "src_partition", "offset": "src_o
 def append_handler(sink: BatchFolder | JdbcTable) -> BatchHandler:
     """Append the extracted events of each batch."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, key: BatchKey) -> None:
         if isinstance(sink, JdbcTable):
             rows = extract_events(batch, *IDENTITY).withColumnsRenamed(IDENTITY)
-            sink.append_batch(rows, list(IDENTITY.values()), batch_id)
+            sink.append_batch(rows, list(IDENTITY.values()), key)
         else:
-            sink.write(extract_events(batch), batch_id)
+            sink.write(extract_events(batch), key)
 
     return handle
 
@@ -31,12 +31,12 @@ def append_handler(sink: BatchFolder | JdbcTable) -> BatchHandler:
 def ledger_handler(ledger: OffsetLedger | JdbcTable) -> BatchHandler:
     """Record where each batch ended."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, key: BatchKey) -> None:
         offsets = batch_offsets(batch)
         if isinstance(ledger, JdbcTable):
-            ledger.replace_keys(offsets.drop("n"), LEDGER_KEYS, batch_id)
+            ledger.replace_keys(offsets.drop("n"), LEDGER_KEYS, key)
         else:
-            ledger.update(offsets, batch_id)
+            ledger.update(offsets, key)
 
     return handle
 
@@ -44,8 +44,8 @@ def ledger_handler(ledger: OffsetLedger | JdbcTable) -> BatchHandler:
 def count_handler(sink: BatchFolder) -> BatchHandler:
     """Record the number of messages in each batch."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        sink.write(batch.agg(F.count("*").alias("n")), batch_id)
+    def handle(batch: DataFrame, key: BatchKey) -> None:
+        sink.write(batch.agg(F.count("*").alias("n")), key)
 
     return handle
 
@@ -53,11 +53,11 @@ def count_handler(sink: BatchFolder) -> BatchHandler:
 def together(*handlers: BatchHandler) -> BatchHandler:
     """Run several handlers on each batch, which is read from its source once."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, key: BatchKey) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for handler in handlers:
-                handler(batch, batch_id)
+                handler(batch, key)
         finally:
             batch.unpersist()
 

@@ -10,14 +10,17 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from ..session import path_exists
+from ..sources.kafka import StartOffset
+from .runner import BatchKey, late_rows
 
 LEDGER_KEYS = ("topic", "partitionname")
-_LEDGER_SCHEMA = "topic STRING, partitionname INT, untilOffset BIGINT, n BIGINT, batch_id BIGINT"
+_LEDGER_SCHEMA = ("topic STRING, partitionname INT, untilOffset BIGINT, n BIGINT, written TIMESTAMP, "
+                  "batch_id BIGINT, query_id STRING, slot INT")
 
 
 def batch_offsets(batch: DataFrame) -> DataFrame:
@@ -31,50 +34,46 @@ def batch_offsets(batch: DataFrame) -> DataFrame:
 class OffsetLedger:
     """The latest end offset of every partition, kept under a path.
 
-    The ledger is as large as the number of topic partitions.  Two folders
-    take turns: a batch merges the folder the batch before it has left with
-    its own offsets into the other one.  A failed write spoils only the folder
-    that a repeat of the batch replaces.
+    The ledger is as large as the number of topic partitions for each query
+    that has written it.  Every query has two folders that take turns: a batch
+    merges what the batch before it has left in one with its own offsets and
+    writes them to the other as one file.  A failed write spoils only the
+    folder that a repeat of the batch replaces.  Within a query later batches
+    win, also when a topic restarts at lower offsets; between queries the
+    partition's later write wins.
     """
 
     spark: SparkSession
     location: str
 
-    def update(self, offsets: DataFrame, batch_id: int) -> None:
-        rows = offsets.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        previous = self._latest(before=batch_id)
+    def update(self, offsets: DataFrame, key: BatchKey) -> None:
+        rows = offsets.select(*LEDGER_KEYS, "untilOffset", "n", F.current_timestamp().alias("written"),
+                              F.lit(key.batch_id).cast("bigint").alias("batch_id"))
+        own = self._rows().where((F.col("query_id") == key.query_id) & (F.col("batch_id") < key.batch_id))
+        newest = own.agg(F.max(F.struct("batch_id", "slot")).alias("top")).first()["top"]
         slot = 0
-        if previous is not None:
-            slot, old = 1 - previous[0], previous[1]
-            # Later batches win, also when a topic restarts at lower offsets.
+        if newest is not None:
+            slot = 1 - newest["slot"]
+            old = own.where(F.col("slot") == newest["slot"]).select(rows.columns)
             rows = (old.unionByName(rows).groupBy(*LEDGER_KEYS)
-                    .agg(F.max_by("untilOffset", "batch_id").alias("untilOffset"),
-                         F.max_by("n", "batch_id").alias("n")))
-            rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        rows.coalesce(1).write.mode("overwrite").parquet(self._slot(slot))
+                    .agg(*(F.max_by(c, "batch_id").alias(c) for c in ("untilOffset", "n", "written"))))
+        (rows.withColumn("batch_id", F.lit(key.batch_id).cast("bigint")).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.location}/query_id={key.query_id}/slot={slot}"))
 
     def read(self) -> DataFrame:
-        latest = self._latest()
-        if latest is None:
-            return self.spark.createDataFrame([], "topic STRING, partitionname INT, untilOffset BIGINT")
-        return latest[1].select(*LEDGER_KEYS, "untilOffset")
-
-    def _latest(self, before: int | None = None) -> tuple[int, DataFrame] | None:
-        found = []
-        for slot in (0, 1):
-            if not path_exists(self.spark, f"{self._slot(slot)}/_SUCCESS"):
-                continue
-            rows = self.spark.read.schema(_LEDGER_SCHEMA).parquet(self._slot(slot))
-            number = rows.agg(F.max("batch_id")).first()[0]
-            if number is not None and (before is None or number < before):
-                found.append((number, slot, rows))
-        if not found:
-            return None
-        _, slot, rows = max(found, key=lambda item: item[0])
-        return slot, rows
-
-    def _slot(self, slot: int) -> str:
-        return f"{self.location}/slot{slot}"
+        """(topic, partitionname, untilOffset)"""
+        newest = F.max("batch_id").over(Window.partitionBy("query_id"))
+        latest = self._rows().withColumn("newest", newest).where("batch_id = newest")
+        return latest.groupBy(*LEDGER_KEYS).agg(F.max_by("untilOffset", "written").alias("untilOffset"))
+
+    def start_offsets(self) -> list[StartOffset]:
+        """Where to go on, for ``kafka_options``: one row per partition."""
+        return [tuple(row) for row in self.read().orderBy(*LEDGER_KEYS).collect()]
+
+    def _rows(self) -> DataFrame:
+        if not path_exists(self.spark, self.location):
+            return self.spark.createDataFrame([], _LEDGER_SCHEMA)
+        return self.spark.read.schema(_LEDGER_SCHEMA).parquet(self.location)
 
 
 def progress_ranges(progress: str) -> list[Row]:
@@ -98,12 +97,13 @@ def _offsets(value: object) -> dict:
 
 
 class OffsetReporter(StreamingQueryListener):
-    """Hands the offset ranges and row count of every batch to a function.
+    """Hands the number of every batch, its rows, its offset ranges and its late
+    rows, which the watermark has dropped, to a function.
 
     Spark reports both by itself, so this reads no message.
     """
 
-    def __init__(self, report: Callable[[int, int, list[Row]], None]):
+    def __init__(self, report: Callable[[int, int, list[Row], int], None]):
         self._report = report
 
     def onQueryStarted(self, event) -> None:
@@ -111,7 +111,8 @@ class OffsetReporter(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
-        self._report(progress.batchId, progress.numInputRows, progress_ranges(progress.json))
+        self._report(progress.batchId, progress.numInputRows, progress_ranges(progress.json),
+                     late_rows(json.loads(progress.json)))
 
     def onQueryIdle(self, event) -> None:
         pass

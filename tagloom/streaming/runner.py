@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-BatchHandler = Callable[[DataFrame, int], None]
+
+class BatchKey(NamedTuple):
+    """What tells a micro-batch apart.
+
+    Batch numbers begin at 0 with every checkpoint; the query id belongs to
+    the checkpoint and stays the same over restarts.
+    """
+
+    query_id: str
+    batch_id: int
+
+
+BatchHandler = Callable[[DataFrame, BatchKey], None]
 # Fixed value: seconds between micro-batches.
 BATCH_SECONDS = 2
 
@@ -24,12 +38,24 @@ def _start(writer: DataStreamWriter, checkpoint: str, available_now: bool,
 
 def start_batches(stream: DataFrame, handler: BatchHandler, checkpoint: str,
                   available_now: bool = False, seconds: int = BATCH_SECONDS) -> StreamingQuery:
-    """Call ``handler(batch, batch_id)`` per micro-batch.
+    """Call ``handler(batch, key)`` per micro-batch.
 
-    A batch can arrive again with the same id after a failure, so handlers
-    replace what an id has written before.
+    A batch can arrive again with the same key after a failure, so handlers
+    replace what a key has written before.
     """
-    return _start(stream.writeStream.foreachBatch(handler), checkpoint, available_now, seconds)
+    found: list[str] = []
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if not found:
+            found.append(query_id(batch.sparkSession, checkpoint))
+        handler(batch, BatchKey(found[0], batch_id))
+
+    return _start(stream.writeStream.foreachBatch(handle), checkpoint, available_now, seconds)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query has left in its checkpoint before its first batch."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def start_append(stream: DataFrame, folder: str, checkpoint: str,
@@ -53,6 +79,22 @@ def drain(stream: DataFrame, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
+def drain_closed(stream: DataFrame, folder: str) -> tuple[DataFrame, str | None, int]:
+    """``drain`` with the last watermark (ISO text) and the number of late rows
+    that it has dropped."""
+    query = start_append(stream, f"{folder}/rows", f"{folder}/checkpoint", available_now=True)
+    query.awaitTermination()
+    found = [json.loads(progress.json) for progress in query.recentProgress]
+    marks = [p["eventTime"]["watermark"] for p in found if "watermark" in p.get("eventTime", {})]
+    rows = stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
+    return rows, max(marks, default=None), sum(late_rows(p) for p in found)
+
+
+def late_rows(progress: dict) -> int:
+    """Rows that the watermark has dropped, from a query progress."""
+    return sum(state.get("numRowsDroppedByWatermark", 0) for state in progress.get("stateOperators", []))
+
+
 def drain_batches(stream: DataFrame, handler: BatchHandler, folder: str) -> None:
     """Run a batch handler over all input that is there now."""
     start_batches(stream, handler, f"{folder}/checkpoint",

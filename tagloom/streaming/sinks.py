@@ -1,7 +1,8 @@
 """Sinks that write each micro-batch once.
 
 A batch may be delivered again after a failure.  Both sinks key their output
-by batch id and replace what the id has left behind.
+by query and batch and replace what the same batch has left behind.  Batches
+of other queries stay: a new checkpoint is a new query.
 """
 
 from __future__ import annotations
@@ -12,27 +13,29 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH = "batch_id"
+from .runner import BatchKey
+
+QUERY, BATCH = "query_id", "batch_id"
 
 
 @dataclass(frozen=True)
 class BatchFolder:
-    """A parquet folder with one partition per batch."""
+    """A parquet folder with one partition per query and batch."""
 
     spark: SparkSession
     location: str
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(self._batch(batch_id))
+    def write(self, rows: DataFrame, key: BatchKey) -> None:
+        rows.write.mode("overwrite").parquet(self._batch(key))
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.location)
 
-    def read_batch(self, batch_id: int) -> DataFrame:
-        return self.spark.read.parquet(self._batch(batch_id))
+    def read_batch(self, key: BatchKey) -> DataFrame:
+        return self.spark.read.parquet(self._batch(key))
 
-    def _batch(self, batch_id: int) -> str:
-        return f"{self.location}/{BATCH}={batch_id}"
+    def _batch(self, key: BatchKey) -> str:
+        return f"{self.location}/{QUERY}={key.query_id}/{BATCH}={key.batch_id}"
 
 
 def jdbc_transaction(spark: SparkSession, url: str, properties: dict[str, str],
@@ -70,7 +73,7 @@ class JdbcTable:
     Executors append to the staging table, where a retried task may leave
     copies.  One transaction then moves the batch: it removes the old rows,
     inserts each identity once and empties the staging rows, so readers see
-    whole batches only.
+    whole batches only.  Several queries may share one table.
     """
 
     spark: SparkSession
@@ -86,34 +89,39 @@ class JdbcTable:
     def stage(self) -> str:
         return f"{self.name}_stage"
 
-    def append_batch(self, rows: DataFrame, identity: Sequence[str], batch_id: int) -> None:
-        """Append ``rows`` tagged with their batch, whatever the batch wrote before.
+    def append_batch(self, rows: DataFrame, identity: Sequence[str], key: BatchKey) -> None:
+        """Append ``rows`` tagged with their query and batch, whatever the batch wrote before.
 
         ``identity`` names the columns that tell rows apart; they stay in the
         staging table.
         """
-        columns = [c for c in rows.columns if c not in identity] + [BATCH]
-        self._move(rows, columns, [f"DELETE FROM {self.name} WHERE {BATCH} = {batch_id}"],
-                   batch_id)
+        columns = [c for c in rows.columns if c not in identity] + [QUERY, BATCH]
+        self._move(rows, columns, [f"DELETE FROM {self.name} WHERE {_same_batch(key)}"], key)
 
-    def replace_keys(self, rows: DataFrame, keys: Sequence[str], batch_id: int) -> None:
+    def replace_keys(self, rows: DataFrame, keys: Sequence[str], key: BatchKey) -> None:
         """Put ``rows`` in the place of the rows with the same keys."""
-        same = " AND ".join(f"s.{key} = {self.name}.{key}" for key in keys)
+        same = " AND ".join(f"s.{name} = {self.name}.{name}" for name in keys)
         delete = (f"DELETE FROM {self.name} WHERE EXISTS (SELECT 1 FROM {self.stage} s "
-                  f"WHERE s.{BATCH} = {batch_id} AND {same})")
-        self._move(rows, list(rows.columns), [delete], batch_id)
+                  f"WHERE {_same_batch(key, 's.')} AND {same})")
+        self._move(rows, list(rows.columns), [delete], key)
 
-    def _move(self, rows: DataFrame, columns: list[str], before: list[str], batch_id: int) -> None:
-        staged = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    def _move(self, rows: DataFrame, columns: list[str], before: list[str], key: BatchKey) -> None:
+        staged = (rows.withColumn(QUERY, F.lit(key.query_id))
+                  .withColumn(BATCH, F.lit(key.batch_id).cast("bigint")))
         options = {**self.properties, "numPartitions": str(self.connections)}
         if not self._created:
             # An empty append creates a missing table and keeps an existing one.
             self.write(staged.select(*columns).limit(0), self.url, self.name, options)
             self._created = True
         self.write(staged, self.url, self.stage, options)
-        inner = f"SELECT DISTINCT {', '.join(staged.columns)} FROM {self.stage} WHERE {BATCH} = {batch_id}"
+        inner = f"SELECT DISTINCT {', '.join(staged.columns)} FROM {self.stage} WHERE {_same_batch(key)}"
         names = ", ".join(columns)
         self.transact(self.spark, self.url, self.properties, [
             *before,
             f"INSERT INTO {self.name} ({names}) SELECT {names} FROM ({inner}) s",
-            f"DELETE FROM {self.stage} WHERE {BATCH} = {batch_id}"])
+            f"DELETE FROM {self.stage} WHERE {_same_batch(key)}"])
+
+
+def _same_batch(key: BatchKey, table: str = "") -> str:
+    query_id = key.query_id.replace("'", "''")
+    return f"{table}{QUERY} = '{query_id}' AND {table}{BATCH} = {key.batch_id}"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.words import count_words, explode_words
-from .runner import BatchHandler
+from .runner import BatchHandler, BatchKey
 from .sinks import BatchFolder
 
 # Length and slide of the window, in seconds.
@@ -20,11 +20,11 @@ def word_count_handler(sink: BatchFolder, text: str = "value",
                        preview: Callable[[list], None] | None = None) -> BatchHandler:
     """Count the words of each batch on its own and keep the counts by batch."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        sink.write(count_words(batch, text), batch_id)
+    def handle(batch: DataFrame, key: BatchKey) -> None:
+        sink.write(count_words(batch, text), key)
         if preview:
             # From the written counts: the batch is not read again.
-            preview(sink.read_batch(batch_id).take(PREVIEW_ROWS))
+            preview(sink.read_batch(key).take(PREVIEW_ROWS))
 
     return handle
 
@@ -57,3 +57,17 @@ def window_word_counts(messages: DataFrame, time: str = "timestamp", text: str =
             .agg(F.sum("n").alias("n"))
             .select(F.col("span.start").alias("window_start"),
                     F.col("span.end").alias("window_end"), "word", "n"))
+
+
+def open_window_counts(messages: DataFrame, watermark: str | None, time: str = "timestamp",
+                       text: str = "value", length: int = WINDOW_SECONDS,
+                       slide: int = SLIDE_SECONDS) -> DataFrame:
+    """The windows of a finished input that a stream has not emitted: those that
+    end after its last watermark (ISO text; None: all).  Only the messages that
+    fall into them are read."""
+    if watermark is None:
+        return window_word_counts(messages, time, text, length, slide)
+    mark = F.to_timestamp(F.lit(watermark))
+    since = mark - F.make_interval(secs=F.lit(length))
+    counts = window_word_counts(messages.where(F.col(time) >= since), time, text, length, slide)
+    return counts.where(F.col("window_end") > mark)

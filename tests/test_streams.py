@@ -8,15 +8,20 @@ import pytest
 
 from conftest import rows
 from tagloom.plans import live
-from tagloom.sources.kafka import from_offsets, kafka_options, topic_list, union_streams
+from tagloom.sources.kafka import after_ledger, kafka_options, topic_list, union_streams
 from tagloom.streaming import events, runner, words
 from tagloom.streaming.offsets import OffsetLedger, OffsetReporter, batch_offsets, progress_ranges
+from tagloom.streaming.runner import BatchKey
 from tagloom.streaming.sinks import BatchFolder, JdbcTable
 
 LOG = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 START = dt.datetime(2024, 1, 1)
 
 
+def key(batch_id, query_id="q"):
+    return BatchKey(query_id, batch_id)
+
+
 def message(text, partition=0, offset=0, second=0, topic="t"):
     return ("k", text, topic, partition, offset, START + dt.timedelta(seconds=second))
 
@@ -51,9 +56,9 @@ def test_word_counts_do_not_carry_over(spark, inbox, tmp_path):
     inbox.put(message(" ".join(f"w{n}" for n in range(12)) + " a"))
     runner.drain_batches(inbox.stream(), handler, f"{tmp_path}/q")
     counts = Counter()
-    for batch in (0, 1):
-        counts[batch] = {r.word: r.n for r in sink.read_batch(batch).collect()}
-    assert sorted(map(len, counts.values())) == [2, 13]
+    for r in sink.read().collect():
+        counts.setdefault(r.batch_id, {})[r.word] = r.n
+    assert sorted(counts) == [0, 1] and sorted(map(len, counts.values())) == [2, 13]
     assert {"a": 2, "b": 2} in counts.values()
     assert sorted(map(len, seen)) == [2, 10]
 
@@ -152,7 +157,7 @@ def test_a_repeated_batch_leaves_no_copies(spark, tmp_path):
     sink, ledger = BatchFolder(spark, f"{tmp_path}/e"), OffsetLedger(spark, f"{tmp_path}/l")
     handler = events.together(events.append_handler(sink), events.ledger_handler(ledger))
     for batch_id in (0, 0, 1, 1):
-        handler(batch, batch_id)
+        handler(batch, key(batch_id))
     assert rows(sink.read(), "batch_id", "cookies_num") == [(0, "x"), (1, "x")]
     assert rows(ledger.read()) == [("t", 0, 6)]
 
@@ -162,7 +167,7 @@ def test_ledger_replaces_rows_by_key(spark, tmp_path):
     assert rows(ledger.read()) == []
 
     def update(batch_id, *messages):
-        ledger.update(batch_offsets(spark.createDataFrame(messages, LOG)), batch_id)
+        ledger.update(batch_offsets(spark.createDataFrame(messages, LOG)), key(batch_id))
 
     update(0, message("", 0, 4), message("", 0, 9), message("", 1, 2), message("", 0, 1, topic="u"))
     update(1, message("", 0, 11))
@@ -170,26 +175,77 @@ def test_ledger_replaces_rows_by_key(spark, tmp_path):
     update(1, message("", 0, 11))                       # repeated
     update(5, message("", 0, 0))                        # the topic began again
     assert rows(ledger.read()) == [("t", 0, 1), ("t", 1, 3), ("u", 0, 2)]
-    assert len(list((tmp_path / "l").iterdir())) == 2   # it does not grow with the batches
+    assert len(list((tmp_path / "l" / "query_id=q").iterdir())) == 2   # it does not grow with the batches
 
 
 def test_ledger_survives_a_broken_write(spark, tmp_path):
     ledger = OffsetLedger(spark, f"{tmp_path}/l")
     offsets = batch_offsets(spark.createDataFrame([message("", 0, 4)], LOG))
-    ledger.update(offsets, 0)
-    (tmp_path / "l" / "slot1").mkdir()                  # batch 1 died without a commit
-    (tmp_path / "l" / "slot1" / "part-0.parquet").write_bytes(b"half")
+    ledger.update(offsets, key(0))
+    left = tmp_path / "l" / "query_id=q" / "slot=1" / "_temporary" / "0"
+    left.mkdir(parents=True)                            # batch 1 died without a commit
+    (left / "part-0.parquet").write_bytes(b"half")
     assert rows(ledger.read()) == [("t", 0, 5)]
-    ledger.update(batch_offsets(spark.createDataFrame([message("", 0, 8)], LOG)), 1)
+    ledger.update(batch_offsets(spark.createDataFrame([message("", 0, 8)], LOG)), key(1))
     assert rows(ledger.read()) == [("t", 0, 9)]
 
 
 def test_start_offsets(spark):
     df = spark.createDataFrame([message("a", p, o) for p in (0, 1, 2) for o in range(3)]
                                + [message("a", 1, 9, topic="u")], LOG)
-    kept = from_offsets(df, [("t", 1, 1), ("t", 2, 2)])
-    assert rows(kept, "topic", "partition", "offset") == [("t", 1, 1), ("t", 1, 2), ("t", 2, 2)]
-    assert from_offsets(df, []).count() == df.count()
+    schema = "topic string, partitionname int, untilOffset bigint"
+    kept = after_ledger(df, spark.createDataFrame([("t", 1, 1), ("t", 2, 2)], schema))
+    assert kept.columns == df.columns
+    assert rows(kept, "topic", "partition", "offset") == [
+        ("t", 0, 0), ("t", 0, 1), ("t", 0, 2), ("t", 1, 1), ("t", 1, 2), ("t", 2, 2), ("u", 1, 9)]
+    assert after_ledger(df, spark.createDataFrame([], schema)).count() == df.count()
+
+
+def test_ledger_as_start_offsets(spark, tmp_path):
+    ledger = OffsetLedger(spark, f"{tmp_path}/l")
+    assert ledger.start_offsets() == []
+    ledger.update(batch_offsets(spark.createDataFrame([message("", 1, 4), message("", 0, 9)], LOG)), key(0))
+    options = kafka_options("a:1", ["t"], ledger.start_offsets() + [("t", 2, -2)])
+    assert json.loads(options["startingOffsets"]) == {"t": {"0": 10, "1": 5, "2": -2}}
+
+
+def test_two_checkpoints_share_a_sink_and_a_ledger(spark, inbox, tmp_path):
+    """Batch numbers begin anew with a checkpoint; no run removes the rows of another."""
+    sink, ledger = BatchFolder(spark, f"{tmp_path}/e"), OffsetLedger(spark, f"{tmp_path}/l")
+    double = SqlDouble()
+    handler = events.together(
+        events.append_handler(sink), events.ledger_handler(ledger),
+        events.append_handler(double.table(spark, "dau")), events.ledger_handler(double.table(spark, "places")))
+    inbox.put(message(event(1, "u1"), 0, 1), message(event(2, "u2"), 0, 2), message("", 1, 7))
+    runner.drain_batches(inbox.stream(), handler, f"{tmp_path}/run1")
+    inbox.put(message(event(5, "u5"), 0, 5))
+    runner.drain_batches(inbox.stream(), handler, f"{tmp_path}/run1")
+    other = Inbox(spark, tmp_path / "other")
+    other.put(message(event(9, "u100"), 0, 100))
+    runner.drain_batches(other.stream(), handler, f"{tmp_path}/run2")
+    expected = [(0, "(unknown)"), (0, "u1"), (0, "u100"), (0, "u2"), (1, "u5")]
+    assert rows(sink.read(), "batch_id", "cookies_num") == expected
+    assert double.rows("SELECT batch_id, cookies_num FROM dau") == expected
+    assert rows(ledger.read()) == [("t", 0, 101), ("t", 1, 8)]
+    assert double.rows("SELECT topic, partitionname, untilOffset FROM places") == [("t", 0, 101), ("t", 1, 8)]
+
+
+def test_late_rows_are_reported_and_open_windows_flushed(spark, inbox, tmp_path):
+    early, late = [("a", 0), ("b", 100)], [("x", 1)]
+    for text, second in [*early, ("c", 200), *late]:
+        inbox.put(message(text, second=second))
+    closed, watermark, dropped = runner.drain_closed(words.window_word_counts(inbox.stream()), f"{tmp_path}/w")
+    assert dropped == 1
+    table = spark.read.schema(LOG).parquet(inbox.path)
+    whole = seconds_of(closed.unionByName(words.open_window_counts(table, watermark)))
+    assert whole == brute_windows([*early, ("c", 200)], 60, 2)
+    waiting = words.window_word_counts(inbox.stream(), lateness="10 minutes")
+    closed, watermark, dropped = runner.drain_closed(waiting, f"{tmp_path}/w2")
+    assert dropped == 0
+    whole = seconds_of(closed.unionByName(words.open_window_counts(table, watermark)))
+    assert whole == brute_windows([*early, ("c", 200), *late], 60, 2)
+    assert "GreaterThanOrEqual(timestamp" in words.open_window_counts(
+        table, watermark)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_kafka_options():
@@ -215,7 +271,7 @@ def test_offset_ranges_of_a_progress():
 def test_reporter_sees_every_batch(spark, inbox, tmp_path):
     import time
     seen = []
-    reporter = OffsetReporter(lambda batch, n, ranges: seen.append((batch, n)))
+    reporter = OffsetReporter(lambda batch, n, ranges, late: seen.append((batch, n)))
     spark.streams.addListener(reporter)
     try:
         inbox.put(message("a"), message("b"))
@@ -275,7 +331,7 @@ def test_jdbc_events_survive_repeated_tasks_and_batches(spark):
     second = spark.createDataFrame([message(event(61, "y"), 1, 1)], LOG)
     # The last two batches are delivered again to a job that has restarted.
     for batch, batch_id in ((first, 0), (second, 1)) * 2:
-        events.append_handler(double.table(spark, "dau"))(batch, batch_id)
+        events.append_handler(double.table(spark, "dau"))(batch, key(batch_id))
     assert double.rows("SELECT batch_id, data_date, cookies_num FROM dau") == [
         (0, "1970-01-01 00:01:00", "x"), (0, "1970-01-01 00:01:00", "x"),
         (1, "1970-01-01 00:01:01", "y")]
@@ -287,7 +343,7 @@ def test_jdbc_ledger_keeps_one_row_per_partition(spark):
     handler = events.ledger_handler(double.table(spark, "offsetinfo"))
     for batch_id, messages in enumerate([[message("", 0, 4), message("", 1, 2)], [message("", 0, 9)]]):
         for _ in range(2):
-            handler(spark.createDataFrame(messages, LOG), batch_id)
+            handler(spark.createDataFrame(messages, LOG), key(batch_id))
     assert double.rows("SELECT topic, partitionname, untilOffset FROM offsetinfo") == [
         ("t", 0, 10), ("t", 1, 3)]
 
@@ -310,34 +366,34 @@ def test_jdbc_append_moves_a_batch_in_one_transaction(spark):
     table = JdbcTable(spark, "jdbc:x", "dau", {"user": "u"}, write=database.write,
                       transact=database.transact)
     handler = events.append_handler(table)
-    handler(spark.createDataFrame([message(event(60, "x"), 3, 5)], LOG), 7)
-    handler(spark.createDataFrame([message(event(60, "x"), 3, 6)], LOG), 8)
-    names = ["src_topic", "src_partition", "src_offset", "data_date", "cookies_num", "batch_id"]
+    handler(spark.createDataFrame([message(event(60, "x"), 3, 5)], LOG), key(7))
+    handler(spark.createDataFrame([message(event(60, "x"), 3, 6)], LOG), key(8))
+    names = ["src_topic", "src_partition", "src_offset", "data_date", "cookies_num", "query_id", "batch_id"]
     assert [(w[0], w[1], w[2]) for w in database.writes] == [
         ("dau", names[3:], []),
-        ("dau_stage", names, [("t", 3, 5, "1970-01-01 00:01:00", "x", 7)]),
-        ("dau_stage", names, [("t", 3, 6, "1970-01-01 00:01:00", "x", 8)])]
+        ("dau_stage", names, [("t", 3, 5, "1970-01-01 00:01:00", "x", "q", 7)]),
+        ("dau_stage", names, [("t", 3, 6, "1970-01-01 00:01:00", "x", "q", 8)])]
     assert database.writes[0][3] == {"user": "u", "numPartitions": "8"}
     assert database.transactions[0] == [
-        "DELETE FROM dau WHERE batch_id = 7",
-        "INSERT INTO dau (data_date, cookies_num, batch_id) SELECT data_date, cookies_num, batch_id "
-        "FROM (SELECT DISTINCT src_topic, src_partition, src_offset, data_date, cookies_num, batch_id "
-        "FROM dau_stage WHERE batch_id = 7) s",
-        "DELETE FROM dau_stage WHERE batch_id = 7"]
+        "DELETE FROM dau WHERE query_id = 'q' AND batch_id = 7",
+        "INSERT INTO dau (data_date, cookies_num, query_id, batch_id) SELECT data_date, cookies_num, query_id, batch_id "
+        "FROM (SELECT DISTINCT src_topic, src_partition, src_offset, data_date, cookies_num, query_id, batch_id "
+        "FROM dau_stage WHERE query_id = 'q' AND batch_id = 7) s",
+        "DELETE FROM dau_stage WHERE query_id = 'q' AND batch_id = 7"]
 
 
 def test_jdbc_ledger_replaces_its_keys(spark):
     database = Database()
     table = JdbcTable(spark, "jdbc:x", "offsetinfo", write=database.write, transact=database.transact)
-    events.ledger_handler(table)(spark.createDataFrame([message("", 3, 5)], LOG), 2)
-    assert database.writes[1][2] == [("t", 3, 6, 2)]
+    events.ledger_handler(table)(spark.createDataFrame([message("", 3, 5)], LOG), key(2))
+    assert database.writes[1][2] == [("t", 3, 6, "q", 2)]
     assert database.transactions == [[
-        "DELETE FROM offsetinfo WHERE EXISTS (SELECT 1 FROM offsetinfo_stage s WHERE s.batch_id = 2 "
+        "DELETE FROM offsetinfo WHERE EXISTS (SELECT 1 FROM offsetinfo_stage s WHERE s.query_id = 'q' AND s.batch_id = 2 "
         "AND s.topic = offsetinfo.topic AND s.partitionname = offsetinfo.partitionname)",
         "INSERT INTO offsetinfo (topic, partitionname, untilOffset) SELECT topic, partitionname, "
-        "untilOffset FROM (SELECT DISTINCT topic, partitionname, untilOffset, batch_id "
-        "FROM offsetinfo_stage WHERE batch_id = 2) s",
-        "DELETE FROM offsetinfo_stage WHERE batch_id = 2"]]
+        "untilOffset FROM (SELECT DISTINCT topic, partitionname, untilOffset, query_id, batch_id "
+        "FROM offsetinfo_stage WHERE query_id = 'q' AND batch_id = 2) s",
+        "DELETE FROM offsetinfo_stage WHERE query_id = 'q' AND batch_id = 2"]]
 
 
 def test_command_line_values():
