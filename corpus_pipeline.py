@@ -65,7 +65,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("bpe", tokens),
 ]
 
-#: SQL cannot express the classifier and the tokenizer; the tests hold run() against brute force.
+#: SQL cannot express the classifier and the tokenizer; the tests hold the operators of the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
