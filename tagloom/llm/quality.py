@@ -70,28 +70,36 @@ def text_features(words: Words) -> np.ndarray:
 
 
 def page_features(batch: pa.RecordBatch) -> np.ndarray:
-    """A row for each document: hashed source and language, and the stated length."""
+    """A row for each document: hashed source and language, and the stated length; NaN where they are not known."""
     n = batch.num_rows
     out = np.zeros((n, SOURCES + LANGUAGES + 2))
     for column, start, size in (("source", 0, SOURCES), ("lang", SOURCES, LANGUAGES)):
         for i, value in enumerate(batch.column(column).to_pylist()):
-            if value is not None:
+            if value is None:
+                out[i, start:start + size] = np.nan
+            else:
                 out[i, start + zlib.crc32(value.encode()) % size] = 1
-    length = np.log1p(np.maximum(batch.column("n_chars").fill_null(0).to_numpy().astype(float), 0))
+    stated = batch.column("n_chars").to_numpy(zero_copy_only=False).astype(float)
+    length = np.log1p(np.maximum(np.where(np.isfinite(stated), stated, np.nan), 0))
     out[:, -2:] = np.column_stack((length, length ** 2 / 10))
     return out
 
 
 @dataclass(frozen=True)
 class Logistic:
+    """Ridge-penalised logistic regression on standardised features; an unknown feature (NaN) counts as average."""
+
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
 
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Logistic:
-        mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-        design = np.column_stack(((x - mean) / scale, np.ones(len(x))))
+        known = ~np.isnan(x)
+        n = np.maximum(known.sum(axis=0), 1)
+        mean = np.where(known, x, 0).sum(axis=0) / n
+        scale = np.sqrt((np.where(known, x - mean, 0) ** 2).sum(axis=0) / n) + 1e-6
+        design = np.column_stack((np.where(known, (x - mean) / scale, 0), np.ones(len(x))))
         weights = np.zeros(design.shape[1])
         penalty = np.append(np.full(x.shape[1], ridge), 1e-3)
         for _ in range(30):
@@ -105,7 +113,8 @@ class Logistic:
         return cls(mean, scale, weights)
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale @ self.weights[:-1] + self.weights[-1], -30, 30)
+        standard = np.where(np.isnan(x), 0, (x - self.mean) / self.scale)
+        return np.clip(standard @ self.weights[:-1] + self.weights[-1], -30, 30)
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-self.margin(x)))
@@ -190,9 +199,10 @@ def score_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id
     """``documents`` with the columns score (0 to 1, higher: better) and predicted (1 if score >= 0.5, else 0).
 
     An id with several labels counts as poor if one says so; null labels
-    and labels other than 0 and 1 are ignored.  Null or missing text,
-    source, lang and n_chars count as empty and unknown.  Without labels of
-    both kinds every score is 1.  Columns already named score or predicted
+    and labels other than 0 and 1 are ignored.  Null or missing text counts
+    as empty; null or missing source, lang and n_chars are unknown and speak
+    neither for a document nor against it.  Without labels of both kinds
+    every score is 1.  Columns already named score or predicted
     are replaced; equal rows stay.
     """
     shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels, id_col, label_col))
