@@ -106,7 +106,7 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(vector, lambda v: v != 0)
 
 
-_ROWS = "cell int, block int, part int, query boolean, id long, n long, code binary, error double, vector array<double>"
+_COLUMNS = "cell", "block", "part", "query", "id", "n", "code", "error", "vector"
 
 
 def _dealt(classes: DataFrame, shared) -> DataFrame:
@@ -131,7 +131,9 @@ def _dealt(classes: DataFrame, shared) -> DataFrame:
                     batch.column("vector").take(pa.array(rows))],
                     names=["cell", "query", "id", "n", "code", "error", "vector"])
 
-    return classes.mapInArrow(deal, _ROWS.replace("block int, part int, ", ""))
+    kind = classes.schema["vector"].dataType.simpleString()
+    return classes.mapInArrow(
+        deal, f"cell int, query boolean, id long, n long, code binary, error double, vector {kind}")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -183,7 +185,7 @@ def _links(dealt: DataFrame, shared, threshold: float) -> DataFrame:
                 if a == b:
                     continue
                 part, key = whole.slice(a, b - a), tuple(keys[a])
-                x = unit(np.stack(part.column("vector").to_numpy(zero_copy_only=False)))
+                x = unit(np.stack(part.column("vector").to_numpy(zero_copy_only=False)).astype(float))
                 ids = part.column("id").to_numpy()
                 if key != group:
                     group, lists, ready = key, [], None
@@ -207,7 +209,7 @@ def _links(dealt: DataFrame, shared, threshold: float) -> DataFrame:
     placed = dealt.join(F.broadcast(sizes), "cell").withColumn(  # one row for each cell of the index
         "block", F.explode(F.when(F.col("query"), every("blocks")).otherwise(F.array(own_block)))).withColumn(
         "part", F.explode(F.when(F.col("query"), F.array(own_part)).otherwise(every("parts"))))
-    ordered = placed.select(*(c.split()[0] for c in _ROWS.split(", "))).repartition(
+    ordered = placed.select(*_COLUMNS).repartition(
         "cell", "block", "part").sortWithinPartitions("cell", "block", "part", "query")
     return ordered.mapInArrow(search, "id long, links long, other long")
 
@@ -223,7 +225,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     vectors are linked; n_links counts rows.  Other columns are not read.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    given = vectors.schema[vector_col].dataType.simpleString()
+    kind = given if given == "array<float>" else "array<double>"  # floats travel as floats; all sums are in double
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v"))
     fit = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
     classes = materialize(fit.groupBy(F.col("v").alias("vector")).agg(
         F.min("id").alias("id"), F.count("*").alias("n")), "classes")

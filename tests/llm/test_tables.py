@@ -27,8 +27,8 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("blocks", [(4096, 16384), (5, 3)])
-def test_vectors(spark, monkeypatch, blocks):
+@pytest.mark.parametrize("blocks, kind", [((4096, 16384), "double"), ((5, 3), "double"), ((5, 3), "float")])
+def test_vectors(spark, monkeypatch, blocks, kind):
     monkeypatch.setattr(vectors, "LIST_BLOCK", blocks[0])
     monkeypatch.setattr(vectors, "QUERY_BLOCK", blocks[1])
     rng = np.random.default_rng(4)
@@ -42,7 +42,7 @@ def test_vectors(spark, monkeypatch, blocks):
              and len(rows[a]) == len(rows[b]) and unit[a] @ unit[b] >= 0.9]
     root = roots(range(len(rows)), links)
     table = spark.createDataFrame([(i, r, 1, 2) for i, r in enumerate(rows)] + [(None, rows[0], 1, 2)],
-                                  "vec_id long, embedding array<double>, id int, cell int")
+                                  f"vec_id long, embedding array<{kind}>, id int, cell int")
     found = {r.vec_id: r for r in vectors.near_duplicates(table).collect()}
     assert len(found) == len(rows) + 1 and found[None].n_links == 0 and found[None].kept
     for i in range(len(rows)):
