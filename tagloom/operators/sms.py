@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.days import Day, days_before, in_days, since_day
+from ..functions.days import Day, days_before, in_days
 from ..functions.tagrows import tag_rows
 from ..settings import TAG_IDS, SmsSettings
 
@@ -15,9 +15,8 @@ def _recent_failure(deliveries: DataFrame, as_of: Day, settings: SmsSettings) ->
             & in_days(deliveries, "event_captured_dt", days_before(as_of, settings.window_days), as_of))
 
 
-def _hard_failure(deliveries: DataFrame, since: Day | None, settings: SmsSettings) -> Column:
-    hard = F.col("status_code").isin(*settings.hard_codes)
-    return hard if since is None else hard & since_day(deliveries, "event_captured_dt", since)
+def _hard_failure(settings: SmsSettings) -> Column:
+    return F.col("status_code").isin(*settings.hard_codes)
 
 
 def sms_repeat_failures(deliveries: DataFrame, as_of: Day,
@@ -31,24 +30,22 @@ def sms_repeat_failures(deliveries: DataFrame, as_of: Day,
 
 def sms_hard_failures(deliveries: DataFrame, settings: SmsSettings = SmsSettings()) -> DataFrame:
     """(userid) of users with a permanent failure at any time."""
-    return (deliveries.filter(_hard_failure(deliveries, None, settings))
+    return (deliveries.filter(_hard_failure(settings))
             .select(F.col("user_id").cast("string").alias("userid")).distinct())
 
 
 def sms_blacklist(deliveries: DataFrame, previous: DataFrame | None, as_of: Day,
-                  settings: SmsSettings = SmsSettings(),
-                  hard_since: Day | None = None) -> DataFrame:
+                  settings: SmsSettings = SmsSettings()) -> DataFrame:
     """Today's blacklist: yesterday's users and those who fail now.
 
     The log is scanned once, and the previous list joins the same grouping:
     one shuffle with map-side combine.  Users never leave the list.
 
-    Permanent failures count at any time, so the whole log is read.  Where
-    every failure before ``hard_since`` is known to be in the previous list,
-    the scan may start there or at the recent window, whichever is earlier.
+    Permanent failures count at any time, so the whole log is read; the
+    scan takes only failures of either kind from it.
     """
     recent = _recent_failure(deliveries, as_of, settings)
-    hard = _hard_failure(deliveries, hard_since, settings)
+    hard = _hard_failure(settings)
     listed = (deliveries.filter(recent | hard)
               .select(F.col("user_id").cast("string").alias("userid"),
                       F.when(recent, F.lit(1).cast("long")).otherwise(0).alias("failures"),

@@ -42,13 +42,12 @@ def test_blacklist_adds_to_the_previous_day(spark):
     assert rows(sms.sms_blacklist(df, None, DAY), "userid") == [(None,), ("1",), ("2",)]
 
 
-def test_hard_failures_from_a_day_on(spark):
+def test_hard_failures_count_at_any_time(spark):
     df = log(spark, [(1, "9", -20), (2, "9", -2), (3, "2", -14), (3, "2", -14), (3, "2", -14),
                      (4, "9", None)])
-    since = DAY - dt.timedelta(2)
-    assert rows(sms.sms_blacklist(df, previous(spark), DAY, hard_since=since), "userid") == [("2",), ("3",)]
-    full = sms.sms_blacklist(df, previous(spark, "1", "4"), DAY)
-    assert rows(sms.sms_blacklist(df, previous(spark, "1", "4"), DAY, hard_since=since)) == rows(full)
+    full = sms.sms_blacklist(df, previous(spark), DAY)
+    assert rows(full, "userid") == [("1",), ("2",), ("3",), ("4",)]
+    assert rows(sms.sms_blacklist(df, previous(spark, "1", "4"), DAY)) == rows(full)
 
 
 ENTRY = st.tuples(st.sampled_from([1, 2, 3, None]), st.sampled_from(["0", "2", "9", None]),
