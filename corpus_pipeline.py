@@ -27,9 +27,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the lines that stand in ten documents or more; a document stays even if all its lines go."""
+    """Without the lines that stand in ten documents or more; a document stays even if all its lines go.
+
+    Lines in fewer than ten different texts, repeated only because texts are copied, stay in the smallest id.
+    """
     ship_package(spark)
-    kept = lines.drop_repeated_lines(docs, min_docs=10)
+    kept = lines.drop_repeated_lines(docs, min_docs=10, keep_copied=True)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(kind)).otherwise(

@@ -58,22 +58,29 @@ def _halves(keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
-def _keys_by_document(documents: DataFrame, min_chars: int) -> DataFrame:
-    """(lo, hi, id): every key once for each row of ``documents``."""
+def _keys_by_document(documents: DataFrame, min_chars: int, with_copy: bool = False) -> DataFrame:
+    """(lo, hi, id): every key once for each row of ``documents``.
+
+    ``with_copy`` adds ``copy``, a hash of the row's set of keys: equal in copies of a text.
+    """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data, bounds = buffers(batch.column("text"))
-            owners, keys = [], []
+            owners, keys, copies = [], [], []
             for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
                 own = set(_line_keys(data.data, low, high, min_chars)[1]) - {None}
                 keys += own
                 owners += [i] * len(own)
+                copies.append(sum(own) % (1 << 64))
             lo, hi = _halves(keys)
-            yield pa.record_batch([pa.array(lo), pa.array(hi), batch.column("id").take(pa.array(owners, pa.int64()))],
-                                  names=["lo", "hi", "id"])
+            at = pa.array(owners, pa.int64())
+            out = {"lo": pa.array(lo), "hi": pa.array(hi), "id": batch.column("id").take(at)}
+            if with_copy:
+                out["copy"] = pa.array(np.array(copies, U64).view(np.int64)).take(at)
+            yield pa.record_batch(list(out.values()), names=list(out))
 
-    return documents.mapInArrow(explode, "lo long, hi long, id long")
+    return documents.mapInArrow(explode, "lo long, hi long, id long" + ", copy long" * with_copy)
 
 
 def _suspects(keys: DataFrame) -> DataFrame:
@@ -101,20 +108,30 @@ def _suspects(keys: DataFrame) -> DataFrame:
 
 
 def repeated_lines(documents: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """(lo, hi, id, first) for each document and repeated key in it; ``first`` marks the smallest id."""
+                   text_col: str = "text", copied_only: bool = False) -> DataFrame:
+    """(lo, hi, id, first) for each document and repeated key in it; ``first`` marks the smallest id.
+
+    With ``copied_only``, it marks nothing for keys in ``min_docs`` different texts or more.
+    """
     source = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    keys = materialize(_keys_by_document(source, min_chars), "line-keys")
+    keys = materialize(_keys_by_document(source, min_chars, copied_only), "line-keys")
     suspects = materialize(_suspects(keys), "suspects")
-    found = keys.join(suspects, "lo", "left_semi").distinct()
-    repeated = found.groupBy("lo", "hi").agg(F.count("*").alias("n"), F.min("id").alias("least")).where(
-        F.col("n") >= min_docs)
-    return found.join(repeated.select("lo", "hi", "least"), ["lo", "hi"]).select(
-        "lo", "hi", "id", F.col("id").eqNullSafe(F.col("least")).alias("first"))
+    found = keys.join(suspects, "lo", "left_semi")
+    if copied_only:
+        found = found.groupBy("lo", "hi", "id").agg(F.min("copy").alias("copy"))
+        texts = found.groupBy("lo", "hi", "copy").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+        repeated = texts.groupBy("lo", "hi").agg(
+            F.sum("n").alias("n"), F.min("least").alias("least"), (F.count("*") < min_docs).alias("kept"))
+    else:
+        found = found.distinct()
+        repeated = found.groupBy("lo", "hi").agg(F.count("*").alias("n"), F.min("id").alias("least"),
+                                                 F.lit(True).alias("kept"))
+    return found.join(repeated.where(F.col("n") >= min_docs).select("lo", "hi", "least", "kept"), ["lo", "hi"]).select(
+        "lo", "hi", "id", (F.col("kept") & F.col("id").eqNullSafe(F.col("least"))).alias("first"))
 
 
 def drop_repeated_lines(documents: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False,
-                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                        id_col: str = "doc_id", text_col: str = "text", keep_copied: bool = False) -> DataFrame:
     """``documents`` with new texts, and the columns n_lines and n_dropped (long).
 
     A text is split at \\n; null and empty are one empty line.  A line's key
@@ -122,13 +139,18 @@ def drop_repeated_lines(documents: DataFrame, min_docs: int = 10, min_chars: int
     lower-cased.  Keys of at least ``min_chars`` code points in at least
     ``min_docs`` documents lose all their lines; with ``keep_first``, the
     first line of each key in the document with the smallest id stays.
-    Other lines stay as they are, joined by \\n.
+    ``keep_copied`` does so only for keys in fewer than ``min_docs``
+    different texts: what repeats by copies of a text stays once, what
+    stands in many texts goes everywhere.  Texts with the same set of keys
+    are copies.  Other lines stay as they are, joined by \\n.
 
     Rows that share an id, or have none, count as one document.  Columns
     that are already named n_lines or n_dropped are replaced.
     """
     documents = documents.drop(*({"n_lines", "n_dropped"} & set(documents.columns)))
-    drops = repeated_lines(documents, min_docs, min_chars, id_col, text_col).groupBy("id").agg(
+    copied_only = keep_copied and not keep_first
+    keep_first = keep_first or keep_copied
+    drops = repeated_lines(documents, min_docs, min_chars, id_col, text_col, copied_only).groupBy("id").agg(
         F.collect_list(F.struct("lo", "hi", "first")).alias("_drops")).withColumnRenamed("id", "_drop_id")
     joined = documents.join(drops, F.col(id_col).cast("long").eqNullSafe(F.col("_drop_id")), "left").drop("_drop_id")
 
