@@ -3,8 +3,9 @@
 Unit vectors are assigned to coarse cells; the residual is coded by one byte
 in each of eight subspaces, and the length of what the code misses is kept.
 A vector asks every cell that a vector within reach of it can lie in: those
-whose bisecting plane is nearer than the reach in a direction of chance, by
-PROBE standard deviations.  Within a cell, table lookups give the distance
+whose bisecting plane is no further than the reach.  This loses no link,
+however the vectors are spread.  Where it spares little, fewer cells are
+made: their number is the cheapest on a part of the sample.  Within a cell, table lookups give the distance
 to every code; since the error of a code is known, what lies further than
 the reach plus the error goes without loss.  The rest is compared by the
 exact cosine in double precision.
@@ -29,7 +30,9 @@ from tagloom.llm.tables import materialize
 
 #: Vectors that the index is fitted on, at most: those of the smallest id hashes.
 SAMPLE = 16_384
-SUBSPACES, CODES, ROUNDS, PROBE = 8, 256, 8, 4.0
+SUBSPACES, CODES, ROUNDS = 8, 256, 8
+#: Vectors of the sample that numbers of cells are tried on, and how many comparisons the copy of a vector costs.
+TRIED, COPY_COST = 1_024, 1_000
 LIST_BLOCK, QUERY_BLOCK = 4_096, 16_384
 
 
@@ -57,23 +60,50 @@ def centres(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return out
 
 
+def reach_of(threshold: float) -> float:
+    """How far apart unit vectors of this cosine are."""
+    return float(np.sqrt(max(2 - 2 * threshold, 0)) + 1e-6)
+
+
+def _asked(x: np.ndarray, cells: np.ndarray, own: np.ndarray, reach: float) -> np.ndarray:
+    """For each row and cell, whether a vector within reach of the row may be nearest to the cell."""
+    distance = _squared(x, cells)
+    between = np.sqrt(_squared(cells, cells))[own] + 1e-6  # more than what rounding takes away
+    return distance - distance[np.arange(len(x)), own][:, None] <= 2 * between * reach + 1e-9
+
+
+def cheapest_cells(sample: np.ndarray, most: int, rows: int, reach: float) -> np.ndarray:
+    """At most ``most`` centres of cells: so many that copying ``rows`` vectors to cells and comparing costs least."""
+    best, least = sample[:1], np.inf
+    k, tried = most, sample[:TRIED]
+    while k >= 1:
+        cells = centres(sample, k, 1)
+        near = _squared(sample, cells).argmin(1)
+        share = np.bincount(near, minlength=len(cells)) / len(sample)
+        asked = _asked(tried, cells, near[:len(tried)], reach).mean(0)
+        listed = np.ceil(share * rows / LIST_BLOCK)  # a vector goes to every block of a cell's list
+        cost = (asked * (COPY_COST * listed + share * rows)).sum()
+        if cost < least:
+            best, least = cells, cost
+        k //= 4
+    return best
+
+
 @dataclass(frozen=True)
 class Index:
     cells: np.ndarray
     codebooks: list[np.ndarray]
     cuts: np.ndarray  # where each subspace begins
     reach: float
-    lean: float  # how far towards a bisecting plane a link goes by chance
 
     @classmethod
-    def fit(cls, sample: np.ndarray, cells: int, threshold: float) -> Index:
+    def fit(cls, sample: np.ndarray, cells: int, threshold: float, rows: int) -> Index:
         dims = sample.shape[1]
-        coarse = centres(sample, cells, 1)
+        coarse = cheapest_cells(sample, cells, rows, reach_of(threshold))
         rest = sample - coarse[_squared(sample, coarse).argmin(1)]
         cuts = np.linspace(0, dims, min(SUBSPACES, dims) + 1).astype(int)
         books = [centres(rest[:, a:b], CODES, 2 + i) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-        reach = np.sqrt(max(2 - 2 * threshold, 0)) + 1e-6
-        return cls(coarse, books, cuts, reach, min(reach, PROBE * reach / np.sqrt(dims)))
+        return cls(coarse, books, cuts, reach_of(threshold))
 
     def parts(self, x: np.ndarray) -> list[np.ndarray]:
         return [x[:, a:b] for a, b in zip(self.cuts, self.cuts[1:])]
@@ -88,12 +118,7 @@ class Index:
 
     def probes(self, x: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, cell) of every cell that each row asks; its own is among them."""
-        distance = _squared(x, self.cells)
-        between = np.sqrt(_squared(self.cells, self.cells))[cell]
-        own = distance[np.arange(len(x)), cell]
-        plane = (distance - own[:, None]) / np.maximum(2 * between, 1e-9)
-        plane[np.arange(len(x)), cell] = 0
-        return np.nonzero(plane <= self.lean)
+        return np.nonzero(_asked(x, self.cells, cell, self.reach))
 
     def tables(self, x: np.ndarray, cell: int) -> list[np.ndarray]:
         """For each subspace the squared distances of the rows' residuals to its codes."""
@@ -236,7 +261,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         own = classes.where(F.size("vector") == row["dims"])
         sample = own.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toPandas()["vector"]
         cells = int(np.clip(np.sqrt(row["count"]), 1, SAMPLE // 16))
-        index = Index.fit(unit(np.stack(sample.to_numpy()).astype(float)), cells, threshold)
+        index = Index.fit(unit(np.stack(sample.to_numpy()).astype(float)), cells, threshold, row["count"])
         shared = spark.sparkContext.broadcast(index)
         parts.append(_links(materialize(_dealt(own, shared), "dealt"), shared, threshold))
     if parts:
