@@ -10,7 +10,9 @@ context word's entry, so a text's score is a sum of parts that each shard
 answers from its own levels.  Documents send their distinct (word, context)
 pairs, with the documents they stand in, once to the shard of the word; the
 shard counts the training part, builds its levels, and looks all pairs up.
-Very frequent words are dealt out by context as well.
+Very frequent words are dealt out by context as well, and very frequent
+pairs by batch: these are counted beforehand, and every shard that looks one
+up gets its total count.
 """
 
 from __future__ import annotations
@@ -147,6 +149,8 @@ class Totals:
     documents: int
     hot: np.ndarray  # sorted hashes of very frequent words
     hot_counts: np.ndarray
+    pairs: np.ndarray  # sorted hashes of very frequent pairs
+    pair_counts: np.ndarray
     shards: int
 
     @property
@@ -167,24 +171,57 @@ def _tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, before, np.repeat(np.arange(len(ends)), np.diff(words.starts) + 1)
 
 
-def totals_of(training: DataFrame) -> Totals:
-    """Counts over all words of ``training``; the words listed as hot are fewer than four for each shard."""
+def _pair(word: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """A hash of the word and the 32 bits of its context."""
+    return mix(word ^ context)
+
+
+def _counts(documents: DataFrame, hot: np.ndarray | None = None) -> DataFrame:
+    """(key, n, uses) of all words, or of the pairs of ``hot`` words: tokens of the training part, and all tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            word, n = np.unique(_tokens(hash_words(batch.column("text")))[0], return_counts=True)
-            yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
-
-    counts = materialize(training.mapInArrow(count, "word long, n long").groupBy("word").agg(
-        F.sum("n").alias("n")), "unigrams")
-    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+            key, before, text = _tokens(hash_words(batch.column("text")))
+            trained = ~np.array(batch.column("held"), bool)[text]
+            if hot is not None:
+                own = np.isin(key, hot)
+                key, trained = _pair(key[own], before[own] >> U64(32)), trained[own]
+            keys, at, uses = np.unique(key, return_inverse=True, return_counts=True)
+            n = np.bincount(at, trained, len(keys)).astype(np.int64)
+            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n), pa.array(uses)],
+                                  names=["key", "n", "uses"])
+
+    return documents.mapInArrow(count, "key long, n long, uses long").groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+
+
+def _frequent(counts: DataFrame, more_than: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of more than so many uses, and their training counts."""
+    rows = counts.where(F.col("uses") > more_than).collect()
+    keys = np.array([r["key"] for r in rows], np.int64).view(U64)
+    order = np.argsort(keys)
+    return keys[order], np.array([r["n"] for r in rows], float)[order]
+
+
+def _listed(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+    """``otherwise``, and the listed counts where a wanted key is among the sorted ``keys``."""
+    if not len(keys):
+        return otherwise
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, counts[at], otherwise)
+
+
+def totals_of(documents: DataFrame) -> Totals:
+    """Counts over the training part of ``documents``; listed words and pairs are fewer than four each for a shard."""
+    counts = materialize(_counts(documents), "unigrams")
+    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v"),
+                     F.coalesce(F.sum("uses"), F.lit(0)).alias("uses")).first()
     shards = int(row["n"] // SHARD_TOKENS + 1)
-    end = counts.where(F.col("word") == int(END.view(np.int64))).first()
-    hot = counts.where(F.col("n") > row["n"] / (4 * shards)).collect()
-    hot.sort(key=lambda r: np.int64(r["word"]).view(U64))
-    return Totals(row["n"], row["v"], end["n"] if end else 0,
-                  np.array([r["word"] for r in hot], np.int64).view(U64),
-                  np.array([r["n"] for r in hot], float), shards)
+    end = counts.where(F.col("key") == int(END.view(np.int64))).first()
+    often = row["uses"] / (4 * shards)
+    hot, hot_counts = _frequent(counts, often)
+    pairs, pair_counts = _frequent(_counts(documents, hot), often)
+    return Totals(row["n"], row["v"], end["n"] if end else 0, hot, hot_counts, pairs, pair_counts, shards)
 
 
 _PAIRS = ("shard int, batch long, words binary, pairs binary, contexts binary, uses binary, texts binary, "
@@ -204,7 +241,9 @@ def _pairs_by_shard(documents: DataFrame, totals: Totals) -> DataFrame:
             words, at = np.unique(token, return_inverse=True)
             shard = (words % U64(totals.shards)).astype(np.int64)[at]
             hot = np.isin(words, totals.hot)[at]
-            shard[hot] = (mix(token[hot] ^ context[hot]) % U64(totals.shards)).astype(np.int64)
+            pair = _pair(token[hot], context[hot])
+            salt = np.where(np.isin(pair, totals.pairs), mix(np.array([row], U64))[0], U64(0))
+            shard[hot] = (mix(pair ^ salt) % U64(totals.shards)).astype(np.int64)
             key = ((shard * len(words) + at).astype(U64) << U64(32)) | context
             order = np.argsort(key, kind="stable")
             key, text = key[order], text[order]
@@ -262,10 +301,8 @@ def _score_shard(table: pa.Table, totals: Totals) -> pa.Table:
     pair_counts = np.bincount(key_at, use_counts, len(keys))
     word_of = (keys >> U64(32)).astype(np.int64)
     counts = np.bincount(word_of, pair_counts, len(distinct))
-    at = np.minimum(np.searchsorted(totals.hot, distinct), max(len(totals.hot) - 1, 0))
-    if len(totals.hot):
-        hot = totals.hot[at] == distinct
-        counts[hot] = totals.hot_counts[at[hot]]
+    counts = _listed(totals.hot, totals.hot_counts, distinct, counts)
+    pair_counts = _listed(totals.pairs, totals.pair_counts, _pair(distinct[word_of], keys & U64(0xFFFFFFFF)), pair_counts)
     known, seen = counts > 0, pair_counts > 0
     place = np.cumsum(known) - 1
     with tempfile.TemporaryDirectory() as folder:
@@ -312,7 +349,7 @@ def score_documents(documents: DataFrame, folds: int = 10, id_col: str = "doc_id
     """
     source = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                               (bucket_of(F.col(id_col), folds) == 0).alias("held"))
-    totals = totals_of(source.where("NOT held"))
+    totals = totals_of(source)
     pairs = _pairs_by_shard(source, totals)
     parts = pairs.groupBy("shard").applyInArrow(lambda table: _score_shard(table, totals), _PARTS)
     whole = parts.groupBy("batch").applyInArrow(_add_up, _SUMS).select(
