@@ -1,9 +1,8 @@
 """Benchmark items inside documents, by MinHash containment search.
 
-Items and documents are partitioned by the size of their shingle sets.  An
-item of n shingles is sketched by its smallest hashes; the sketch's size
-follows from the item's size partition, so that a document with enough of
-the item's shingles must hold some of the sketch: with at most
+An item of n shingles is sketched by its smallest hashes; the sketch's size
+follows from the item's own size (there are no size partitions), so that a
+document with enough of the item's shingles must hold some of the sketch: with at most
 m = n - ceil(threshold * n) shingles missing, any m + 1 of them include a
 hit.  A document is compared with the sketches of the items whose size it
 can contain; what it hits is confirmed on the full sets.
