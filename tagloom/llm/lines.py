@@ -3,8 +3,9 @@
 Two Bloom filters find the suspects: a key's hash enters the first filter
 when it is met, and the second when it is met again.  Every task first
 reduces its documents to one row for each key, so the filters of a shard
-read few rows even of a line that stands everywhere.  Only lines that the
-second filter holds are shuffled, as 128-bit keys with the document's id,
+read few rows even of a line that stands everywhere; those rows, a 64-bit hash
+and a count, are shuffled once.  Only lines that the second filter holds are
+shuffled as 128-bit keys with the document's id,
 for the exact count of documents and the choice of the first occurrence.
 """
 
