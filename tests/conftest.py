@@ -35,9 +35,3 @@ def changed_conf(spark):
     yield change
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def rows(df, *columns):
-    """The rows of ``df`` as sorted tuples."""
-    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()),
-                  key=lambda r: [(v is not None, v) for v in r])

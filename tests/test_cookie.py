@@ -3,7 +3,7 @@ import itertools
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from frames import rows
 from tagloom.operators import cookie
 
 LINKS = "cookie_id string, userid bigint, last_time string, last_date string"

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import rows
+from frames import rows
 from tagloom.operators.writer import PathTagTable
 from tagloom.plans import daily
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from tagloom.functions.days import day_of, days_before, in_days, parse_day, partition_value
 
 

@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from conftest import rows
+from frames import rows
 from tagloom.operators import paid
 
 ORDERS = ("user_id bigint, order_id bigint, order_total_amount decimal(18,2), pay_status int, "

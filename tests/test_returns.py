@@ -4,7 +4,7 @@ from fractions import Fraction
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from frames import rows
 from tagloom.operators import returns
 
 DAY = dt.date(2024, 1, 31)

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from frames import rows
 from tagloom.operators import rfm
 from tagloom.settings import RfmSettings
 

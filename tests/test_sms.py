@@ -3,7 +3,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from frames import rows
 from tagloom.operators import sms
 
 DAY = dt.date(2024, 1, 31)

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from conftest import rows
+from frames import rows
 from tagloom.plans import live
 from tagloom.sources.kafka import after_ledger, kafka_options, topic_list, union_streams
 from tagloom.streaming import events, runner, words

@@ -3,7 +3,7 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from frames import rows
 from tagloom.functions.words import count_words, split_words
 
 

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 from tagloom.functions.tagrows import tag_schema
 from tagloom.operators.writer import CatalogTagTable, PathTagTable
