@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, chat, contamination, lines, lm, minhash, quality, toxicity, urls, vectors
+from tagloom.llm import bpe, chat, contamination, lines, lm, minhash, mixing, quality, toxicity, urls, vectors
 from tagloom.llm.tables import read, ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -71,6 +71,11 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(read(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -83,7 +88,8 @@ def _shipping(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _shipping(f) for f in (
-    op1_chat_format, op2_vector_dedup, op3_minhash_dedup, op4_lm_score, op5_toxicity, op6_decontamination, op7_url_filter, op8_quality, op9_bpe, op10_line_dedup)}
+    op1_chat_format, op2_vector_dedup, op3_minhash_dedup, op4_lm_score, op5_toxicity, op6_decontamination,
+    op7_url_filter, op8_quality, op9_bpe, op10_line_dedup, op11_source_mixing)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
