@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, chat, contamination, lines, lm, minhash, mixing, quality, toxicity, urls, vectors
-from tagloom.llm.tables import read, ship_package
+from tagloom.llm import (bpe, chat, contamination, lines, lm, manifest, minhash, mixing, quality, toxicity, urls,
+                         vectors)
+from tagloom.llm.tables import bucket_of, read, ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -76,6 +77,11 @@ def op11_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.when(bucket_of(F.col("doc_id"), 2) == 0, F.regexp_replace("text", "\n", "")).otherwise(F.col("text"))
+    return manifest.merkle_manifest(read(spark, folder, "documents"), tampered).drop("source")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -89,7 +95,7 @@ def _shipping(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {f.__name__: _shipping(f) for f in (
     op1_chat_format, op2_vector_dedup, op3_minhash_dedup, op4_lm_score, op5_toxicity, op6_decontamination,
-    op7_url_filter, op8_quality, op9_bpe, op10_line_dedup, op11_source_mixing)}
+    op7_url_filter, op8_quality, op9_bpe, op10_line_dedup, op11_source_mixing, op12_merkle_manifest)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -103,6 +109,20 @@ def _shingles(size: str) -> str:
             "WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END")
 
 
+def _fields(text: str) -> str:
+    values = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values)
+
+
+def _crc(column: str) -> str:
+    """Unsigned CRC-32 of a number's decimal text, bit by bit."""
+    steps = "range(0, 8)"
+    byte = (f"list_reduce({steps}, lambda e, k: xor(e >> 1, CASE WHEN e % 2 = 1 THEN 3988292384 ELSE 0 END), "
+            "xor(c, ord(x)))")
+    return (f"xor(list_reduce(string_split({column}::VARCHAR, ''), lambda c, x: {byte}, 4294967295::BIGINT), "
+            "4294967295)")
+
+
 def _sql_escaped(column: str) -> str:
     out = f"replace({column}, chr(92), chr(92) || chr(92))"
     for mark in chat.Template().controls:
@@ -171,4 +191,40 @@ ORACLE: dict[str, str] = {
             sha256(coalesce(string_agg(CASE WHEN gone.key IS NULL THEN line END, chr(10) ORDER BY i), ''))
                 AS kept_sha256
         FROM k LEFT JOIN gone USING (key) GROUP BY doc_id""",
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, {_fields('text')} AS body, {_fields("replace(text, chr(10), '')")} AS cut
+            FROM documents),
+        h AS (SELECT doc_id, source, sha256(body) AS leaf,
+                CASE WHEN {_crc('doc_id')} % 2 = 0 THEN sha256(cut) ELSE sha256(body) END AS changed FROM d),
+        p AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) AS s,
+                row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                count(*) OVER (PARTITION BY source) AS n FROM h),
+        t(s, level, i, n, h) AS (SELECT s, 0, i, n, leaf FROM p
+            UNION ALL SELECT s, level + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+            FROM t WHERE n > 1 GROUP BY s, level, i // 3),
+        tree AS MATERIALIZED (SELECT * FROM t),
+        u(level, i, n, h) AS (SELECT 0, s - 1, (SELECT max(s) FROM p), h FROM tree WHERE n = 1
+            UNION ALL SELECT level + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+            FROM u WHERE n > 1 GROUP BY level, i // 3),
+        top AS MATERIALIZED (SELECT * FROM u),
+        runs AS MATERIALIZED (
+            SELECT s, level, i // 3 AS run, list(h ORDER BY i) AS hs FROM tree WHERE n > 1 GROUP BY ALL
+            UNION ALL SELECT 0, level, i // 3, list(h ORDER BY i) FROM top WHERE n > 1 GROUP BY level, i // 3),
+        f(doc_id, s, leaf, above, level, i, n, folded, proof) AS (
+            SELECT doc_id, s, leaf, false, 0, i, n, changed, '' FROM p
+            UNION ALL
+            SELECT f.doc_id, f.s, f.leaf, f.above OR f.n = 1, CASE WHEN f.n > 1 THEN f.level + 1 ELSE 0 END,
+                CASE WHEN f.n > 1 THEN f.i // 3 ELSE f.s - 1 END,
+                CASE WHEN f.n > 1 THEN (f.n + 2) // 3 ELSE (SELECT max(s) FROM p) END,
+                CASE WHEN f.n > 1 THEN sha256(array_to_string(list_transform(r.hs, lambda x, j:
+                    CASE WHEN j = f.i % 3 + 1 THEN f.folded ELSE x END), '')) ELSE f.folded END,
+                CASE WHEN f.n > 1 THEN f.proof || array_to_string(list_filter(r.hs, lambda x, j: j <> f.i % 3 + 1), '')
+                    ELSE f.proof END
+            FROM f LEFT JOIN runs r ON f.n > 1 AND r.s = CASE WHEN f.above THEN 0 ELSE f.s END
+                AND r.level = f.level AND r.run = f.i // 3
+            WHERE f.n > 1 OR NOT f.above)
+        SELECT f.doc_id, f.leaf, tree.h AS subroot, top.h AS root, sha256(f.proof) AS proof_sha256,
+            f.folded AS folded_root, f.folded = top.h AS verified
+        FROM f JOIN tree ON tree.s = f.s AND tree.n = 1 JOIN top ON top.n = 1 WHERE f.above AND f.n = 1""",
 }

@@ -1,0 +1,115 @@
+"""The Merkle manifest against a plain tree."""
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom.llm import manifest
+
+SCHEMA = ("doc_id long, source string, lang string, n_chars long, text string, block long, place int, hash string, "
+          "number int, first int, blocks int, levels int, leaf int, changed int, part int")
+RNG = random.Random(12)
+
+
+def digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def documents(sizes):
+    docs, ids = [], iter(RNG.sample(range(10**6), sum(sizes.values())))
+    for source, n in sizes.items():
+        for _ in range(n):
+            text = RNG.choice([None, "", "a\nb", "no break", "é\n\U0001F600\n", "\r\n"])
+            docs.append((next(ids), source, RNG.choice(["en", None]), RNG.choice([None, 3]), text))
+    return docs
+
+
+def fold(groups):
+    """Levels of a tree as lists of nodes, lowest first."""
+    levels = [groups]
+    while len(levels[-1]) > 1:
+        levels.append([digest(*levels[-1][i:i + 3]) for i in range(0, len(levels[-1]), 3)])
+    return levels
+
+
+def plain(docs, cut):
+    leaf = {}
+    for row, d in enumerate(docs):
+        leaf[row] = (digest(*map(field, d)), digest(*map(field, (*d[:4], cut(d[4])))))
+    sources = sorted({d[1] for d in docs}, key=lambda s: (s is not None, (s or "").encode()))
+    order = {s: sorted((r for r, d in enumerate(docs) if d[1] == s), key=lambda r: (
+        docs[r][0] is not None, docs[r][0] or 0, leaf[r][0])) for s in sources}
+    trees = {s: fold([leaf[r][0] for r in order[s]]) for s in sources}
+    top = fold([trees[s][-1][0] for s in sources])
+    out = []
+    for j, s in enumerate(sources):
+        for i, r in enumerate(order[s]):
+            node, siblings = leaf[r][1], []
+            for levels, at in ((trees[s], i), (top, j)):
+                for nodes in levels[:-1]:
+                    run = nodes[at // 3 * 3:at // 3 * 3 + 3]
+                    siblings += run[:at % 3] + run[at % 3 + 1:]
+                    node = digest(*run[:at % 3], node, *run[at % 3 + 1:])
+                    at //= 3
+            out.append((docs[r][0], s, leaf[r][0], trees[s][-1][0], top[-1][0], digest(*siblings), node,
+                        node == top[-1][0]))
+    return out
+
+
+def key(row):
+    return [(v is not None, v) for v in row]
+
+
+@pytest.mark.parametrize("levels, sizes", [
+    (1, {None: 1, "": 2, "a": 3, "B": 4, "é": 10, "zz": 100, "\U0001F600": 28}),
+    (1, {"one": 250}), (2, {f"s{i}": 1 + i for i in range(11)}), (5, {"a": 30, None: 1}), (1, {"a": 1}),
+    (1, {"a": 1, "b": 83})])
+def test_manifest(spark, monkeypatch, levels, sizes):
+    monkeypatch.setattr(manifest, "LEAST_LEVELS", levels)
+    docs = documents(sizes)
+    if None in sizes:
+        docs += [(None, "a", None, None, "x"), (None, "a", None, None, "y"), docs[-1], docs[-1]]
+    frame = spark.createDataFrame([(*d, 1, 1, "x", 1, 1, 1, 1, 1, 1, 1) for d in docs], SCHEMA).repartition(3)
+    found = manifest.merkle_manifest(frame, F.regexp_replace("text", "\n", "")).collect()
+    expected = plain(docs, lambda t: t and t.replace("\n", ""))
+    assert sorted(map(tuple, found), key=key) == sorted(expected, key=key)
+    changed = {d[0] for d in docs if d[4] and "\n" in d[4]}
+    assert all(r.verified == (r.doc_id not in changed) for r in found)
+
+
+def test_large_blocks_give_the_same_tree(spark, monkeypatch):
+    docs = spark.createDataFrame(documents({"a": 60, "b": 7}), "doc_id long, source string, lang string, "
+                                                               "n_chars long, text string")
+    found = []
+    for levels in (1, 2, 5):
+        monkeypatch.setattr(manifest, "LEAST_LEVELS", levels)
+        found.append(sorted(map(tuple, manifest.merkle_manifest(docs).collect())))
+    assert found[0] == found[1] == found[2] and all(r[-1] for r in found[0])
+
+
+def test_empty_table_and_text_ids(spark):
+    frame = spark.createDataFrame([], "doc_id long, source string, lang string, n_chars long, text string")
+    assert manifest.merkle_manifest(frame).count() == 0
+    frame = spark.createDataFrame([("b", "s", None, 1, "x" * 300_000), ("a", "s", None, 1, "")],
+                                  "doc_id string, source string, lang string, n_chars long, text string")
+    found = {r.doc_id: r for r in manifest.merkle_manifest(frame).collect()}
+    assert found["a"].subroot == found["b"].root == digest(found["a"].leaf, found["b"].leaf)
+    assert found["a"].proof_sha256 == digest(found["b"].leaf) and found["a"].verified
+
+
+def test_numbers_run_on_over_ranges(spark):
+    rows = [(s, i) for s in ("a", None, "c") for i in range(50)]
+    frame = spark.createDataFrame(rows, "source string, v int").repartition(5)
+    order = [F.col("source").asc_nulls_first(), F.col("v").asc_nulls_first()]
+    assert all(r.place == r.v for r in manifest._numbered(frame, ["source"], order, "numbers").collect())
+    whole = manifest._numbered(frame, [], order, "numbers").collect()
+    assert [r.place for r in sorted(whole, key=lambda r: (r.source or "", r.v))] == list(range(150))
+    counts = spark.range(25_000).selectExpr("id AS at", "id % 7 AS n")
+    found = {r["at"]: r.before for r in manifest._running(counts, "at", "n", "before").collect()}
+    assert all(found[i] == sum(k % 7 for k in range(i)) for i in (0, 1, 9_999, 10_000, 10_001, 24_999))
