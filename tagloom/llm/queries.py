@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import (bpe, chat, contamination, lines, lm, manifest, minhash, mixing, quality, toxicity, urls,
-                         vectors)
+from tagloom.llm import (bpe, chat, collocations, contamination, lines, lm, manifest, minhash, mixing, quality,
+                         toxicity, urls, vectors)
 from tagloom.llm.tables import bucket_of, read, ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -82,6 +82,10 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.merkle_manifest(read(spark, folder, "documents"), tampered).drop("source")
 
 
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read(spark, folder, "documents"), min_count=30, top=2000)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -95,7 +99,8 @@ def _shipping(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {f.__name__: _shipping(f) for f in (
     op1_chat_format, op2_vector_dedup, op3_minhash_dedup, op4_lm_score, op5_toxicity, op6_decontamination,
-    op7_url_filter, op8_quality, op9_bpe, op10_line_dedup, op11_source_mixing, op12_merkle_manifest)}
+    op7_url_filter, op8_quality, op9_bpe, op10_line_dedup, op11_source_mixing, op12_merkle_manifest,
+    op13_phrase_collocations)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -227,4 +232,26 @@ ORACLE: dict[str, str] = {
         SELECT f.doc_id, f.leaf, tree.h AS subroot, top.h AS root, sha256(f.proof) AS proof_sha256,
             f.folded AS folded_root, f.folded = top.h AS verified
         FROM f JOIN tree ON tree.s = f.s AND tree.n = 1 JOIN top ON top.n = 1 WHERE f.above AND f.n = 1""",
+    "op13_phrase_collocations": rf"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+                lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 5) AS s(k)),
+        every AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+        f AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM every WHERE f >= 30),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM every WHERE k = 1 GROUP BY lang),
+        cuts AS (SELECT lang, phrase, w, f AS a, unnest(range(1, k)) AS j FROM f WHERE k > 1),
+        scored AS (SELECT c.lang, c.phrase, c.a, j, x.f AS l, y.f AS r,
+                ((2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+            FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        inside AS (SELECT lang, f, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(
+                range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))))) AS phrase FROM f WHERE k > 2),
+        over AS (SELECT lang, phrase, max(f) AS f FROM inside GROUP BY ALL),
+        kept AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+            FROM best b LEFT JOIN over o ON o.lang = b.lang AND o.phrase = b.phrase
+            WHERE o.f IS NULL OR 100::HUGEINT * o.f < 80::HUGEINT * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang) WHERE rank <= 2000""",
 }
