@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.days import Day, days_before, in_days
 from ..functions.tagrows import tag_rows
 from ..settings import TAG_IDS, SmsSettings
+from .coverage import DayRange, in_ranges
 
 
 def _recent_failure(deliveries: DataFrame, as_of: Day, settings: SmsSettings) -> Column:
@@ -35,17 +38,23 @@ def sms_hard_failures(deliveries: DataFrame, settings: SmsSettings = SmsSettings
 
 
 def sms_blacklist(deliveries: DataFrame, previous: DataFrame | None, as_of: Day,
-                  settings: SmsSettings = SmsSettings()) -> DataFrame:
+                  settings: SmsSettings = SmsSettings(),
+                  uncovered: Sequence[DayRange] | None = None) -> DataFrame:
     """Today's blacklist: yesterday's users and those who fail now.
 
     The log is scanned once, and the previous list joins the same grouping:
     one shuffle with map-side combine.  Users never leave the list.
 
     Permanent failures count at any time, so the whole log is read; the
-    scan takes only failures of either kind from it.
+    scan takes only failures of either kind from it.  With ``uncovered``, the
+    days whose permanent failures the previous list does not hold yet, only
+    these and the recent window are read, and permanent failures without a
+    time.
     """
     recent = _recent_failure(deliveries, as_of, settings)
     hard = _hard_failure(settings)
+    if uncovered is not None:
+        hard &= in_ranges(deliveries, "event_captured_dt", uncovered) | F.col("event_captured_dt").isNull()
     listed = (deliveries.filter(recent | hard)
               .select(F.col("user_id").cast("string").alias("userid"),
                       F.when(recent, F.lit(1).cast("long")).otherwise(0).alias("failures"),

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.days import Day, partition_value
+from ..functions.days import Day, days_before, parse_day, partition_value
 from ..functions.tagrows import tag_schema
 from ..session import path_exists
 
@@ -46,21 +46,32 @@ class TagTable:
         types = [tagtype] if single else list(tagtype)
         if single:
             tags = tags.withColumn("tagtype", F.lit(tagtype))
-        named = F.coalesce(F.col("tagtype").isin(types), F.lit(False))
-        unnamed = F.raise_error(F.concat(F.lit("tag type not named for this write: "),
-                                         F.coalesce("tagtype", F.lit("null"))))
+        written = self._write(tags.withColumn("data_date", F.lit(data_date)), [(data_date, t) for t in types])
+        return {t: written[data_date, t] for t in types}
+
+    def overwrite_days(self, tags: DataFrame, first: Day, last: Day, tagtype: str) -> dict[str, int]:
+        """Replace the partitions of one tag type for every day in [first, last] by one job; returns the rows written
+        to each day.  ``tags`` carries the day in ``data_date``; a row of another day fails the write."""
+        days = (parse_day(last) - parse_day(first)).days
+        named = [partition_value(days_before(last, n)) for n in range(days, -1, -1)]
+        written = self._write(tags.withColumn("tagtype", F.lit(tagtype)), [(d, tagtype) for d in named])
+        return {d: written[d, tagtype] for d in named}
+
+    def _write(self, tags: DataFrame, partitions: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
+        """Replace the named partitions by rows with ``data_date`` and ``tagtype``; returns the rows of each."""
+        at = F.concat_ws("/", F.coalesce("data_date", F.lit("null")), F.coalesce("tagtype", F.lit("null")))
+        named = at.isin(["/".join(p) for p in partitions])
+        unnamed = F.raise_error(F.concat(F.lit("tag type not named for this write: "), at))
         counts = Observation(f"tags-{uuid.uuid4().hex}")
-        rows = (tags.withColumn("data_date", F.lit(data_date))
-                .select(*(F.col(f.name).cast("string").alias(f.name)
-                          for f in tag_schema(self.owner)))
+        rows = (tags.select(*(F.col(f.name).cast("string").alias(f.name) for f in tag_schema(self.owner)))
                 .withColumn("tagtype", F.when(named, F.col("tagtype")).otherwise(unnamed))
-                .observe(counts, *(F.count_if(F.col("tagtype") == t).alias(t) for t in types)))
+                .observe(counts, *(F.count_if(at == "/".join(p)).alias("/".join(p)) for p in partitions)))
         self._replace(rows)
-        written = {t: counts.get.get(t) or 0 for t in types}
+        written = {p: counts.get.get("/".join(p)) or 0 for p in partitions}
         # Dynamic overwrite touches no partition that receives no row.
-        for name, n in written.items():
+        for (data_date, tagtype), n in written.items():
             if n == 0:
-                self._clear(data_date, name)
+                self._clear(data_date, tagtype)
         return written
 
     def partition(self, day: Day, tagtype: str) -> DataFrame:

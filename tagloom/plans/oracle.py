@@ -80,6 +80,9 @@ _CTES = {
     "sms_hard": """
         SELECT DISTINCT user_id FROM sms
         WHERE code IN ('1', '3', '9', '10', '12', '15', '19', '21')""",
+    "sms_hard_until": """
+        SELECT DISTINCT user_id FROM sms WHERE day <= DATE '2024-01-16'
+          AND code IN ('1', '3', '9', '10', '12', '15', '19', '21')""",
     "sms_listed": """
         SELECT user_id FROM sms_repeat UNION SELECT user_id FROM sms_hard
         UNION SELECT user_id FROM sms
@@ -89,6 +92,36 @@ _CTES = {
         SELECT user_id, sum(amount) AS amount, count(DISTINCT order_id) AS orders,
                date_diff('day', max(pay_day), DATE '2001-07-31') AS days
         FROM {orders} GROUP BY user_id""",
+    "payments": """
+        SELECT f.user_id, f.order_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
+               CAST(f.pay_time + to_days(CAST(l_linenumber AS INTEGER)) AS DATE) AS pay_day
+        FROM order_fact f JOIN lineitem ON l_orderkey = f.order_id""",
+    "paid_rows_until": """
+        SELECT user_id, sum(amount) AS amount, count(DISTINCT order_id) AS orders,
+               date_diff('day', max(pay_day), DATE '2001-07-31') AS days
+        FROM payments WHERE pay_day <= DATE '2001-07-31' GROUP BY user_id""",
+    "return_days": """
+        SELECT CAST(d AS DATE) AS as_of FROM range(DATE '2001-06-01', DATE '2001-07-02', INTERVAL 1 DAY) t(d)""",
+    "returned_any": """
+        SELECT o_custkey AS user_id, o_orderkey AS order_id,
+               CAST(o_orderdate + to_days(CAST(5 * l_linenumber AS INTEGER)) AS DATE) AS return_day
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE l_returnflag = 'R' AND l_linenumber BETWEEN 0 AND 8 AND l_suppkey % 3 IN (0, 1)""",
+    "day_orders": """
+        SELECT as_of, user_id, order_id, bool_or(back) AS back FROM (
+            SELECT as_of, p.user_id, p.order_id, r.order_id IS NOT NULL AS back
+            FROM return_days JOIN {paid} p ON p.pay_day BETWEEN as_of - 30 AND as_of
+            LEFT JOIN returned_any r ON r.user_id = p.user_id AND r.order_id = p.order_id
+                AND r.return_day BETWEEN as_of - 30 AND as_of) t GROUP BY ALL""",
+    "day_counts": """
+        SELECT as_of, user_id, count(*) AS paid_orders, count_if(back) AS returned_orders
+        FROM day_orders GROUP BY as_of, user_id""",
+    "sms_days": """
+        SELECT CAST(d AS DATE) AS as_of FROM range({from}, DATE '2024-01-17', INTERVAL 1 DAY) t(d)""",
+    "sms_day_repeat": """
+        SELECT as_of, user_id, count(*) AS num FROM sms_days
+        JOIN sms ON code <> '0' AND day BETWEEN as_of - 14 AND as_of
+        GROUP BY as_of, user_id HAVING count(*) >= 3""",
     "messages": """
         SELECT event_id, event_id % 8 AS part, event_id // 8 AS off,
           CASE WHEN event_id % 50 = 7 THEN 'not json' ELSE
@@ -206,6 +239,30 @@ ORACLE: dict[str, str] = {
                                "SELECT CAST(user_id AS VARCHAR) AS userid FROM sms_hard"),
     "sms_blacklist": _BLACKLIST.replace("{extra}", ""),
     "sms_blacklist_chain": _BLACKLIST.replace("{extra}", _partition("20240116", "sms_blacklist")),
+    "paid_state_chain": _with("order_fact payments paid_rows_until", _PAID).replace(
+        "FROM paid_rows", "FROM paid_rows_until"),
+    "cookie_links_chain": _with("links binding",
+                                "SELECT user_id AS userid, cookie_id AS cookieid FROM binding"),
+    "sms_blacklist_covered_chain": _with("sms sms_days sms_day_repeat sms_hard_until", f"""
+        SELECT {_tag(chr(39) + 'B120U037_003' + chr(39), 'user_id')} {_partition('20240116', 'sms_blacklist')}
+        FROM (SELECT user_id FROM sms_day_repeat UNION SELECT user_id FROM sms_hard_until) t""",
+                                         **{"from": "DATE '2024-01-13'"}),
+    "return_rate_backfill": _with("order_fact return_days returned_any day_orders day_counts", f"""
+        SELECT {_tag("'B220U071_001'", 'user_id', "((200 * returned_orders + paid_orders) // (2 * paid_orders)) / 100")},
+               strftime(as_of, '%Y%m%d') AS data_date FROM day_counts""", paid="order_fact"),
+    "window_orders_backfill": _with("order_fact payments return_days returned_any day_orders day_counts", """
+        SELECT user_id, paid_orders, returned_orders, strftime(as_of, '%Y%m%d') AS data_date FROM day_counts""",
+                                    paid="payments"),
+    "sms_repeat_failures_backfill": _with("sms sms_days sms_day_repeat", """
+        SELECT CAST(user_id AS VARCHAR) AS userid, num, strftime(as_of, '%Y%m%d') AS data_date
+        FROM sms_day_repeat""", **{"from": "DATE '2023-12-17'"}),
+    "sms_blacklist_backfill": _with("sms sms_days sms_day_repeat sms_hard", f"""
+        SELECT {_tag(chr(39) + 'B120U037_003' + chr(39), 'user_id')}, strftime(d.as_of, '%Y%m%d') AS data_date,
+               'sms_blacklist' AS tagtype
+        FROM sms_days d JOIN (SELECT user_id, min(as_of) AS since FROM (
+            SELECT user_id, as_of FROM sms_day_repeat
+            UNION ALL SELECT user_id, DATE '2024-01-03' FROM sms_hard) u GROUP BY user_id) l
+          ON l.since <= d.as_of""", **{"from": "DATE '2024-01-03'"}),
     "tag_writer": _with("order_fact user_info paid_rows", f"""
         SELECT *, '20010731' AS data_date FROM ({_PAID} UNION ALL
         SELECT *, 'userid_regist_notpaid' FROM ({_UNPAID}) u) t""", orders="order_fact"),

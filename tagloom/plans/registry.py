@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.days import days_before
-from ..operators import cookie, paid, returns, rfm, sms
+from ..operators import backfill, cookie, paid, returns, rfm, sms
+from ..operators.coverage import CoveredDays
+from ..operators.paid_state import PaidState, paid_tags_of
 from ..operators.writer import PathTagTable
 from ..session import scratch_dir
 from ..sources import sample
@@ -176,6 +178,79 @@ def cookie_rfm_chain(spark: SparkSession, folder: str) -> DataFrame:
     return cookies.read()
 
 
+# --- states carried from day to day, and many days at once -------------------
+
+STATE_DAYS = 4
+
+
+@query
+def paid_state_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Payments up to a day, then three days one by one, each on top of the day before."""
+    state = PaidState(spark, scratch_dir(spark, "paid_state"))
+    payments = sample.order_payments(spark, folder)
+    for n in reversed(range(STATE_DAYS)):
+        day = days_before(sample.PAID_DAY, n)
+        totals = state.run_day(payments, day, bootstrap=n == STATE_DAYS - 1)
+    return paid_tags_of(totals, day)
+
+
+@query
+def cookie_links_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Links up to a day, then three days one by one."""
+    state = cookie.CookieLinks(spark, scratch_dir(spark, "cookie_links"))
+    for n in reversed(range(STATE_DAYS)):
+        links = state.run_day(sample.cookie_user_relation(spark, folder), days_before(sample.LINK_DAY, n),
+                              bootstrap=n == STATE_DAYS - 1)
+    return cookie.binding_of(links)
+
+
+@query
+def sms_blacklist_covered_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Blacklists that read only the days not covered yet; the log of one day comes a day late."""
+    out = scratch_dir(spark, "sms_covered")
+    tags, covered = PathTagTable(spark, f"{out}/tags"), CoveredDays(spark, f"{out}/covered")
+    late = days_before(sample.SMS_DAY, 2)
+    for n in reversed(range(STATE_DAYS)):
+        day = days_before(sample.SMS_DAY, n)
+        arrived = sample.sms_delivered(spark, folder)
+        if day == late:
+            arrived = arrived.where(F.col("event_captured_dt") < F.lit(late))
+        daily.run_sms_blacklist({"sms_delivered": lambda arrived=arrived: arrived}, tags, day,
+                                bootstrap=n == STATE_DAYS - 1, covered=covered, absent=[late] if day == late else [])
+    return tags.partition(sample.SMS_DAY, "sms_blacklist")
+
+
+@query
+def return_rate_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    """The return rates of 31 days from one pass."""
+    return backfill.tag_return_rate_days(
+        sample.order_fact(spark, folder), sample.returned_order_info(spark, folder),
+        days_before(sample.RETURN_DAY, 30), sample.RETURN_DAY)
+
+
+@query
+def window_orders_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    """Paid and returned orders of 31 windows from one pass; orders are paid over several days."""
+    return backfill.paid_orders_days(
+        sample.order_payments(spark, folder), sample.returned_order_info(spark, folder),
+        days_before(sample.RETURN_DAY, 30), sample.RETURN_DAY)
+
+
+@query
+def sms_repeat_failures_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    return backfill.sms_repeat_failures_days(sample.sms_delivered(spark, folder),
+                                             days_before(sample.SMS_DAY, 30), sample.SMS_DAY)
+
+
+@query
+def sms_blacklist_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    """The blacklists of 14 days, written by one job."""
+    tags = PathTagTable(spark, scratch_dir(spark, "sms_backfill"))
+    daily.run_sms_blacklist_days(sample_sources(spark, folder), tags, days_before(sample.SMS_DAY, 13), sample.SMS_DAY,
+                                 bootstrap=True)
+    return tags.read()
+
+
 # --- streams -----------------------------------------------------------------
 
 def _log_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,6 +17,7 @@ from .replay import table
 RFM_DAY = dt.date(2001, 7, 31)
 RETURN_DAY = dt.date(2001, 7, 1)
 SMS_DAY = dt.date(2024, 1, 16)
+LINK_DAY = dt.date(2024, 1, 30)
 PAID_DAY = dt.date(2001, 7, 31)
 CONSUME_SINCE = dt.date(2000, 7, 1)
 # Prices in the sample are far above the default limits.
@@ -39,6 +40,16 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return order_fact(spark, folder).join(lines, "order_id", "left")
 
 
+def order_payments(spark: SparkSession, folder: str) -> DataFrame:
+    """A payment for each order line, a day later each, so that orders are paid over several days."""
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_extendedprice").cast(MONEY).alias("price"), "l_linenumber")
+    paid = (F.col("pay_time").cast("timestamp") + F.make_dt_interval(F.col("l_linenumber"))).cast("timestamp_ntz")
+    return order_fact(spark, folder).join(lines, "order_id").select(
+        "user_id", "order_id", F.col("price").alias("order_total_amount"), "pay_status",
+        paid.alias("pay_time"), paid.alias("result_pay_time"))
+
+
 def user_info(spark: SparkSession, folder: str) -> DataFrame:
     segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
     nation = F.col("n_nationkey")

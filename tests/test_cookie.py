@@ -1,5 +1,7 @@
 import itertools
+import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -67,3 +69,29 @@ def test_user_with_a_third_of_the_cookies_is_split(spark, changed_conf, tmp_path
     found = result.collect()
     assert len(found) == len({r.cookieid for r in found}) == 60000
     assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("latest", [False, True])
+def test_links_merge_day_by_day(spark, tmp_path, latest):
+    rng = random.Random(4)
+    times = [None, "2024-01-01 10:00:00", "2024-01-02 08:00:00", "2024-01-02 09:00:00", "2024-01-03 00:00:00",
+             "2024-01-05 23:59:59"]
+    links = spark.createDataFrame(
+        [(rng.choice([None, *"abcdefgh"]), rng.choice([None, 1, 2, 3, -7]), rng.choice(times), rng.choice([None, "1", "2"]))
+         for _ in range(200)], "cookie_id string, userid bigint, last_time string, last_date string")
+    state = cookie.CookieLinks(spark, f"{tmp_path}/links", latest)
+    with pytest.raises(LookupError):
+        state.run_day(links, "20240102")
+    for n in range(1, 6):
+        day = f"2024010{n}"
+        seen = links.filter(links.last_time.isNull() | (links.last_time < f"2024-01-0{n + 1}"))
+        for _ in range(2):
+            found = cookie.binding_of(state.run_day(links, day, bootstrap=n == 1))
+            assert rows(found) == rows(cookie.cookie_user_binding(seen, latest))
+
+
+def test_best_links_of_empty_and_null_links(spark):
+    schema = "cookie_id string, userid bigint, last_time string, last_date string"
+    assert rows(cookie.best_links(spark.createDataFrame([], schema))) == []
+    none = spark.createDataFrame([("a", None, "1", "1"), (None, 1, "1", "1"), ("b", 5, None, None)], schema)
+    assert rows(cookie.best_links(none)) == [("b", None, None, 5)]

@@ -68,3 +68,34 @@ def test_recency_day_is_an_argument(spark, tmp_path, upstream):
     daily.main(["rfm", DAY, "--recency-as-of", "20240901", "--tags", f"{tmp_path}/tags", *upstream])
     assert rows(PathTagTable(spark, f"{tmp_path}/tags").read(), "userid", "tagid") == [
         ("1", "A111U008_002"), ("2", "A111U008_008")]
+
+
+def test_states_and_day_ranges(spark, tmp_path, upstream):
+    """Jobs on top of a state, and days in one pass, write what the single full runs write."""
+    def where(name):
+        return ["--tags", f"{tmp_path}/{name}", "--cookie-tags", f"{tmp_path}/{name}-cookies", *upstream]
+
+    for job, days in (("paid-info", ["20240130", DAY]), ("sms-blacklist", ["20240130", DAY])):
+        for n, day in enumerate(days):
+            first = ["--bootstrap"] if n == 0 else []
+            full = daily.main([job, day, *where("full"), *(first if job == "sms-blacklist" else [])])
+            found = daily.main([job, day, *where("state"), "--state", f"{tmp_path}/{job}", *first])
+            if day == DAY:
+                assert found == full
+    for name in ("full", "state"):
+        daily.main(["rfm", DAY, *where(name)])
+    links = ["--state", f"{tmp_path}/links", "--bootstrap"]
+    assert daily.main(["cookie-rfm", DAY, *where("state"), *links]) == daily.main(["cookie-rfm", DAY, *where("full")])
+    assert daily.main(["return-rate", "20240129", *where("days"), "--until", DAY]) == {
+        "20240129": 0, "20240130": 1, "20240131": 1}
+    assert daily.main(["sms-blacklist", "20240130", *where("days"), "--until", DAY, "--bootstrap"]) == {
+        "20240130": 1, "20240131": 1}
+    for day in ("20240130", DAY):
+        daily.main(["return-rate", day, *where("full")])
+    tables = {name: PathTagTable(spark, f"{tmp_path}/{name}") for name in ("full", "state", "days")}
+    assert rows(tables["state"].read().filter(f"data_date = {DAY}")) == rows(
+        tables["full"].read().filter(f"data_date = {DAY} AND tagtype <> 'return_goods_rate'"))
+    assert rows(tables["days"].read()) == rows(tables["full"].read().filter(
+        "tagtype IN ('return_goods_rate', 'sms_blacklist')"))
+    with pytest.raises(SystemExit):
+        daily.main(["sms-blacklist", DAY, *where("days"), "--until", DAY, "--state", f"{tmp_path}/x"])

@@ -107,3 +107,16 @@ def test_a_tag_type_that_is_not_named_fails_and_changes_nothing(spark, tags, kin
     with pytest.raises(Exception, match="not named for this write"):
         tags.overwrite(mixed, DAY, ["x", "y"])
     assert content(tags) == [(DAY, "x", "1")]
+
+
+def test_many_days_in_one_write(spark, tags):
+    tags.overwrite(some(spark, 9), DAY, "a")
+    tags.overwrite(some(spark, 8), DAY, "other")
+    tags.overwrite(some(spark, 7), NEXT, "a")
+    mixed = some(spark, 1, 2, 3).withColumn("data_date", F.when(F.col("userid") < 3, "20240129").otherwise(NEXT))
+    assert tags.overwrite_days(mixed, "20240129", NEXT, "a") == {"20240129": 2, DAY: 0, NEXT: 1}
+    assert content(tags) == [("20240129", "a", "1"), ("20240129", "a", "2"), (DAY, "other", "8"), (NEXT, "a", "3")]
+    assert tags.exists(DAY, "a")
+    with pytest.raises(Exception, match="not named for this write"):
+        tags.overwrite_days(mixed, DAY, NEXT, "a")
+    assert len(content(tags)) == 4
