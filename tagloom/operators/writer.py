@@ -14,9 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..commits import DayFolder
 from ..functions.days import Day, days_before, parse_day, partition_value
 from ..functions.tagrows import tag_schema
-from ..session import path_exists
+from ..session import path_exists, scratch_dir
 
 PARTITIONS = ("data_date", "tagtype")
 _DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -66,13 +67,16 @@ class TagTable:
         rows = (tags.select(*(F.col(f.name).cast("string").alias(f.name) for f in tag_schema(self.owner)))
                 .withColumn("tagtype", F.when(named, F.col("tagtype")).otherwise(unnamed))
                 .observe(counts, *(F.count_if(at == "/".join(p)).alias("/".join(p)) for p in partitions)))
-        self._replace(rows)
+        staged = self._replace(rows)
         written = {p: counts.get.get("/".join(p)) or 0 for p in partitions}
+        self._finish(staged, written)
+        return written
+
+    def _finish(self, staged: str | None, written: dict[tuple[str, str], int]) -> None:
         # Dynamic overwrite touches no partition that receives no row.
         for (data_date, tagtype), n in written.items():
             if n == 0:
                 self._clear(data_date, tagtype)
-        return written
 
     def partition(self, day: Day, tagtype: str) -> DataFrame:
         """Rows of one partition."""
@@ -123,8 +127,56 @@ class PathTagTable(TagTable):
         empty.write.mode("overwrite").parquet(self._folder(data_date, tagtype))
 
 
+class PublishedTagTable(TagTable):
+    """A tag table under a path whose partitions appear by one commit for each day.
+
+    Rows are written to a folder of their own.  One small file then names the
+    folders of all the day's partitions, so a reader sees all partitions of a
+    write or none, an interrupted write leaves the old day, and writers of
+    other tag types of the same day keep each other's partitions.
+    """
+
+    @property
+    def days(self) -> DayFolder:
+        return DayFolder(self.spark, self.location)
+
+    def _read(self, folders: Sequence[str]) -> DataFrame:
+        schema = tag_schema(self.owner)
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return (self.spark.read.schema(schema.add("run", "string")).option("basePath", f"{self.location}/data")
+                .parquet(*(f"{self.location}/{folder}" for folder in folders)).drop("run"))
+
+    def read(self) -> DataFrame:
+        return self._read([f for day in self.days.days() for f in self.days.names(day).values() if f])
+
+    def exists(self, day: Day, tagtype: str) -> bool:
+        return self.days.has(day, tagtype)
+
+    def partition(self, day: Day, tagtype: str) -> DataFrame:
+        # One commit is read and one folder listed, however many days the table holds.
+        folder = self.days.names(day).get(tagtype)
+        return self._read([folder] if folder else [])
+
+    def _replace(self, rows: DataFrame) -> str:
+        staged = self.days.stage()
+        rows.write.partitionBy(*PARTITIONS).parquet(f"{self.location}/{staged}")
+        return staged
+
+    def _finish(self, staged: str | None, written: dict[tuple[str, str], int]) -> None:
+        for day in sorted({data_date for data_date, _ in written}):
+            self.days.commit(day, {t: f"{staged}/data_date={d}/tagtype={t}" if n else None
+                                   for (d, t), n in written.items() if d == day})
+
+
 class CatalogTagTable(TagTable):
-    """A tag table registered in the catalog."""
+    """A tag table registered in the catalog.
+
+    Rows are written to scratch space first and inserted from there by a
+    session of their own, because catalog tables take the overwrite mode from
+    the session: the caller's settings stay as they are, also for other
+    threads, and a failing computation touches no partition.
+    """
 
     def create(self) -> None:
         columns = ", ".join(f"{f.name} STRING" for f in tag_schema(self.owner))
@@ -143,20 +195,18 @@ class CatalogTagTable(TagTable):
         return not self.spark.sql(f"SHOW PARTITIONS {self.location} {spec}").isEmpty()
 
     def _replace(self, rows: DataFrame) -> None:
-        # Catalog tables take the overwrite mode from the session only.
-        conf = self.spark.conf
-        before = {key: conf.get(key, None) for key in _DYNAMIC}
-        try:
-            for key, value in _DYNAMIC.items():
-                conf.set(key, value)
-            # insertInto takes columns by position.
-            rows.select(*self.read().columns).write.insertInto(self.location, overwrite=True)
-        finally:
-            for key, value in before.items():
-                if value is None:
-                    conf.unset(key)
-                else:
-                    conf.set(key, value)
+        staged = scratch_dir(self.spark, "tags")
+        rows.write.parquet(staged)
+        database = self.spark.catalog.currentDatabase()
+        session = self.spark.newSession()
+        for key, value in _DYNAMIC.items():
+            session.conf.set(key, value)
+        session.catalog.setCurrentDatabase(database)
+        # insertInto takes columns by position.
+        (session.read.schema(rows.schema).parquet(staged).select(*session.table(self.location).columns)
+         .write.insertInto(self.location, overwrite=True))
+        # The caller's session may remember the files of the table.
+        self.spark.catalog.refreshTable(self.location)
 
     def _clear(self, data_date: str, tagtype: str) -> None:
         spec = self._spec(data_date, tagtype)

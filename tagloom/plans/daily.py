@@ -20,7 +20,7 @@ from tagloom.functions.days import Day, days_before, parse_day
 from tagloom.operators import backfill, cookie, paid, returns, rfm, sms
 from tagloom.operators.coverage import CoveredDays, without_days
 from tagloom.operators.paid_state import PaidState, paid_tags_of
-from tagloom.operators.writer import CatalogTagTable, PathTagTable, TagTable
+from tagloom.operators.writer import CatalogTagTable, PathTagTable, PublishedTagTable, TagTable
 from tagloom.session import build_session
 from tagloom.settings import (RFM_COOKIE_TAGTYPE, RFM_USER_TAGTYPE, ReturnSettings, RfmSettings,
                               SmsSettings)
@@ -116,8 +116,8 @@ def _source(spark: SparkSession, name: str) -> Callable[[], DataFrame]:
     return lambda: spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
-def _tag_table(spark: SparkSession, name: str, owner: str) -> TagTable:
-    kind = PathTagTable if "/" in name else CatalogTagTable
+def _tag_table(spark: SparkSession, name: str, owner: str, published: bool = False) -> TagTable:
+    kind = CatalogTagTable if "/" not in name else PublishedTagTable if published else PathTagTable
     return kind(spark, name, owner)
 
 
@@ -128,6 +128,8 @@ def main(argv: list[str] | None = None) -> Written:
     parser.add_argument("day", type=parse_day, help="yyyyMMdd")
     parser.add_argument("--tags", required=True, help="user tag table or path")
     parser.add_argument("--cookie-tags", help="cookie tag table or path")
+    parser.add_argument("--published", action="store_true",
+                        help="tag tables under a path appear by one commit for each day")
     parser.add_argument("--source", action="append", default=[], metavar="NAME=TABLE",
                         help="table or path of an upstream table")
     parser.add_argument("--recency-as-of", type=parse_day)
@@ -147,14 +149,14 @@ def main(argv: list[str] | None = None) -> Written:
     spark = build_session(f"tags-{args.job}", **catalog)
     sources = {name: _source(spark, target)
                for name, target in (item.split("=", 1) for item in args.source)}
-    tags = _tag_table(spark, args.tags, "userid")
+    tags = _tag_table(spark, args.tags, "userid", args.published)
     if args.job == "rfm":
         return run_rfm(sources, tags, args.day, args.recency_as_of)
     if args.job == "cookie-rfm":
         if not args.cookie_tags:
             parser.error("cookie-rfm needs --cookie-tags")
         links = cookie.CookieLinks(spark, args.state) if args.state else None
-        return run_cookie_rfm(sources, tags, _tag_table(spark, args.cookie_tags, "cookieid"),
+        return run_cookie_rfm(sources, tags, _tag_table(spark, args.cookie_tags, "cookieid", args.published),
                               args.day, links, args.bootstrap)
     if args.job == "paid-info":
         state = PaidState(spark, args.state) if args.state else None

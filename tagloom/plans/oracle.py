@@ -266,6 +266,9 @@ ORACLE: dict[str, str] = {
     "tag_writer": _with("order_fact user_info paid_rows", f"""
         SELECT *, '20010731' AS data_date FROM ({_PAID} UNION ALL
         SELECT *, 'userid_regist_notpaid' FROM ({_UNPAID}) u) t""", orders="order_fact"),
+    "tag_publish": _with("order_fact user_info paid_rows", f"""
+        SELECT *, '20010731' AS data_date FROM ({_PAID} UNION ALL
+        SELECT *, 'userid_regist_notpaid' FROM ({_UNPAID}) u) t""", orders="order_fact"),
     "stream_word_count": """
         SELECT word, count(*) AS n FROM (
             SELECT unnest(CASE WHEN text = '' THEN [''] WHEN rtrim(text, ' ') = '' THEN []

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.days import days_before
+from ..functions.days import days_before, partition_value
 from ..operators import backfill, cookie, paid, returns, rfm, sms
 from ..operators.coverage import CoveredDays
 from ..operators.paid_state import PaidState, paid_tags_of
-from ..operators.writer import PathTagTable
+from ..operators.writer import PathTagTable, PublishedTagTable
 from ..session import scratch_dir
 from ..sources import sample
 from ..sources.kafka import after_ledger, union_streams
@@ -157,6 +157,15 @@ def tag_writer(spark: SparkSession, folder: str) -> DataFrame:
     return tags.read()
 
 
+@query
+def tag_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """The payment partitions of one day by one commit, after a run of the day before's tags and a rerun."""
+    tags = PublishedTagTable(spark, scratch_dir(spark, "tag_publish"))
+    for day in (days_before(sample.PAID_DAY, 1), sample.PAID_DAY, sample.PAID_DAY):
+        daily.run_paid_info(sample_sources(spark, folder), tags, day)
+    return tags.read().where(F.col("data_date") == partition_value(sample.PAID_DAY))
+
+
 @query
 def sms_blacklist_chain(spark: SparkSession, folder: str) -> DataFrame:
     """Two days through the table: each reads the partition before its own."""

@@ -61,3 +61,16 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.exists(location) and files.getFileStatus(location).isDirectory()
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern of their file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder if it exists."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)

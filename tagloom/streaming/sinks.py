@@ -7,37 +7,128 @@ of other queries stay: a new checkpoint is a new query.
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .runner import BatchKey
+from ..commits import CommitLog
+from ..session import delete_path, glob_paths
+from .runner import BatchHandler, BatchKey
 
 QUERY, BATCH = "query_id", "batch_id"
 
 
 @dataclass(frozen=True)
 class BatchFolder:
-    """A parquet folder with one partition per query and batch."""
+    """A parquet folder with one partition per query and batch, merged from time to time.
+
+    A small document names the merged folders and, for each query, the last
+    batch they hold; readers take these and the batches after it.  Merging
+    writes a new folder first and then replaces the document, so no row is
+    lost or read twice when it is interrupted at any point.  With ``schema``
+    (without query and batch) no reader looks into files for their columns.
+    """
 
     spark: SparkSession
     location: str
+    schema: T.StructType | None = None
+
+    @property
+    def _log(self) -> CommitLog:
+        return CommitLog(self.spark, f"{self.location}/_merged/log")
 
     def write(self, rows: DataFrame, key: BatchKey) -> None:
+        if key.batch_id <= self._log.read().get("upto", {}).get(key.query_id, -1):
+            return  # merged already, hence complete
         rows.write.mode("overwrite").parquet(self._batch(key))
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.location)
+        """All rows, with ``query_id`` and ``batch_id``."""
+        document = self._log.read()
+        batches = [self._batch(key) for key in self._batches() if key.batch_id > document.get("upto", {}).get(
+            key.query_id, -1)]
+        return self._rows(batches, [f"{self.location}/{run}" for run in document.get("runs", [])])
 
     def read_batch(self, key: BatchKey) -> DataFrame:
-        return self.spark.read.parquet(self._batch(key))
+        reader = self.spark.read.schema(self.schema) if self.schema else self.spark.read
+        return reader.parquet(self._batch(key))
+
+    def merge(self, keep: int = 1, runs: int = 8) -> int:
+        """Merge the batches of every query but the ``keep`` newest, which may still be repeated; returns their number.
+
+        Merged folders are merged themselves when there are more than ``runs``
+        of them.  Folders that an earlier merge has replaced are deleted, those
+        of this one stay for the readers that are at them.  One merge at a time.
+        """
+        document = self._log.read()
+        upto, old, dead = (document.get(name, kind()) for name, kind in (("upto", dict), ("runs", list), ("dead", list)))
+        queries: dict[str, list[int]] = {}
+        for key in self._batches():
+            queries.setdefault(key.query_id, []).append(key.batch_id)
+        closed = [BatchKey(q, b) for q, found in queries.items()
+                  for b in sorted(found)[:len(found) - keep] if b > upto.get(q, -1)]
+        if not closed:
+            return 0
+        again = old if len(old) >= runs else []
+        run = f"_merged/data/{uuid.uuid4().hex}"
+        rows = self._rows([self._batch(key) for key in closed], [f"{self.location}/{r}" for r in again])
+        # Files of a good size, whatever the number of batches.
+        rows.hint("rebalance").write.parquet(f"{self.location}/{run}")
+        ends = {**upto}
+        for key in closed:
+            ends[key.query_id] = max(ends.get(key.query_id, -1), key.batch_id)
+        replaced = again + [f"{QUERY}={key.query_id}/{BATCH}={key.batch_id}" for key in closed]
+        self._log.update(lambda _: {"upto": ends, "runs": [*(r for r in old if r not in again), run], "dead": replaced})
+        for folder in dead:
+            delete_path(self.spark, f"{self.location}/{folder}")
+        return len(closed)
+
+    def _rows(self, batches: Sequence[str], runs: Sequence[str]) -> DataFrame:
+        schema = self.schema
+        if schema is None:
+            if not batches and not runs:
+                return self.spark.read.parquet(self.location)  # says that there is nothing
+            found = self.spark.read.parquet(batches[0] if batches else runs[0]).schema
+            schema = T.StructType([f for f in found.fields if f.name not in (QUERY, BATCH)])
+        whole = T.StructType([*schema.fields, T.StructField(QUERY, T.StringType()), T.StructField(BATCH, T.LongType())])
+        parts = []
+        if batches:
+            parts.append(self.spark.read.schema(whole).option("basePath", self.location).parquet(*batches))
+        if runs:
+            parts.append(self.spark.read.schema(whole).parquet(*runs))
+        if not parts:
+            return self.spark.createDataFrame([], whole)
+        return functools.reduce(DataFrame.unionByName, parts)
+
+    def _batches(self) -> list[BatchKey]:
+        """Batches whose folders are complete."""
+        pattern = f"{self.location}/{QUERY}=*/{BATCH}=*/_SUCCESS"
+        found = []
+        for path in glob_paths(self.spark, pattern):
+            query, batch = path.split("/")[-3:-1]
+            found.append(BatchKey(query.split("=", 1)[1], int(batch.split("=", 1)[1])))
+        return found
 
     def _batch(self, key: BatchKey) -> str:
         return f"{self.location}/{QUERY}={key.query_id}/{BATCH}={key.batch_id}"
 
 
+def merging(handler: BatchHandler, sink: BatchFolder, every: int = 300) -> BatchHandler:
+    """Merge the sink's batches after every ``every``-th one (ten minutes of two-second batches)."""
+
+    def handle(batch: DataFrame, key: BatchKey) -> None:
+        handler(batch, key)
+        if key.batch_id % every == every - 1:
+            sink.merge()
+
+    return handle
+
+
 def jdbc_transaction(spark: SparkSession, url: str, properties: dict[str, str],
                      statements: Sequence[str]) -> None:
     """Run statements in one database transaction.

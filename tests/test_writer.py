@@ -1,21 +1,26 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 from frames import rows
 from pyspark.sql import functions as F
+from tagloom.commits import CommitLog
 from tagloom.functions.tagrows import tag_schema
-from tagloom.operators.writer import CatalogTagTable, PathTagTable
+from tagloom.operators import writer
+from tagloom.operators.writer import CatalogTagTable, PathTagTable, PublishedTagTable
 from tagloom.plans import daily
 
 DAY, NEXT = "20240130", "20240131"
 TAGS = "tagid string, userid bigint, tagweight double, tagranking string, reserve string, reserve1 string"
 
 
-@pytest.fixture(params=["path", "catalog"])
+@pytest.fixture(params=["path", "published", "catalog"])
 def tags(request, spark, tmp_path):
     if request.param == "path":
         yield PathTagTable(spark, str(tmp_path / "tags"))
+    elif request.param == "published":
+        yield PublishedTagTable(spark, str(tmp_path / "tags"))
     else:
         table = CatalogTagTable(spark, "tags_under_test")
         table.create()
@@ -120,3 +125,62 @@ def test_many_days_in_one_write(spark, tags):
     with pytest.raises(Exception, match="not named for this write"):
         tags.overwrite_days(mixed, DAY, NEXT, "a")
     assert len(content(tags)) == 4
+
+
+def test_threads_keep_each_others_partitions_and_settings(spark, tags):
+    """Writers in one session, of several types of a day and of several days, while settings are read."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before, seen = spark.conf.get(mode, None), set()
+    tags.overwrite(some(spark, 0), DAY, "kept")
+
+    def write(n):
+        tags.overwrite(some(spark, n, n + 100), DAY if n % 2 else NEXT, f"t{n}")
+        seen.add(spark.conf.get(mode, None))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(1, 9)))
+    assert content(tags) == sorted([(DAY, "kept", "0")] + [
+        (DAY if n % 2 else NEXT, f"t{n}", str(u)) for n in range(1, 9) for u in (n, n + 100)])
+    assert seen == {before}
+
+
+def test_an_interrupted_write_leaves_the_old_day(spark, tmp_path, monkeypatch):
+    tags = PublishedTagTable(spark, f"{tmp_path}/tags")
+    mixed = some(spark, 1, 2).withColumn("tagtype", F.when(F.col("userid") < 2, "a").otherwise("b"))
+    tags.overwrite(mixed, DAY, ["a", "b"])
+    before = content(tags)
+    # Lost while rows are written: half of them fail.
+    bad = mixed.withColumn("reserve", F.when(F.col("userid") == 2, F.raise_error(F.lit("lost"))).otherwise("")).cache()
+    with pytest.raises(Exception, match="lost"):
+        tags.overwrite(bad, DAY, ["a", "b"])
+    assert content(tags) == before
+    # Lost between the rows and the commit.
+    with monkeypatch.context() as patch:
+        patch.setattr(writer.DayFolder, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            tags.overwrite(some(spark, 7, 8).withColumn("tagtype", F.lit("a")), DAY, ["a", "b"])
+    assert content(tags) == before
+    tags.overwrite(some(spark, 7).withColumn("tagtype", F.lit("a")), DAY, ["a", "b"])
+    assert content(tags) == [(DAY, "a", "7")] and tags.exists(DAY, "b")
+    assert tags.days.vacuum() == 3 and content(tags) == [(DAY, "a", "7")]
+
+
+def test_numbered_documents_add_up(spark, tmp_path):
+    log = CommitLog(spark, f"{tmp_path}/log")
+    assert log.read() == {}
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda n: log.update(lambda old: {**old, str(n): n}), range(20)))
+    assert log.read() == {str(n): n for n in range(20)}
+    assert len(log._numbers()) == 5
+    # Another process has taken the next number: the change is applied to its document.
+    number, found = log._read()
+    calls = []
+
+    def change(old):
+        if not calls:
+            assert log._put(number + 1, {**old, "other": 1})
+        calls.append(old)
+        return {**old, "own": 1}
+
+    log.update(change)
+    assert log.read() == {**found, "other": 1, "own": 1} and len(calls) == 2
