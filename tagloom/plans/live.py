@@ -8,22 +8,23 @@ from __future__ import annotations
 
 import argparse
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tagloom.session import STREAMING, build_session
-from tagloom.sources.kafka import kafka_options, kafka_stream, topic_list
+from tagloom.sources.kafka import StartOffset, kafka_options, kafka_stream, topic_list
 from tagloom.streaming import events, runner, words
 from tagloom.streaming.offsets import OffsetLedger, OffsetReporter
-from tagloom.streaming.sinks import BatchFolder, JdbcTable
+from tagloom.streaming.sinks import BatchFolder, JdbcTable, merging
 
 
 def start_word_count(messages: DataFrame, out: str, available_now: bool = False) -> StreamingQuery:
     """Words of each two-second batch, with a preview of ten counts."""
-    sink = BatchFolder(messages.sparkSession, f"{out}/counts")
+    sink = BatchFolder(messages.sparkSession, f"{out}/counts", words.COUNTS)
     handler = words.word_count_handler(sink, preview=lambda rows: print(*rows, sep="\n"))
-    return runner.start_batches(messages, handler, f"{out}/checkpoint", available_now)
+    return runner.start_batches(messages, merging(handler, sink), f"{out}/checkpoint", available_now)
 
 
 def start_window_word_count(messages: DataFrame, out: str, available_now: bool = False,
@@ -39,13 +40,20 @@ def report_batch(batch: int, rows: int, ranges: list, late: int) -> None:
 
 def start_event_extract(messages: DataFrame, out: str, available_now: bool = False,
                         sink: BatchFolder | JdbcTable | None = None,
-                        ledger: OffsetLedger | JdbcTable | None = None) -> StreamingQuery:
-    """Events, batch counts and the offset ledger from one read of each batch."""
+                        ledger: OffsetLedger | JdbcTable | None = None,
+                        partitions: Sequence[StartOffset] = ()) -> StreamingQuery:
+    """Events, batch counts and the offset ledger from one pass over each batch.
+
+    ``partitions`` have their row in the ledger before their first message.
+    """
     spark = messages.sparkSession
-    handler = events.together(
-        events.append_handler(sink or BatchFolder(spark, f"{out}/events")),
-        events.count_handler(BatchFolder(spark, f"{out}/counts")),
-        events.ledger_handler(ledger or OffsetLedger(spark, f"{out}/offsets")))
+    sink = sink or BatchFolder(spark, f"{out}/events", events.EVENTS)
+    counts = BatchFolder(spark, f"{out}/counts", events.BATCH_COUNT)
+    handler = events.recorded(events.append_handler(sink), ledger or OffsetLedger(spark, f"{out}/offsets"), counts,
+                              partitions)
+    for folder in (sink, counts):
+        if isinstance(folder, BatchFolder):
+            handler = merging(handler, folder)
     return runner.start_batches(messages, handler, f"{out}/checkpoint", available_now)
 
 
@@ -106,7 +114,8 @@ def main(argv: list[str] | None = None) -> None:
             sink = JdbcTable(spark, args.jdbc_url, args.jdbc_table, login, args.jdbc_connections)
             if args.jdbc_ledger:
                 ledger = JdbcTable(spark, args.jdbc_url, args.jdbc_ledger, login)
-        query = start_event_extract(messages, args.out, sink=sink, ledger=ledger)
+        query = start_event_extract(messages, args.out, sink=sink, ledger=ledger,
+                                    partitions=[place for place in start if place[2] >= 0])
     if args.console:
         runner.start_console(messages.select("topic", "partition", "offset", "value"),
                              f"{args.out}/console-checkpoint")

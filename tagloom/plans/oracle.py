@@ -289,6 +289,12 @@ ORACLE: dict[str, str] = {
     "stream_offset_ledger": """
         SELECT 'events' AS topic, CAST(event_id % 8 AS INTEGER) AS partitionname,
                max(event_id // 8) + 1 AS "untilOffset" FROM events GROUP BY event_id % 8""",
+    "stream_merged_append": _with(_MESSAGES, "SELECT data_date, cookies_num FROM extracted"),
+    "stream_ledger_from_progress": """
+        SELECT 'events' AS topic, CAST(p AS INTEGER) AS partitionname,
+               coalesce(max(event_id // 8) + 1, 0) AS "untilOffset", count(event_id) AS n,
+               (SELECT count(*) FROM events) AS batch_rows, (SELECT count(*) FROM events) AS events
+        FROM range(0, 9) r(p) LEFT JOIN events ON event_id % 8 = p GROUP BY p""",
     "stream_batch_count": "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n FROM events",
     "stream_source_from_offsets": """
         SELECT 'events' AS topic, CAST(event_id % 8 AS INTEGER) AS partition, count(*) AS n,

@@ -349,6 +349,34 @@ def stream_offset_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.read()
 
 
+@query
+def stream_ledger_from_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """End offsets and row counts measured while the events are written; one partition is silent, one new."""
+    out = scratch_dir(spark, "ledger_from_progress")
+    ledger = OffsetLedger(spark, f"{out}/ledger")
+    sink, counts = (BatchFolder(spark, f"{out}/{name}", kind) for name, kind in (
+        ("events", events.EVENTS), ("counts", events.BATCH_COUNT)))
+    start = [("events", partition, 0) for partition in (*range(7), 8)]
+    handler = events.recorded(events.append_handler(sink), ledger, counts, start)
+    runner.drain_batches(_log_stream(spark, folder), handler, out)
+    total = counts.read().agg(F.sum("n").alias("batch_rows"))
+    written = sink.read().agg(F.count("*").alias("events"))
+    return ledger.counts().join(total.join(written, how="full"), how="full")
+
+
+@query
+def stream_merged_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Four runs share a sink, which is merged after each of them."""
+    out = scratch_dir(spark, "merged_append")
+    sink = BatchFolder(spark, f"{out}/events", events.EVENTS)
+    for run in range(4):
+        part = _log_stream(spark, folder).where(F.col("offset") % 4 == run)
+        runner.drain_batches(part, events.append_handler(sink), f"{out}/run{run}")
+        if run > 0:
+            sink.merge(keep=0, runs=2)
+    return sink.read().select("data_date", "cookies_num")
+
+
 @query
 def stream_batch_count(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_dir(spark, "batch_count")

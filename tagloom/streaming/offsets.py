@@ -7,10 +7,11 @@ people and monitors.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -30,6 +31,48 @@ def batch_offsets(batch: DataFrame) -> DataFrame:
             .agg((F.max("offset") + 1).alias("untilOffset"), F.count("*").alias("n")))
 
 
+BatchRange = tuple[str, int, int, int]
+_RANGE_SCHEMA = "topic string, partitionname int, untilOffset bigint, n bigint"
+
+
+class ObservedOffsets:
+    """What a batch holds of known partitions, measured while something else reads the batch.
+
+    ``rows`` is to be used in the batch's place, by one action that reads all
+    of it; ``ranges`` then has (topic, partition, end offset, number of rows)
+    of every known partition, with the offset it had before where the batch
+    holds nothing of it.  Rows of other partitions are counted in ``unknown``.
+    """
+
+    def __init__(self, batch: DataFrame, known: Iterable[StartOffset]):
+        self._known = sorted(known)
+        self._seen = Observation(f"offsets-{uuid.uuid4().hex}")
+        places = [(F.col("topic") == topic) & (F.col("partition") == partition) for topic, partition, _ in self._known]
+        metrics = [F.count("*").alias("n")]
+        for i, here in enumerate(places):
+            metrics += [F.count_if(here).alias(f"n{i}"), (F.max(F.when(here, F.col("offset"))) + 1).alias(f"until{i}")]
+        self.rows = batch.observe(self._seen, *metrics)
+
+    @property
+    def total(self) -> int:
+        return self._seen.get.get("n") or 0
+
+    @property
+    def unknown(self) -> int:
+        return self.total - sum(n for *_, n in self.ranges)
+
+    @property
+    def ranges(self) -> list[BatchRange]:
+        seen = self._seen.get
+        return [(topic, partition, start if seen.get(f"until{i}") is None else seen[f"until{i}"], seen.get(f"n{i}") or 0)
+                for i, (topic, partition, start) in enumerate(self._known)]
+
+
+def ranges_frame(spark: SparkSession, ranges: Sequence[BatchRange]) -> DataFrame:
+    """Ranges as rows for ``OffsetLedger.update``."""
+    return spark.createDataFrame(list(ranges), _RANGE_SCHEMA)
+
+
 @dataclass(frozen=True)
 class OffsetLedger:
     """The latest end offset of every partition, kept under a path.
@@ -66,6 +109,13 @@ class OffsetLedger:
         latest = self._rows().withColumn("newest", newest).where("batch_id = newest")
         return latest.groupBy(*LEDGER_KEYS).agg(F.max_by("untilOffset", "written").alias("untilOffset"))
 
+    def counts(self) -> DataFrame:
+        """(topic, partitionname, untilOffset, n), with the rows of each partition's last batch."""
+        newest = F.max("batch_id").over(Window.partitionBy("query_id"))
+        latest = self._rows().withColumn("newest", newest).where("batch_id = newest")
+        return (latest.groupBy(*LEDGER_KEYS).agg(F.max_by(F.struct("untilOffset", "n"), "written").alias("last"))
+                .select(*LEDGER_KEYS, "last.untilOffset", "last.n"))
+
     def start_offsets(self) -> list[StartOffset]:
         """Where to go on, for ``kafka_options``: one row per partition."""
         return [tuple(row) for row in self.read().orderBy(*LEDGER_KEYS).collect()]
@@ -119,3 +169,30 @@ class OffsetReporter(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         pass
+
+
+class LedgerListener(StreamingQueryListener):
+    """Writes the offset ranges that Spark reports for the Kafka sources of one query to a ledger.
+
+    No message is read for it, and partitions without messages have their
+    rows.  Ranges count offsets, also where a compacted topic has none left.
+    """
+
+    def __init__(self, ledger: OffsetLedger, query_id: str | None = None):
+        self._ledger, self._query_id = ledger, query_id
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        ranges = [(r.topic, r.partition, r.untilOffset, r.untilOffset - r.fromOffset)
+                  for r in progress_ranges(progress.json)]
+        if ranges and self._query_id in (None, str(progress.id)):
+            self._ledger.update(ranges_frame(self._ledger.spark, ranges), BatchKey(str(progress.id), progress.batchId))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

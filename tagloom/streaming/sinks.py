@@ -202,7 +202,8 @@ class JdbcTable:
         options = {**self.properties, "numPartitions": str(self.connections)}
         if not self._created:
             # An empty append creates a missing table and keeps an existing one.
-            self.write(staged.select(*columns).limit(0), self.url, self.name, options)
+            empty = self.spark.createDataFrame([], staged.select(*columns).schema)
+            self.write(empty, self.url, self.name, options)
             self._created = True
         self.write(staged, self.url, self.stage, options)
         inner = f"SELECT DISTINCT {', '.join(staged.columns)} FROM {self.stage} WHERE {_same_batch(key)}"

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.words import count_words, explode_words
 from .runner import BatchHandler, BatchKey
@@ -14,6 +15,7 @@ from .sinks import BatchFolder
 # Length and slide of the window, in seconds.
 WINDOW_SECONDS, SLIDE_SECONDS = 60, 2
 PREVIEW_ROWS = 10
+COUNTS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
 
 def word_count_handler(sink: BatchFolder, text: str = "value",

@@ -3,14 +3,17 @@
 import datetime as dt
 import json
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from frames import rows
 from tagloom.plans import live
 from tagloom.sources.kafka import after_ledger, kafka_options, topic_list, union_streams
 from tagloom.streaming import events, runner, words
-from tagloom.streaming.offsets import OffsetLedger, OffsetReporter, batch_offsets, progress_ranges
+from tagloom.streaming.offsets import (LedgerListener, OffsetLedger, OffsetReporter, batch_offsets,
+                                       progress_ranges)
 from tagloom.streaming.runner import BatchKey
 from tagloom.streaming.sinks import BatchFolder, JdbcTable
 
@@ -413,3 +416,56 @@ def test_a_table_of_several_files_is_streamed_whole(spark, tmp_path):
     assert query.lastProgress["batchId"] == 2
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         table_stream(spark, str(tmp_path), "missing")
+
+
+def test_ledger_and_counts_come_from_the_pass_that_writes(spark, tmp_path):
+    """Silent and new partitions, repeated batches, and every message read once."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        read.add(1)
+        return value
+
+    sink, ledger = BatchFolder(spark, f"{tmp_path}/e", events.EVENTS), OffsetLedger(spark, f"{tmp_path}/l")
+    counts = BatchFolder(spark, f"{tmp_path}/c", events.BATCH_COUNT)
+    handle = events.recorded(events.append_handler(sink), ledger, counts, [("t", 0, 3), ("t", 1, 7), ("u", 0, 0)])
+
+    def run(batch_id, *messages):
+        frame = spark.createDataFrame(messages, LOG).withColumn("value", counted.asNondeterministic()("value"))
+        handle(frame, key(batch_id))
+
+    for _ in range(2):
+        run(0, message(event(60, "x"), 0, 5), message(event(61, "y"), 0, 4))
+    assert rows(ledger.counts()) == [("t", 0, 6, 2), ("t", 1, 7, 0), ("u", 0, 0, 0)]
+    assert read.value == 4
+    run(1, message("bad", 1, 9), message("bad", 2, 30), message("bad", 2, 31))
+    assert rows(ledger.read()) == [("t", 0, 6), ("t", 1, 10), ("t", 2, 32), ("u", 0, 0)]
+    read.value = 0
+    run(2, message("bad", 2, 32))
+    run(3)
+    assert read.value == 1
+    assert rows(ledger.read()) == [("t", 0, 6), ("t", 1, 10), ("t", 2, 33), ("u", 0, 0)]
+    assert rows(counts.read(), "batch_id", "n") == [(0, 2), (1, 3), (2, 1), (3, 0)]
+    # A new run knows the partitions of the ledger.
+    again = events.recorded(events.append_handler(sink), ledger, counts)
+    again(spark.createDataFrame([message("bad", 0, 6)], LOG), key(0, "second"))
+    assert rows(ledger.read()) == [("t", 0, 7), ("t", 1, 10), ("t", 2, 33), ("u", 0, 0)]
+
+
+def test_ledger_from_reported_progress(spark, tmp_path):
+    ledger = OffsetLedger(spark, f"{tmp_path}/l")
+    listener = LedgerListener(ledger, "q")
+
+    def progress(batch_id, start, end, query="q"):
+        text = json.dumps({"sources": [{"startOffset": start, "endOffset": end}]})
+        return SimpleNamespace(progress=SimpleNamespace(id=query, batchId=batch_id, json=text))
+
+    listener.onQueryProgress(progress(0, {"t": {"0": 5, "1": 9}}, {"t": {"0": 8, "1": 9}}))
+    assert rows(ledger.counts()) == [("t", 0, 8, 3), ("t", 1, 9, 0)]
+    listener.onQueryProgress(progress(0, {"t": {"0": 5, "1": 9}}, {"t": {"0": 8, "1": 9}}))
+    listener.onQueryProgress(progress(1, None, {"t": {"0": 8, "1": 11}}, "another"))
+    listener.onQueryProgress(progress(1, {"t": {"0": 8, "1": 9}}, {"t": {"0": 8, "1": 11}}))
+    assert rows(ledger.counts()) == [("t", 0, 8, 0), ("t", 1, 11, 2)]
+    listener.onQueryProgress(progress(2, {"logOffset": 1}, {"logOffset": 2}))
+    assert ledger.start_offsets() == [("t", 0, 8), ("t", 1, 11)]
