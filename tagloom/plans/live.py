@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tagloom.session import STREAMING, build_session
 from tagloom.sources.kafka import StartOffset, kafka_options, kafka_stream, topic_list
-from tagloom.streaming import events, runner, words
+from tagloom.streaming import events, rolling, runner, words
+from tagloom.streaming.late import WindowTable
 from tagloom.streaming.offsets import OffsetLedger, OffsetReporter
 from tagloom.streaming.sinks import BatchFolder, JdbcTable, merging
 
@@ -28,10 +29,17 @@ def start_word_count(messages: DataFrame, out: str, available_now: bool = False)
 
 
 def start_window_word_count(messages: DataFrame, out: str, available_now: bool = False,
-                            lateness: str = "1 minute") -> StreamingQuery:
-    """Words of the last minute, every two seconds."""
-    return runner.start_append(words.window_word_counts(messages, lateness=lateness), f"{out}/counts",
-                               f"{out}/checkpoint", available_now)
+                            lateness: str = "1 minute", totals: bool = False) -> StreamingQuery:
+    """Words of the last minute, every two seconds; with ``totals`` from one running total for each word."""
+    count = rolling.rolling_word_counts if totals else words.window_word_counts
+    return runner.start_append(count(messages, lateness=lateness), f"{out}/counts", f"{out}/checkpoint", available_now)
+
+
+def start_late_word_count(messages: DataFrame, out: str, available_now: bool = False,
+                          lateness: int = 60) -> StreamingQuery:
+    """Words of the last minute, every two seconds; late ones are kept for ``WindowTable.correct``."""
+    windows = WindowTable(messages.sparkSession, out, text="value", lateness=lateness)
+    return runner.start_batches(messages, windows.handle, f"{out}/checkpoint", available_now)
 
 
 def report_batch(batch: int, rows: int, ranges: list, late: int) -> None:
@@ -64,7 +72,7 @@ def _start_offset(text: str) -> tuple[str, int, int]:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="message-stream jobs")
-    parser.add_argument("job", choices=["word-count", "window-word-count", "event-extract"])
+    parser.add_argument("job", choices=["word-count", "window-word-count", "late-word-count", "event-extract"])
     parser.add_argument("--servers", required=True)
     parser.add_argument("--topics", required=True, type=topic_list, help="comma separated")
     parser.add_argument("--out", required=True, help="shared folder for output and checkpoints")
@@ -75,6 +83,9 @@ def main(argv: list[str] | None = None) -> None:
                              "--start names partitions that it does not hold")
     parser.add_argument("--lateness", default="1 minute",
                         help="how long windows wait for late messages")
+    parser.add_argument("--late-seconds", type=int, default=60, help="late-word-count: seconds before a window closes")
+    parser.add_argument("--totals", action="store_true",
+                        help="window-word-count: one running total for each word instead of one for each window")
     parser.add_argument("--console", action="store_true", help="print the first messages of every batch")
     parser.add_argument("--group-id")
     parser.add_argument("--min-partitions", type=int, help="read tasks per batch")
@@ -104,7 +115,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "word-count":
         query = start_word_count(messages, args.out)
     elif args.job == "window-word-count":
-        query = start_window_word_count(messages, args.out, lateness=args.lateness)
+        query = start_window_word_count(messages, args.out, lateness=args.lateness, totals=args.totals)
+    elif args.job == "late-word-count":
+        query = start_late_word_count(messages, args.out, lateness=args.late_seconds)
     else:
         sink = ledger = None
         if args.jdbc_url:

@@ -275,6 +275,8 @@ ORACLE: dict[str, str] = {
                                ELSE string_split(rtrim(text, ' '), ' ') END) AS word
             FROM documents) t GROUP BY word""",
     "stream_window_word_count": _with("slid", _WINDOWS),
+    "stream_rolling_word_count": _with("slid", _WINDOWS),
+    "stream_late_word_count": _with("slid", _WINDOWS),
     "window_word_count": _with("slid", _WINDOWS),
     "stream_union": """
         SELECT source, count(*) AS n, CAST(sum(length(value)) AS BIGINT) AS characters FROM (

@@ -12,11 +12,12 @@ from ..operators import backfill, cookie, paid, returns, rfm, sms
 from ..operators.coverage import CoveredDays
 from ..operators.paid_state import PaidState, paid_tags_of
 from ..operators.writer import PathTagTable, PublishedTagTable
-from ..session import scratch_dir
+from ..session import STREAMING, scratch_dir, with_settings
 from ..sources import sample
 from ..sources.kafka import after_ledger, union_streams
 from ..sources.replay import table, table_stream
-from ..streaming import events, runner, words
+from ..streaming import events, rolling, runner, words
+from ..streaming.late import WindowTable
 from ..streaming.offsets import OffsetLedger, batch_offsets
 from ..streaming.sinks import BatchFolder
 from . import daily
@@ -295,6 +296,30 @@ def stream_window_word_count(spark: SparkSession, folder: str) -> DataFrame:
     return _window_text(closed.unionByName(still_open))
 
 
+@query
+def stream_rolling_word_count(spark: SparkSession, folder: str) -> DataFrame:
+    """The same windows from one running total for each word."""
+    session = with_settings(spark, STREAMING)
+    counts = rolling.rolling_word_counts(_timed(table_stream(session, folder, "events")), lateness="1 minute")
+    out = scratch_dir(spark, "rolling_word_count")
+    closed, watermark, _ = runner.drain_closed(counts, out)
+    closed = spark.read.schema(closed.schema).parquet(f"{out}/rows")  # by the caller's session
+    still_open = words.open_window_counts(_timed(table(spark, folder, "events")), watermark)
+    return _window_text(closed.unionByName(still_open))
+
+
+@query
+def stream_late_word_count(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of a stream whose messages come in no order at all: closed, corrected by the late words, and open."""
+    out = scratch_dir(spark, "late_word_count")
+    # Six batches with messages of all times in each.
+    _timed(table(spark, folder, "events")).repartition(6, F.xxhash64("timestamp")).write.parquet(f"{out}/in/events.parquet")
+    windows = WindowTable(spark, f"{out}/windows", lateness=600)
+    runner.drain_batches(table_stream(spark, f"{out}/in", "events", files_per_batch=1), windows.handle, out)
+    windows.correct()
+    return _window_text(windows.counts().unionByName(windows.open_counts()))
+
+
 @query
 def window_word_count(spark: SparkSession, folder: str) -> DataFrame:
     """All windows, from the same plan over the whole table."""

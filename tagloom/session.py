@@ -31,6 +31,18 @@ def build_session(app_name: str, master: str | None = None,
     return builder.getOrCreate()
 
 
+def with_settings(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of its own with some settings changed and the caller's others; the caller's session stays as it is."""
+    session = spark.newSession()
+    for key in (*DEFAULTS, "spark.sql.shuffle.partitions"):
+        value = spark.conf.get(key, None)
+        if value is not None:
+            session.conf.set(key, value)
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    return session
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path for checkpoints and intermediate tables that every executor sees.
 

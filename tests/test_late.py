@@ -1,0 +1,91 @@
+"""Windows with late words against the counts of the whole table."""
+
+import random
+
+import pytest
+
+from tagloom.streaming import runner
+from tagloom.streaming.late import WindowTable
+from tagloom.streaming.runner import BatchKey
+from test_streams import LOG, Inbox, brute_windows, message, seconds_of
+
+
+def spoken(seed, n=40):
+    rng = random.Random(seed)
+    return [(" ".join(rng.choices("abc", k=rng.randrange(1, 4))), rng.randrange(300)) for _ in range(n)]
+
+
+def put_together(table):
+    found = seconds_of(table.counts())
+    for key, n in seconds_of(table.open_counts()).items():
+        assert key not in found
+        found[key] = n
+    return found
+
+
+@pytest.mark.parametrize("length, slide, lateness", [(60, 2, 20), (60, 2, 0), (12, 4, 400), (8, 8, 10)])
+def test_closed_late_and_open_windows_are_all(spark, tmp_path, length, slide, lateness):
+    inbox, said = Inbox(spark, tmp_path / "inbox"), spoken(length + lateness)
+    for start in range(0, len(said), 8):
+        inbox.put(*(message(t, second=s) for t, s in said[start:start + 8]))
+    table = WindowTable(spark, f"{tmp_path}/w", length=length, slide=slide, lateness=lateness)
+    runner.drain_batches(inbox.stream(), table.handle, f"{tmp_path}/q")
+    everything = brute_windows(said, length, slide)
+    corrected = table.correct()
+    assert (corrected > 0) == (lateness < 300)
+    assert put_together(table) == everything
+    assert table.correct() == 0
+    # A restart goes on from the written slides.
+    more = spoken(99, 8)
+    inbox.put(*(message(t, second=s) for t, s in more))
+    runner.drain_batches(inbox.stream(), table.handle, f"{tmp_path}/q")
+    table.correct()
+    assert put_together(table) == brute_windows(said + more, length, slide)
+
+
+def test_late_words_are_kept_aside_until_they_are_merged(spark, tmp_path):
+    table = WindowTable(spark, f"{tmp_path}/w", lateness=0)
+
+    def run(batch_id, *messages):
+        table.handle(spark.createDataFrame(messages, LOG), BatchKey("q", batch_id))
+
+    for _ in range(2):                                  # delivered twice
+        run(0, message("a", second=10))
+    run(1, message("b", second=200))
+    closed = seconds_of(table.counts())
+    assert closed == brute_windows([("a", 10)], 60, 2)
+    for _ in range(2):
+        run(2, message("a late", second=11), message("b", second=201), ("k", "no time", "t", 0, 0, None))
+    assert [(r.word, r.n) for r in table.late.read().orderBy("word").collect()] == [("a", 1), ("late", 1)]
+    before = seconds_of(table.counts())
+    assert {k: n for k, n in before.items() if k[2] in ("a", "late")} == closed
+    assert table.correct() == 1
+    found = seconds_of(table.counts())
+    assert {k: n for k, n in found.items() if k[2] in ("a", "late")} == brute_windows([("a", 10), ("a late", 11)], 60, 2)
+    run(0, message("changed", second=10))               # an old batch again changes nothing
+    assert seconds_of(table.counts()) == found
+
+
+def test_a_killed_batch_is_repeated(spark, tmp_path, monkeypatch):
+    table = WindowTable(spark, f"{tmp_path}/w", lateness=0)
+    said = [("a b", 3), ("a", 100), ("b", 4)]
+    for n, (text, second) in enumerate(said):
+        frame = spark.createDataFrame([message(text, second=second)], LOG)
+        with monkeypatch.context() as patch:
+            patch.setattr(WindowTable, "_log", property(lambda self: _Failing(self.spark, f"{self.location}/_batches")))
+            with pytest.raises(RuntimeError):
+                table.handle(frame, BatchKey("q", n))
+        table.handle(frame, BatchKey("q", n))
+    table.correct()
+    assert put_together(table) == brute_windows(said, 60, 2)
+
+
+class _Failing(WindowTable._log.fget.__globals__["CommitLog"]):
+    def update(self, change):
+        raise RuntimeError("killed")
+
+
+def test_no_messages(spark, tmp_path):
+    table = WindowTable(spark, f"{tmp_path}/w")
+    table.handle(spark.createDataFrame([], LOG), BatchKey("q", 0))
+    assert seconds_of(table.counts()) == {} == seconds_of(table.open_counts()) and table.correct() == 0
