@@ -33,7 +33,7 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return vectors.near_duplicates(read(spark, folder, "embeddings"), 0.9)
+    return vectors.near_duplicates(read(spark, folder, "embeddings"), 0.9, recall=0.999)
 
 
 def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,11 +4,14 @@ Unit vectors are assigned to coarse cells; the residual is coded by one byte
 in each of eight subspaces, and the length of what the code misses is kept.
 A vector asks every cell that a vector within reach of it can lie in: those
 whose bisecting plane is no further than the reach.  This loses no link,
-however the vectors are spread.  Where it spares little, fewer cells are
-made: their number is the cheapest on a part of the sample.  Within a cell, table lookups give the distance
-to every code; since the error of a code is known, what lies further than
-the reach plus the error goes without loss.  The rest is compared by the
-exact cosine in double precision.
+however the vectors are spread.  With a recall below 1 the planes asked are
+those near enough for that share of planted partners at the very threshold;
+partners lie in the directions in which vectors of the sample differ.  Where
+cells spare little, fewer are made: their number is the cheapest on a part of
+the sample.  Within a cell, table lookups give the distance to every code;
+since the error of a code is known, what lies further than the reach plus the
+error goes without loss.  The rest is compared by the exact cosine in double
+precision.
 
 Equal vectors form a class and are compared once.  Lists and queries of a
 cell are dealt out in blocks of bounded size; a block counts its links and
@@ -32,8 +35,12 @@ from tagloom.llm.tables import materialize
 SAMPLE = 16_384
 SUBSPACES, CODES, ROUNDS = 8, 256, 8
 #: Vectors of the sample that numbers of cells are tried on, and how many comparisons the copy of a vector costs.
-TRIED, COPY_COST = 1_024, 1_000
-LIST_BLOCK, QUERY_BLOCK = 4_096, 16_384
+TRIED, COPY_COST = 1_024, 4_000
+LIST_BLOCK, QUERY_BLOCK = 16_384, 16_384
+#: Partners planted to find out how far planes have to be asked.
+PLANTED = 16_384
+#: Queries and list rows whose table sums are made at once: two megabytes, which stay in a processor's cache.
+QUERIES, LISTED = 256, 2_048
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -72,19 +79,47 @@ def _asked(x: np.ndarray, cells: np.ndarray, own: np.ndarray, reach: float) -> n
     return distance - distance[np.arange(len(x)), own][:, None] <= 2 * between * reach + 1e-9
 
 
-def cheapest_cells(sample: np.ndarray, most: int, rows: int, reach: float) -> np.ndarray:
-    """At most ``most`` centres of cells: so many that copying ``rows`` vectors to cells and comparing costs least."""
-    best, least = sample[:1], np.inf
+def fitted_bound(sample: np.ndarray, cells: np.ndarray, threshold: float, recall: float) -> float:
+    """How far bisecting planes may be to be asked: so far that ``recall`` of planted partners are found.
+
+    Every partner has the threshold's cosine with a vector of the sample and
+    lies towards a difference of two others.  Never more than the reach.
+    """
+    reach = reach_of(threshold)
+    if recall >= 1 or len(cells) < 2:
+        return reach
+    rng = np.random.default_rng(0)
+    x = sample[rng.integers(0, len(sample), PLANTED)]
+    to = sample[rng.integers(0, len(sample), PLANTED)] - sample[rng.integers(0, len(sample), PLANTED)]
+    to -= np.einsum("ij,ij->i", to, x)[:, None] * x
+    length = np.linalg.norm(to, axis=1)
+    x, to = x[length > 1e-9], to[length > 1e-9] / length[length > 1e-9][:, None]
+    if not len(x):
+        return reach
+    partner = threshold * x + np.sqrt(max(1 - threshold * threshold, 0)) * to
+    distance, row = _squared(x, cells), np.arange(len(x))
+    own, there = distance.argmin(1), _squared(partner, cells).argmin(1)
+    between = np.sqrt(((cells[own] - cells[there]) ** 2).sum(1)) + 1e-6
+    needed = np.where(own == there, 0, (distance[row, there] - distance[row, own]) / (2 * between))
+    return float(min(np.quantile(needed, recall) + 1e-6, reach))
+
+
+def cheapest_cells(sample: np.ndarray, most: int, rows: int, threshold: float,
+                   recall: float) -> tuple[np.ndarray, float]:
+    """At most ``most`` centres of cells, so many that copying ``rows`` vectors to cells and comparing costs least, and
+    the distance up to which planes are asked."""
+    best, least = (sample[:1], reach_of(threshold)), np.inf
     k, tried = most, sample[:TRIED]
     while k >= 1:
         cells = centres(sample, k, 1)
         near = _squared(sample, cells).argmin(1)
         share = np.bincount(near, minlength=len(cells)) / len(sample)
-        asked = _asked(tried, cells, near[:len(tried)], reach).mean(0)
+        bound = fitted_bound(sample, cells, threshold, recall)
+        asked = _asked(tried, cells, near[:len(tried)], bound).mean(0)
         listed = np.ceil(share * rows / LIST_BLOCK)  # a vector goes to every block of a cell's list
         cost = (asked * (COPY_COST * listed + share * rows)).sum()
         if cost < least:
-            best, least = cells, cost
+            best, least = (cells, bound), cost
         k //= 4
     return best
 
@@ -95,15 +130,16 @@ class Index:
     codebooks: list[np.ndarray]
     cuts: np.ndarray  # where each subspace begins
     reach: float
+    bound: float | None = None  # how far planes are asked, if not as far as the reach
 
     @classmethod
-    def fit(cls, sample: np.ndarray, cells: int, threshold: float, rows: int) -> Index:
+    def fit(cls, sample: np.ndarray, cells: int, threshold: float, rows: int, recall: float = 1.0) -> Index:
         dims = sample.shape[1]
-        coarse = cheapest_cells(sample, cells, rows, reach_of(threshold))
+        coarse, bound = cheapest_cells(sample, cells, rows, threshold, recall)
         rest = sample - coarse[_squared(sample, coarse).argmin(1)]
         cuts = np.linspace(0, dims, min(SUBSPACES, dims) + 1).astype(int)
         books = [centres(rest[:, a:b], CODES, 2 + i) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-        return cls(coarse, books, cuts, reach_of(threshold))
+        return cls(coarse, books, cuts, reach_of(threshold), bound)
 
     def parts(self, x: np.ndarray) -> list[np.ndarray]:
         return [x[:, a:b] for a, b in zip(self.cuts, self.cuts[1:])]
@@ -118,11 +154,12 @@ class Index:
 
     def probes(self, x: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, cell) of every cell that each row asks; its own is among them."""
-        return np.nonzero(_asked(x, self.cells, cell, self.reach))
+        return np.nonzero(_asked(x, self.cells, cell, self.reach if self.bound is None else self.bound))
 
     def tables(self, x: np.ndarray, cell: int) -> list[np.ndarray]:
-        """For each subspace the squared distances of the rows' residuals to its codes."""
-        return [_squared(p, book) for p, book in zip(self.parts(x - self.cells[cell]), self.codebooks)]
+        """For each subspace the squared distances of its codes, by row, to the residuals."""
+        return [_squared(book, p).astype(np.float32)
+                for p, book in zip(self.parts(x - self.cells[cell]), self.codebooks)]
 
 
 def usable(vector: Column) -> Column:
@@ -179,14 +216,33 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(ids[moved].tolist(), ids[label[moved]].tolist()))
 
 
+def _near(tables: list[np.ndarray], code: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, list row) of every pair whose sum of table entries is within the row's limit.
+
+    A code picks a whole row of its table, one entry for each query, so sums are made on rows in memory order.
+    """
+    width, found, space = tables[0].shape[1], [], np.empty((2, LISTED, tables[0].shape[1]), np.float32)
+    for at in range(0, len(code), LISTED):
+        part = code[at:at + LISTED]
+        total, more = space[0, :len(part)], space[1, :len(part)]
+        np.take(tables[0], part[:, 0], axis=0, out=total, mode="clip")
+        for m, table in enumerate(tables[1:], 1):
+            np.take(table, part[:, m], axis=0, out=more, mode="clip")
+            total += more
+        found.append(np.flatnonzero(total <= limit[at:at + LISTED]) + at * width)
+    pairs = np.concatenate(found)
+    return pairs % width, pairs // width
+
+
 def _compare(index: Index, threshold: float, cell: int, lists: list[tuple], queries: list[tuple]) -> Iterator[tuple]:
     """(id, links, other): link counts of the queries in this list, and a forest with links 0."""
     ids, n, code, error, x = lists
     q_ids, q_x = queries
-    for at in range(0, len(q_ids), 512):
-        own, rows = q_ids[at:at + 512], q_x[at:at + 512]
-        squared = sum(table[:, code[:, m]] for m, table in enumerate(index.tables(rows, cell)))
-        i, j = np.nonzero(np.sqrt(np.maximum(squared, 0)) - error[None, :] <= index.reach)
+    # Single precision sums a few distances of at most four; the margin is a hundred times what that rounds.
+    limit = np.square(error + index.reach + 1e-4).astype(np.float32)[:, None]
+    for at in range(0, len(q_ids), QUERIES):
+        own, rows = q_ids[at:at + QUERIES], q_x[at:at + QUERIES]
+        i, j = _near(index.tables(rows, cell), code, limit)
         keep = own[i] != ids[j]
         i, j = i[keep], j[keep]
         sure = np.concatenate([np.einsum("ij,ij->i", rows[i[s:s + 50_000]], x[j[s:s + 50_000]]) >= threshold
@@ -240,7 +296,7 @@ def _links(dealt: DataFrame, shared, threshold: float) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id",
-                    vector_col: str = "embedding") -> DataFrame:
+                    vector_col: str = "embedding", recall: float = 1.0) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors``.
 
     Two vectors are linked if their cosine in double precision is at least
@@ -248,6 +304,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     components link with nothing; so do vectors of different lengths, and
     rows with a null id, which get a null component and are kept.  Equal
     vectors are linked; n_links counts rows.  Other columns are not read.
+    With a ``recall`` below 1 about that share of the links at the very
+    threshold is found at least, and more of the closer ones; with 1 all are.
     """
     spark = vectors.sparkSession
     given = vectors.schema[vector_col].dataType.simpleString()
@@ -261,7 +319,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         own = classes.where(F.size("vector") == row["dims"])
         sample = own.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toPandas()["vector"]
         cells = int(np.clip(np.sqrt(row["count"]), 1, SAMPLE // 16))
-        index = Index.fit(unit(np.stack(sample.to_numpy()).astype(float)), cells, threshold, row["count"])
+        index = Index.fit(unit(np.stack(sample.to_numpy()).astype(float)), cells, threshold, row["count"], recall)
         shared = spark.sparkContext.broadcast(index)
         parts.append(_links(materialize(_dealt(own, shared), "dealt"), shared, threshold))
     if parts:
