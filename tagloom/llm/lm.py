@@ -7,17 +7,20 @@ word the contexts it was seen after.  With Dirichlet smoothing,
 
 the numerator belongs to the word's own subtree and the denominator to the
 context word's entry, so a text's score is a sum of parts that each shard
-answers from its own levels.  Documents send their distinct (word, context)
-pairs, with the documents they stand in, once to the shard of the word; the
-shard counts the training part, builds its levels, and looks all pairs up.
-Very frequent words are dealt out by context as well, and very frequent
-pairs by batch: these are counted beforehand, and every shard that looks one
-up gets its total count.
+answers from its own levels.  A batch of texts sends its distinct (word,
+context) pairs once to the shards of the words, with their counts; a shard
+counts the training part, builds its levels, and answers every pair of every
+batch by two bytes.  The batch has kept which tokens are which pair and adds
+up its own texts, so what is shuffled does not grow with the number of shards
+that a text's words lie in.  Very frequent words are dealt out by context as
+well, and very frequent pairs by batch: these are counted beforehand, and
+every shard that looks one up gets its total count.
 """
 
 from __future__ import annotations
 
 import tempfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,14 +45,19 @@ SHARD_TOKENS = 2_000_000
 
 
 class EliasFano:
-    """A sorted array of integers: low bits packed, high bits as unary gaps, both in a memory-mapped file."""
+    """A sorted array of integers: low bits packed, high bits as unary gaps, both in a memory-mapped file.
+
+    A directory of the ones before every 64 gap bits, mapped as well, finds
+    the n-th one or zero of the gaps.
+    """
 
     def __init__(self, values: np.ndarray, universe: int, folder: str, name: str):
         self.n = len(values)
         self.low_bits = max(0, (max(universe, 1) // max(self.n, 1)).bit_length() - 1)
         width, n = self.low_bits, self.n
         high = (values >> U64(width)).astype(np.int64)
-        bits = np.zeros((int(universe) >> width) + n + 2, np.uint8)
+        self.zeros = (int(universe) >> width) + 2
+        bits = np.zeros(-(-(self.zeros + n) // 64) * 64, np.uint8)
         bits[high + np.arange(n)] = 1
         places = np.arange(n, dtype=U64) * U64(width)
         packed = np.zeros(n * width // 64 + 2, U64)
@@ -59,11 +67,11 @@ class EliasFano:
             np.bitwise_or.at(packed, word, low << shift)
             over = shift + U64(width) > 64
             np.bitwise_or.at(packed, word[over] + 1, low[over] >> (U64(64) - shift[over]))
-        self.high = _mapped(np.packbits(bits), f"{folder}/{name}.high")
+        gaps = np.packbits(bits, bitorder="little").view(U64)
+        ones = np.append(0, np.cumsum(np.bitwise_count(gaps), dtype=np.int64))
+        self.gaps = _mapped(gaps, f"{folder}/{name}.high")
+        self.ones = _mapped(ones.astype(np.uint32 if n < 1 << 32 else np.int64), f"{folder}/{name}.ones")
         self.low = _mapped(packed, f"{folder}/{name}.low")
-        zeros = np.flatnonzero(np.unpackbits(self.high, count=len(bits)) == 0)
-        #: How many values lie before each high part.
-        self.before = np.append(0, zeros - np.arange(len(zeros))).astype(np.int64)
 
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -75,25 +83,55 @@ class EliasFano:
         value[over] |= self.low[word[over] + 1] << (U64(64) - shift[over])
         return value & U64((1 << self.low_bits) - 1)
 
-    def find(self, wanted: np.ndarray) -> np.ndarray:
-        """The place of each wanted value, or -1: the successor among the values of its high part."""
+    def get(self, at: np.ndarray) -> np.ndarray:
+        """The values at some places: the place of the at-th one among the gaps, less the ones before it."""
+        block = np.searchsorted(self.ones, at, "right") - 1
+        place = 64 * block + _nth_one(self.gaps[block], at - self.ones[block].astype(np.int64))
+        return ((place - at).astype(U64) << U64(self.low_bits)) | self._low(at)
+
+    def _start(self, high: np.ndarray) -> np.ndarray:
+        """How many values have a smaller high part: the ones before the gaps' zero of that number."""
+        zero = np.maximum(high - 1, 0)
+        before = 64 * np.arange(len(self.ones)) - self.ones
+        block = np.searchsorted(before, zero, "right") - 1
+        place = 64 * block + _nth_one(~self.gaps[block], zero - before[block])
+        return np.where(high > 0, place - zero, 0)
+
+    def find(self, wanted: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """The place of each wanted value, or -1: the successor among the values of its high part, searched between
+        the places ``begin`` and ``end`` if they are given."""
         out = np.full(len(wanted), -1, np.int64)
         if self.n == 0 or len(wanted) == 0:
             return out
         high, low = (wanted >> U64(self.low_bits)).astype(np.int64), wanted & U64((1 << self.low_bits) - 1)
-        inside = np.flatnonzero(high < len(self.before) - 1)
-        at, end = self.before[high[inside]], self.before[high[inside] + 1]
+        inside = np.flatnonzero(high < self.zeros - 1)
+        at, stop = self._start(high[inside]), self._start(high[inside] + 1)
+        if begin is not None:
+            at, stop = np.maximum(at, begin[inside]), np.minimum(stop, end[inside])
         while len(inside):
-            more = at < end
-            inside, at, end = inside[more], at[more], end[more]
+            more = at < stop
+            inside, at, stop = inside[more], at[more], stop[more]
             value = self._low(at)
             same = value == low[inside]
             out[inside[same]] = at[same]
             later = value < low[inside]
-            inside, at, end = inside[later], at[later] + 1, end[later]
+            inside, at, stop = inside[later], at[later] + 1, stop[later]
         return out
 
 
+def _nth_one(words: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The place of the n-th set bit of each 64-bit word, counted from zero, by halves."""
+    words, n, place = words.copy(), n.copy(), np.zeros(len(words), np.int64)
+    for half in (32, 16, 8, 4, 2, 1):
+        low = words & U64((1 << half) - 1)
+        count = np.bitwise_count(low)
+        upper = n >= count
+        n -= np.where(upper, count, 0)
+        words = np.where(upper, words >> U64(half), low)
+        place += half * upper
+    return place
+
+
 def _mapped(values: np.ndarray, path: str) -> np.ndarray:
     values.tofile(path)
     return np.memmap(path, values.dtype, "r")
@@ -113,33 +151,31 @@ class Quantised:
 
 
 class Trie:
-    """Words, and below each word its contexts; a context's key is relative to its word's place."""
+    """Words, below each word its contexts, and monotone pointers to where the contexts of each word begin."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, word_at: np.ndarray, contexts: np.ndarray,
                  pair_counts: np.ndarray, totals: Totals, folder: str):
-        prior = np.log10(MU) + np.log10((counts + ADD) / totals.weight)
-        self.unseen = float(np.log10(MU) + np.log10(ADD / totals.weight))
+        prior = (counts + ADD) * (MU / totals.weight)
         # Hashes are spread evenly; their upper 56 bits tell the words of a shard apart.
         self.words = EliasFano(words >> U64(8), 1 << 56, folder, "words")
         keys = (word_at.astype(U64) << U64(32)) | contexts
         self.contexts = EliasFano(keys, max(len(words), 1) << 32, folder, "contexts")
+        starts = np.searchsorted(word_at, np.arange(len(words) + 1)).astype(U64)
+        self.pointers = EliasFano(starts, len(keys) + 1, folder, "pointers")
         self.counts = _mapped(np.append(counts, 0.0), f"{folder}/counts")
-        self.prior = Quantised(prior, f"{folder}/prior")
-        self.seen = Quantised(np.log10(pair_counts + 10 ** prior[word_at]), f"{folder}/seen")
-        self.normaliser = Quantised(np.log10(counts + MU), f"{folder}/normaliser")
+        self.seen = Quantised(np.log10(pair_counts + prior[word_at]), f"{folder}/seen")
 
     def look_up(self, words: np.ndarray, word_of: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(count, normaliser) of each word and the numerator of each pair (word_of, context), all in log10."""
+        """The count of each word, and the place of each pair (word_of, context), -1 if it was not seen."""
         place = self.words.find(words >> U64(8))
         known = place >= 0
         counts = np.where(known, self.counts[place], 0.0)
-        normaliser = np.where(known, self.normaliser[place], np.log10(MU))
-        prior = np.where(known, self.prior[place], self.unseen)
         at = place[word_of]
         found = np.full(len(word_of), -1, np.int64)
         ask = np.flatnonzero(at >= 0)
-        found[ask] = self.contexts.find((at[ask].astype(U64) << U64(32)) | contexts[ask])
-        return counts, normaliser, np.where(found >= 0, self.seen[found], prior[word_of])
+        begin, end = (self.pointers.get(at[ask] + k).astype(np.int64) for k in (0, 1))
+        found[ask] = self.contexts.find((at[ask].astype(U64) << U64(32)) | contexts[ask], begin, end)
+        return counts, found
 
 
 @dataclass(frozen=True)
@@ -224,18 +260,25 @@ def totals_of(documents: DataFrame) -> Totals:
     return Totals(row["n"], row["v"], end["n"] if end else 0, hot, hot_counts, pairs, pair_counts, shards)
 
 
-_PAIRS = ("shard int, batch long, words binary, pairs binary, contexts binary, uses binary, texts binary, "
-          "rows binary, ids binary, held binary")
-_PARTS = "batch long, rows binary, ids binary, held binary, n binary, known binary, base binary, numerator binary"
+_PAIRS = "shard int, batch long, words binary, pairs binary, contexts binary, uses binary, held binary"
+_TEXTS = "ids binary, flags binary, sizes binary, tokens binary, per_word binary"
+_ANSWERS = "shard int, batch long, counts binary, codes binary, least double, step double"
 _SUMS = "id long, held boolean, n long, known long, base double, numerator double"
+#: Bytes of text in a batch.
+BATCH = 2 * PIECE * 4
 
 
-def _pairs_by_shard(documents: DataFrame, totals: Totals) -> DataFrame:
-    """For each batch of texts and shard: words, their contexts, and the texts of each pair, as packed arrays."""
+def _split(documents: DataFrame, totals: Totals) -> DataFrame:
+    """For each batch of texts a row for every shard, with words, their contexts, and the uses of each pair in all and
+    in held-out texts; and one row (shard -1) of what adding up needs: the pair of every token.
+
+    Pairs are in order of shard, word and context, so the shards' answers one
+    after the other are those of pairs 0, 1, ...
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        for batch in slices(batches):
+        for batch in slices(batches, size=BATCH):
             token, before, text = _tokens(hash_words(batch.column("text")))
             context = (before >> U64(32)).astype(U64)
             words, at = np.unique(token, return_inverse=True)
@@ -246,59 +289,69 @@ def _pairs_by_shard(documents: DataFrame, totals: Totals) -> DataFrame:
             shard[hot] = (mix(pair ^ salt) % U64(totals.shards)).astype(np.int64)
             key = ((shard * len(words) + at).astype(U64) << U64(32)) | context
             order = np.argsort(key, kind="stable")
-            key, text = key[order], text[order]
+            key = key[order]
             new_pair = np.append(True, key[1:] != key[:-1])
             pair = np.flatnonzero(new_pair)
+            number = np.empty(len(key), np.uint32)
+            number[order] = np.cumsum(new_pair) - 1
+            flags = np.array(batch.column("held")).astype(np.uint8)
             uses = np.diff(np.append(pair, len(key)))
+            held = np.bincount(number, flags[text], len(pair)).astype(np.uint32)
             unit = (key[pair] >> U64(32)).astype(np.int64)
             word = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
-            contexts_of = np.diff(np.append(word, len(unit)))
+            contexts_of = np.diff(np.append(word, len(unit))).astype(np.uint32)
             shard_of_word = unit[word] // len(words)
-            ids = batch.column("id").fill_null(0).to_numpy().astype(np.int64)
-            null = np.array(batch.column("id").is_null())
-            held = np.array(batch.column("held")).astype(np.uint8) | (null.astype(np.uint8) << 1)
             out = []
             for s in np.unique(shard_of_word):
                 a, b = np.searchsorted(shard_of_word, (s, s + 1))
                 p, q = word[a], word[b] if b < len(word) else len(pair)
-                t, u = pair[p], pair[q] if q < len(pair) else len(key)
-                own, local = np.unique(text[t:u], return_inverse=True)
-                out.append((int(s), row, words[unit[word[a:b]] % len(words)].tobytes(),
-                            contexts_of[a:b].astype(np.uint32).tobytes(),
+                out.append((int(s), row, words[unit[word[a:b]] % len(words)].tobytes(), contexts_of[a:b].tobytes(),
                             (key[pair[p:q]] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
-                            uses[p:q].astype(np.uint32).tobytes(), local.astype(np.uint32).tobytes(),
-                            own.astype(np.uint32).tobytes(), ids[own].tobytes(), held[own].tobytes()))
+                            uses[p:q].astype(np.uint32).tobytes(), held[p:q].tobytes(), *[None] * 5))
+            ids = batch.column("id").fill_null(0).to_numpy().astype(np.int64)
+            flags |= np.array(batch.column("id").is_null()).astype(np.uint8) << 1
+            sizes = np.bincount(text, minlength=len(ids)).astype(np.uint32)
+            out.append((-1, row, *[None] * 5, ids.tobytes(), flags.tobytes(), sizes.tobytes(),
+                        zlib.compress(number.tobytes(), 1), contexts_of.tobytes()))
             row += batch.num_rows
             columns = list(zip(*out))
             yield pa.record_batch([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
                                    *(pa.array(c, pa.binary()) for c in columns[2:])],
-                                  names=[x.split()[0] for x in _PAIRS.split(", ")])
+                                  names=[x.split()[0] for x in f"{_PAIRS}, {_TEXTS}".split(", ")])
+
+    return documents.mapInArrow(split, f"{_PAIRS}, {_TEXTS}")
+
+
+def _pairs_by_shard(documents: DataFrame, totals: Totals) -> DataFrame:
+    """The rows of ``_split`` for the shards."""
+    return _split(documents, totals).where("shard >= 0").select(*(x.split()[0] for x in _PAIRS.split(", ")))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes that hold them all."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
 
-    return documents.mapInArrow(split, _PAIRS)
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // max(n, 1) or 1}")
 
 
 def _score_shard(table: pa.Table, totals: Totals) -> pa.Table:
+    """The answers of one shard: for each batch the counts of its words and the codes of its pairs."""
     def column(name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
         parts = [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
         return np.concatenate(parts), np.array([len(p) for p in parts])
 
-    words, _ = column("words", U64)
+    words, words_of = column("words", U64)
     per_word, _ = column("pairs", np.uint32)
-    contexts, _ = column("contexts", np.uint32)
+    contexts, pairs_of = column("contexts", np.uint32)
     uses, _ = column("uses", np.uint32)
-    local, local_sizes = column("texts", np.uint32)
-    row_sizes = np.array([len(x) // 4 for x in table.column("rows").to_pylist()])
-    flags, _ = column("held", np.uint8)
-    text = local.astype(np.int32) + np.repeat((np.cumsum(row_sizes) - row_sizes).astype(np.int32), local_sizes)
-    del local
+    held, _ = column("held", np.uint32)
     distinct, word_at = np.unique(words, return_inverse=True)
     key = (np.repeat(word_at, per_word).astype(U64) << U64(32)) | contexts
     keys, key_at = np.unique(key, return_inverse=True)
-    del key, contexts
-    trained = (flags & 1) == 0
-    first = np.cumsum(uses, dtype=np.int64) - uses
-    use_counts = np.add.reduceat(trained[text].astype(np.int64), first)
-    pair_counts = np.bincount(key_at, use_counts, len(keys))
+    del key, contexts, words
+    pair_counts = np.bincount(key_at, uses - held, len(keys))
     word_of = (keys >> U64(32)).astype(np.int64)
     counts = np.bincount(word_of, pair_counts, len(distinct))
     counts = _listed(totals.hot, totals.hot_counts, distinct, counts)
@@ -308,32 +361,50 @@ def _score_shard(table: pa.Table, totals: Totals) -> pa.Table:
     with tempfile.TemporaryDirectory() as folder:
         trie = Trie(distinct[known], counts[known], place[word_of[seen]], keys[seen] & U64(0xFFFFFFFF),
                     pair_counts[seen], totals, folder)
-        count, normaliser, numerator = trie.look_up(distinct, word_of, keys & U64(0xFFFFFFFF))
-    part = numerator - np.where(distinct == END, 0.0, normaliser)[word_of]
-    base, is_known = np.log10(count + ADD)[word_of], (count > 0)[word_of]
-    each = np.repeat(key_at.astype(np.int32), uses)
-    del keys, key_at, word_at, words
-    n = len(flags)
-    sums = [np.bincount(text, None if w is None else w[each], n) for w in (None, is_known, base, part)]
-    bounds = np.append(0, np.cumsum(row_sizes))
-    kinds = (np.uint32, np.uint32, np.float64, np.float64)
-    packed = [pa.array([x[a:b].astype(kind).tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())
-              for x, kind in zip(sums, kinds)]
-    return pa.table([*(table.column(c) for c in ("batch", "rows", "ids", "held")), *packed],
-                    names=[x.split()[0] for x in _PARTS.split(", ")])
-
-
-def _add_up(table: pa.Table) -> pa.Table:
-    """The sums of each text of one batch, from all shards."""
-    def column(name: str, kind: type) -> np.ndarray:
-        return np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
-
-    text, first, at = np.unique(column("rows", np.uint32), return_index=True, return_inverse=True)
-    flags = column("held", np.uint8)[first]
-    sums = [np.bincount(at, column(c, kind), len(text)) for c, kind in (
-        ("n", np.uint32), ("known", np.uint32), ("base", np.float64), ("numerator", np.float64))]
-    return pa.table([pa.array(column("ids", np.int64)[first], mask=(flags & 2) > 0), pa.array((flags & 1) > 0),
-                     *(pa.array(x.astype(np.int64)) for x in sums[:2]), *(pa.array(x) for x in sums[2:])],
+        count, found = trie.look_up(distinct, word_of, keys & U64(0xFFFFFFFF))
+        # Code 0 says that the pair was not seen; the prior follows from the word's count.
+        codes = np.where(found >= 0, trie.seen.codes[found].astype(np.int32) + 1, 0).astype(np.uint16)[key_at]
+        least, step = trie.seen.least, trie.seen.step
+    count = count.astype(np.uint64)[word_at]
+    word_ends, pair_ends = np.cumsum(words_of), np.cumsum(pairs_of)
+    n = table.num_rows
+    return pa.table([table.column("shard"), table.column("batch"),
+                     pa.array([_packed(count[b - k:b]) for b, k in zip(word_ends, words_of)], pa.binary()),
+                     pa.array([codes[b - k:b].tobytes() for b, k in zip(pair_ends, pairs_of)], pa.binary()),
+                     pa.array(np.full(n, least)), pa.array(np.full(n, step))],
+                    names=[x.split()[0] for x in _ANSWERS.split(", ")])
+
+
+def _add_up(texts: pa.Table, answers: pa.Table, totals: Totals) -> pa.Table:
+    """The sums of each text of one batch from the answers of its shards."""
+    row = texts.to_pylist()[0]
+    answers = answers.sort_by("shard").to_pylist()
+    per_word = np.frombuffer(row["per_word"], np.uint32)
+    so_far = np.cumsum(per_word, dtype=np.int64)
+    counts, numerators, word, pairs = [], [], 0, 0
+    for answer in answers:
+        codes = np.frombuffer(answer["codes"], np.uint16)
+        pairs += len(codes)
+        after = int(np.searchsorted(so_far, pairs)) + 1
+        count = _unpacked(answer["counts"], after - word).astype(float)
+        prior = np.log10((count + ADD) * (MU / totals.weight))
+        numerators.append(np.where(codes > 0, answer["least"] + answer["step"] * (codes - 1.0),
+                                   np.repeat(prior, per_word[word:after])))
+        counts.append(count)
+        word = after
+    count = np.concatenate(counts)
+    number = np.frombuffer(zlib.decompress(row["tokens"]), np.uint32)
+    word_of = np.repeat(np.arange(len(per_word)), per_word)[number]
+    sizes = np.frombuffer(row["sizes"], np.uint32)
+    first = np.cumsum(sizes, dtype=np.int64) - sizes  # every text has its end token at least
+    normaliser = np.log10(count + MU)[word_of]
+    normaliser[first + sizes - 1] = 0.0  # the end is no word's context
+    flags = np.frombuffer(row["flags"], np.uint8)
+    sums = (np.add.reduceat(x, first) for x in (
+        (count > 0)[word_of].astype(np.int64), np.log10(count + ADD)[word_of],
+        np.concatenate(numerators)[number] - normaliser))
+    return pa.table([pa.array(np.frombuffer(row["ids"], np.int64), mask=(flags & 2) > 0), pa.array((flags & 1) > 0),
+                     pa.array(sizes.astype(np.int64)), *(pa.array(x) for x in sums)],
                     names=[x.split()[0] for x in _SUMS.split(", ")])
 
 
@@ -350,9 +421,13 @@ def score_documents(documents: DataFrame, folds: int = 10, id_col: str = "doc_id
     source = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                               (bucket_of(F.col(id_col), folds) == 0).alias("held"))
     totals = totals_of(source)
-    pairs = _pairs_by_shard(source, totals)
-    parts = pairs.groupBy("shard").applyInArrow(lambda table: _score_shard(table, totals), _PARTS)
-    whole = parts.groupBy("batch").applyInArrow(_add_up, _SUMS).select(
+    # Written once: a batch and the answers to it have to come from the same split of the input.
+    split = materialize(_split(source, totals), "pairs")
+    pairs = split.where("shard >= 0").select(*(x.split()[0] for x in _PAIRS.split(", ")))
+    texts = split.where("shard = -1").select("batch", *(x.split()[0] for x in _TEXTS.split(", ")))
+    answers = pairs.groupBy("shard").applyInArrow(lambda table: _score_shard(table, totals), _ANSWERS)
+    whole = texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+        lambda left, right: _add_up(left, right, totals), _SUMS).select(
         F.col("id").alias(id_col), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"),
         F.col("known").alias("n_known"), "base", "numerator")
     start = float(np.log10(totals.documents + MU))
