@@ -24,8 +24,6 @@ from tagloom.llm.words import ALNUM, U64, Words, hash_words, slices
 
 #: Labelled documents that the model is fitted on, at most: those of the smallest id hashes.
 MAX_LABELLED = 100_000
-#: Words that the model keeps, at most: those of the largest scores.
-MAX_TERMS = 50_000
 PRIOR, CONFIDENCE, DRIFT, KARLIN = 0.5, 2.0, 0.25, 0.1
 #: Expected number of chance segments of the score or more, in a text, below which a segment is significant.
 EXPECT = 0.01
@@ -51,25 +49,32 @@ def maximal_segments(places: np.ndarray, scores: np.ndarray) -> list[tuple[int,
 
     ``places`` and ``scores`` are those of the positive words; every word
     between counts -DRIFT.  A candidate keeps the running total before and
-    after it, and merges with earlier ones while that makes it larger.
+    after it, and merges with earlier ones while that makes it larger.  It
+    also keeps the nearest earlier candidate that begins at a lower total, so
+    a search jumps over all that a former search has passed; where none
+    begins lower, all earlier candidates are final.
     """
-    found: list[tuple[int, int, float, float]] = []
+    done: list[tuple[int, int, float]] = []
+    found: list[tuple[int, int, float, float, int]] = []
     total, last = 0.0, -1
     for place, score in zip(places.tolist(), scores.tolist()):
         total -= DRIFT * (place - last - 1)
         last = place
         first, left = place, total
         total += score
-        while found:
+        while True:
             j = len(found) - 1
             while j >= 0 and found[j][2] >= left:
-                j -= 1
+                j = found[j][4]
+            if j < 0:
+                done += ((a, b, right - low) for a, b, low, right, _ in found)
+                found = []
             if j < 0 or found[j][3] >= total:
                 break
             first, left = found[j][0], found[j][2]
             del found[j:]
-        found.append((first, place, left, total))
-    return [(first, end, right - left) for first, end, left, right in found]
+        found.append((first, place, left, total, j))
+    return done + [(a, b, right - low) for a, b, low, right, _ in found]
 
 
 def _hits(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -94,8 +99,9 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = 5, id_col: str = "
     chosen = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)
                           & (bucket_of(F.col(id_col), folds) != 0)).groupBy(id_col).agg(
         F.max(label_col).cast("int").alias("label")).orderBy(F.xxhash64(id_col), id_col).limit(MAX_LABELLED)
-    rows = documents.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(chosen), id_col).select(
-        "text", "label")
+    # One row for each labelled id, so that what is fitted is bounded also where ids repeat.
+    rows = documents.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(chosen), id_col).groupBy(
+        id_col).agg(F.min("text").alias("text"), F.min("label").alias("label")).select("text", "label")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -115,8 +121,9 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = 5, id_col: str = "
     y, x = F.col("y") + PRIOR, F.col("x") + PRIOR
     n_y, n_x = total["y"] + PRIOR * total["v"], total["x"] + PRIOR * total["v"]
     odds = F.log(y / (n_y - y)) - F.log(x / (n_x - x))
+    # All of them: their number is bounded by the words of MAX_LABELLED texts.
     terms = counts.select("word", "x", (odds - CONFIDENCE * F.sqrt(1 / y + 1 / x)).alias("score")).where(
-        "score > 0").orderBy(F.desc("score"), "word").limit(MAX_TERMS).collect()
+        "score > 0").collect()
     terms.sort(key=lambda r: np.int64(r["word"]).view(U64))
     words = np.array([r["word"] for r in terms], np.int64).view(U64)
     scores = np.array([r["score"] for r in terms])

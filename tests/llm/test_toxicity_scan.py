@@ -1,0 +1,86 @@
+"""The scan for toxic passages on long texts, and the fit on repeated ids and against plain counts."""
+
+import math
+import random
+import time
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tagloom.llm import toxicity
+
+
+def quadratic(places, scores):
+    """The same scan with a plain walk back over all candidates."""
+    found, total, last = [], 0.0, -1
+    for place, score in zip(places, scores):
+        total -= toxicity.DRIFT * (place - last - 1)
+        last, first, left = place, place, total
+        total += score
+        while found:
+            j = next((j for j in reversed(range(len(found))) if found[j][2] < left), -1)
+            if j < 0 or found[j][3] >= total:
+                break
+            first, left = found[j][0], found[j][2]
+            del found[j:]
+        found.append((first, place, left, total))
+    return [(a, b, right - low) for a, b, low, right in found]
+
+
+def test_scan_equals_the_plain_walk():
+    rng = random.Random(9)
+    for _ in range(300):
+        places = sorted(rng.sample(range(400), rng.randrange(1, 60)))
+        scores = [rng.choice([0.1, 0.25, 0.5, 1.0, rng.random() * 4]) for _ in places]
+        found = toxicity.maximal_segments(np.array(places), np.array(scores))
+        assert [(a, b) for a, b, _ in found] == [(a, b) for a, b, _ in quadratic(places, scores)]
+
+
+@pytest.mark.parametrize("gap, score", [(6, 1.0), (2, 0.3), (1, 1.0), (40, 5.0)])
+def test_scan_is_linear(gap, score):
+    """Hundreds of thousands of hits; the plain walk takes hours for some of these."""
+    n = 300_000
+    rng = np.random.default_rng(2)
+    begin = time.process_time()
+    toxicity.maximal_segments(np.arange(n) * gap, score * rng.random(n))
+    assert time.process_time() - begin < 10
+
+
+def test_log_odds_and_calibration_equal_plain_counts(spark):
+    """A repeated id is learned from once; ids held out are not learned from."""
+    rng = random.Random(1)
+    texts = {i: " ".join(rng.choice(["vile", "slur", "fool", "tree", "sun", "walk"] if i % 3 == 0 else
+                                    ["tree", "sun", "walk", "fool", "sea"]) for _ in range(30)) for i in range(200)}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()] + [(4, texts[4])] * 300, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in texts], "doc_id long, toxic int")
+    model = toxicity.fit(docs.repartition(5), labels)
+    learned = [i for i in texts if zlib.crc32(str(i).encode()) % 5]
+    counts = {k: Counter(w for i in learned if int(i % 3 == 0) == k for w in texts[i].split()) for k in (0, 1)}
+    words = set(counts[0]) | set(counts[1])
+    total = {k: sum(c.values()) + toxicity.PRIOR * len(words) for k, c in counts.items()}
+    expected = []
+    for w in words:
+        y, x = (counts[k][w] + toxicity.PRIOR for k in (1, 0))
+        score = math.log(y / (total[1] - y)) - math.log(x / (total[0] - x)) - toxicity.CONFIDENCE * math.sqrt(1 / y + 1 / x)
+        if score > 0:
+            expected.append(score)
+    assert sorted(model.scores) == pytest.approx(sorted(expected)) and len(expected) >= 2
+    assert model.slope > 0
+
+
+def test_decay_is_where_the_mean_is_one():
+    scores, clean, total = np.array([2.0, 0.5, 3.0]), np.array([4.0, 90.0, 1.0]), 2000.0
+    decay = toxicity._decay(scores, clean, total)
+    share = (clean + toxicity.PRIOR) / total
+    assert (share * np.exp(decay * scores)).sum() + (1 - share.sum()) * math.exp(-decay * toxicity.DRIFT) == pytest.approx(1)
+    assert decay > 0.1
+
+
+def test_calibration_is_a_logistic_fit():
+    rng = np.random.default_rng(4)
+    value = rng.normal(size=4000) * 3
+    label = (rng.random(4000) < 1 / (1 + np.exp(-(1.7 * value - 0.8)))).astype(float)
+    slope, offset = toxicity._calibrated(value, label)
+    assert slope == pytest.approx(1.7, abs=0.2) and offset == pytest.approx(-0.8, abs=0.2)
