@@ -260,25 +260,25 @@ def totals_of(documents: DataFrame) -> Totals:
     return Totals(row["n"], row["v"], end["n"] if end else 0, hot, hot_counts, pairs, pair_counts, shards)
 
 
-_PAIRS = "shard int, batch long, words binary, pairs binary, contexts binary, uses binary, held binary"
-_TEXTS = "ids binary, flags binary, sizes binary, tokens binary, per_word binary"
-_ANSWERS = "shard int, batch long, counts binary, codes binary, least double, step double"
+_PAIRS = "shard int, batch long, check long, words binary, pairs binary, contexts binary, uses binary, held binary"
+_TEXTS = "batch long, check long, ids binary, flags binary, sizes binary, tokens binary, per_word binary"
+_ANSWERS = "shard int, batch long, check long, counts binary, codes binary, least double, step double"
 _SUMS = "id long, held boolean, n long, known long, base double, numerator double"
-#: Bytes of text in a batch.
-BATCH = 2 * PIECE * 4
 
 
-def _split(documents: DataFrame, totals: Totals) -> DataFrame:
-    """For each batch of texts a row for every shard, with words, their contexts, and the uses of each pair in all and
-    in held-out texts; and one row (shard -1) of what adding up needs: the pair of every token.
+def _split(documents: DataFrame, totals: Totals, schema: str) -> DataFrame:
+    """For each batch of texts either (_PAIRS) a row for every shard, with words, their contexts, and the uses of each
+    pair in all and in held-out texts; or (_TEXTS) what adding up needs: the pair of every token.
 
     Pairs are in order of shard, word and context, so the shards' answers one
-    after the other are those of pairs 0, 1, ...
+    after the other are those of pairs 0, 1, ...  ``check`` tells whether two
+    passes have cut the same batch.
     """
+    to_shards = schema == _PAIRS
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        for batch in slices(batches, size=BATCH):
+        for batch in slices(batches):
             token, before, text = _tokens(hash_words(batch.column("text")))
             context = (before >> U64(32)).astype(U64)
             words, at = np.unique(token, return_inverse=True)
@@ -294,37 +294,40 @@ def _split(documents: DataFrame, totals: Totals) -> DataFrame:
             pair = np.flatnonzero(new_pair)
             number = np.empty(len(key), np.uint32)
             number[order] = np.cumsum(new_pair) - 1
+            check = zlib.crc32(number.tobytes(), zlib.crc32(words.tobytes()))
             flags = np.array(batch.column("held")).astype(np.uint8)
-            uses = np.diff(np.append(pair, len(key)))
-            held = np.bincount(number, flags[text], len(pair)).astype(np.uint32)
             unit = (key[pair] >> U64(32)).astype(np.int64)
             word = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
             contexts_of = np.diff(np.append(word, len(unit))).astype(np.uint32)
-            shard_of_word = unit[word] // len(words)
-            out = []
-            for s in np.unique(shard_of_word):
-                a, b = np.searchsorted(shard_of_word, (s, s + 1))
-                p, q = word[a], word[b] if b < len(word) else len(pair)
-                out.append((int(s), row, words[unit[word[a:b]] % len(words)].tobytes(), contexts_of[a:b].tobytes(),
-                            (key[pair[p:q]] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
-                            uses[p:q].astype(np.uint32).tobytes(), held[p:q].tobytes(), *[None] * 5))
-            ids = batch.column("id").fill_null(0).to_numpy().astype(np.int64)
-            flags |= np.array(batch.column("id").is_null()).astype(np.uint8) << 1
-            sizes = np.bincount(text, minlength=len(ids)).astype(np.uint32)
-            out.append((-1, row, *[None] * 5, ids.tobytes(), flags.tobytes(), sizes.tobytes(),
-                        zlib.compress(number.tobytes(), 1), contexts_of.tobytes()))
+            if to_shards:
+                uses = np.diff(np.append(pair, len(key)))
+                held = np.bincount(number, flags[text], len(pair)).astype(np.uint32)
+                shard_of_word = unit[word] // len(words)
+                out = []
+                for s in np.unique(shard_of_word):
+                    a, b = np.searchsorted(shard_of_word, (s, s + 1))
+                    p, q = word[a], word[b] if b < len(word) else len(pair)
+                    out.append((int(s), row, check, words[unit[word[a:b]] % len(words)].tobytes(),
+                                contexts_of[a:b].tobytes(),
+                                (key[pair[p:q]] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
+                                uses[p:q].astype(np.uint32).tobytes(), held[p:q].tobytes()))
+            else:
+                ids = batch.column("id").fill_null(0).to_numpy().astype(np.int64)
+                flags |= np.array(batch.column("id").is_null()).astype(np.uint8) << 1
+                sizes = np.bincount(text, minlength=len(ids)).astype(np.uint32)
+                out = [(row, check, ids.tobytes(), flags.tobytes(), sizes.tobytes(),
+                        zlib.compress(number.tobytes(), 1), contexts_of.tobytes())]
             row += batch.num_rows
-            columns = list(zip(*out))
-            yield pa.record_batch([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
-                                   *(pa.array(c, pa.binary()) for c in columns[2:])],
-                                  names=[x.split()[0] for x in f"{_PAIRS}, {_TEXTS}".split(", ")])
+            fields = [f.split() for f in schema.split(", ")]
+            kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+            yield pa.record_batch([pa.array(column, kinds[kind]) for column, (_, kind) in zip(zip(*out), fields)],
+                                  names=[name for name, _ in fields])
 
-    return documents.mapInArrow(split, f"{_PAIRS}, {_TEXTS}")
+    return documents.mapInArrow(split, schema)
 
 
 def _pairs_by_shard(documents: DataFrame, totals: Totals) -> DataFrame:
-    """The rows of ``_split`` for the shards."""
-    return _split(documents, totals).where("shard >= 0").select(*(x.split()[0] for x in _PAIRS.split(", ")))
+    return _split(documents, totals, _PAIRS)
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -368,7 +371,7 @@ def _score_shard(table: pa.Table, totals: Totals) -> pa.Table:
     count = count.astype(np.uint64)[word_at]
     word_ends, pair_ends = np.cumsum(words_of), np.cumsum(pairs_of)
     n = table.num_rows
-    return pa.table([table.column("shard"), table.column("batch"),
+    return pa.table([*(table.column(c) for c in ("shard", "batch", "check")),
                      pa.array([_packed(count[b - k:b]) for b, k in zip(word_ends, words_of)], pa.binary()),
                      pa.array([codes[b - k:b].tobytes() for b, k in zip(pair_ends, pairs_of)], pa.binary()),
                      pa.array(np.full(n, least)), pa.array(np.full(n, step))],
@@ -379,6 +382,8 @@ def _add_up(texts: pa.Table, answers: pa.Table, totals: Totals) -> pa.Table:
     """The sums of each text of one batch from the answers of its shards."""
     row = texts.to_pylist()[0]
     answers = answers.sort_by("shard").to_pylist()
+    if any(answer["check"] != row["check"] for answer in answers):
+        raise ValueError("the documents came in another order when they were read again; write them to a table first")
     per_word = np.frombuffer(row["per_word"], np.uint32)
     so_far = np.cumsum(per_word, dtype=np.int64)
     counts, numerators, word, pairs = [], [], 0, 0
@@ -417,15 +422,14 @@ def score_documents(documents: DataFrame, folds: int = 10, id_col: str = "doc_id
     base_score is the sum of log10((c + 0.1) / (N + 0.1 * (V + 1))), score
     the log10 probability under the smoothed bigrams of the trie.  Equal
     rows stay; a null id counts as empty text.  Other columns are not read.
+    ``documents`` is read three times and has to come in the same batches the
+    last two times, as tables do; the operator fails if it does not.
     """
     source = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                               (bucket_of(F.col(id_col), folds) == 0).alias("held"))
     totals = totals_of(source)
-    # Written once: a batch and the answers to it have to come from the same split of the input.
-    split = materialize(_split(source, totals), "pairs")
-    pairs = split.where("shard >= 0").select(*(x.split()[0] for x in _PAIRS.split(", ")))
-    texts = split.where("shard = -1").select("batch", *(x.split()[0] for x in _TEXTS.split(", ")))
-    answers = pairs.groupBy("shard").applyInArrow(lambda table: _score_shard(table, totals), _ANSWERS)
+    texts = _split(source, totals, _TEXTS)
+    answers = _pairs_by_shard(source, totals).groupBy("shard").applyInArrow(lambda table: _score_shard(table, totals), _ANSWERS)
     whole = texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
         lambda left, right: _add_up(left, right, totals), _SUMS).select(
         F.col("id").alias(id_col), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"),
