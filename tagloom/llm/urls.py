@@ -5,7 +5,10 @@ hexadecimal or mixed identifiers are generalised at once; a host's tree is
 then built level by level over the distinct (host, path shape) rows with
 their counts, not over the pages.  At each node, a segment keeps a branch of
 its own only if its labelled share of blocked pages differs significantly
-from that of its siblings; all others merge into one wildcard branch.
+from that of its siblings; all others merge into one wildcard branch.  Below
+a node whose labelled pages are all of one kind nothing can differ, so the
+rest of its paths is generalised at once: the tree is as deep as the labels'
+differences, the templates as long as the paths.
 
 Labels are the rules' own decisions.  A template's blocked share is
 smoothed towards the same template on all hosts, and that one towards the
@@ -14,6 +17,7 @@ share of all labelled pages; templates at or over the limit are rejected.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,8 +47,8 @@ RULES = (
     Rule("com", "/fr/", "allow"),
     Rule("com", "/de/", "block"),
 )
-#: Levels of the tree; what lies deeper is one last segment ``**``.
-DEPTH = 6
+#: Segments that are general by their characters.
+TYPED = "^<"
 #: Standard errors by which a segment's share must differ from its siblings' to keep its branch.
 DIFFERS = 2.0
 #: Labelled pages that a wider template's share counts as.
@@ -70,7 +74,7 @@ def _matched(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def _shape(path: Column) -> Column:
-    """The path's segments, variable ones generalised by their characters, at most DEPTH of them."""
+    """The path's segments, variable ones generalised by their characters."""
     segments = F.split(F.regexp_replace(path, "^/", ""), "/", -1)
 
     def general(s: Column) -> Column:
@@ -81,8 +85,7 @@ def _shape(path: Column) -> Column:
                 .when(stem.rlike(r"[0-9]"), F.lit("<id>")).otherwise(stem))
         return F.concat(kind, suffix)
 
-    deep = F.transform(segments, general)
-    return F.when(F.size(deep) > DEPTH, F.concat(F.slice(deep, 1, DEPTH), F.array(F.lit("**")))).otherwise(deep)
+    return F.transform(segments, general)
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -92,13 +95,21 @@ def templates(pages: DataFrame) -> DataFrame:
     """
     shapes = materialize(pages.groupBy("host", "shape").agg(
         F.count("label").alias("labelled"), F.sum(F.coalesce("label", F.lit(0))).alias("blocked")), "shapes")
-    tree = shapes.withColumn("template", F.lit("").cast("string"))
-    deepest = shapes.agg(F.max(F.size("shape"))).first()[0] or 0
-    for level in range(deepest):
+    done, tree, level = [], shapes.withColumn("template", F.lit("").cast("string")), 0
+    while True:
+        ends = _with_mixed(tree).withColumn("mixed", F.col("mixed") & (F.size("shape") > level))
+        ends = materialize(ends.withColumn("template", F.when(F.col("mixed"), F.col("template")).otherwise(
+            F.concat("template", _rest(level)))), "tree")
+        done.append(ends.where("NOT mixed").drop("mixed"))
+        tree = ends.where("mixed").drop("mixed")
+        if tree.isEmpty():
+            break
         tree = materialize(_with_level(tree, level), "tree")
+        level += 1
+    tree = functools.reduce(DataFrame.unionByName, done)
     counts = [F.sum("labelled").alias("n"), F.sum("blocked").alias("k")]
-    overall = tree.agg(*counts).select(((F.col("k") + 0.5) / (F.col("n") + 1)).alias("p0")).first()
-    p0 = overall["p0"] if overall["p0"] is not None else 0.5
+    overall = tree.agg(*counts).select(F.when(F.col("n") > 0, (F.col("k") + 0.5) / (F.col("n") + 1)).alias("p0")).first()
+    p0 = overall["p0"] or 0.0  # without any labelled page nothing is rejected
     wide = tree.groupBy("template").agg(*counts).select(
         "template", ((F.col("k") + PRIOR * p0) / (F.col("n") + PRIOR)).alias("wide"))
     own = tree.groupBy("host", "template").agg(*counts)
@@ -108,6 +119,20 @@ def templates(pages: DataFrame) -> DataFrame:
     return tree.select("host", "shape", "template").join(shares, ["host", "template"])
 
 
+def _with_mixed(tree: DataFrame) -> DataFrame:
+    """``tree`` with ``mixed``: whether the row's node, its host and template so far, has labelled pages of both kinds."""
+    nodes = tree.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("k")).select(
+        "host", "template", ((F.col("k") > 0) & (F.col("k") < F.col("n"))).alias("mixed"))
+    return tree.join(nodes, ["host", "template"])
+
+
+def _rest(level: int) -> Column:
+    """The segments from ``level`` on without branches of their own: typed ones as they are, others as the wildcard."""
+    segments = F.slice("shape", level + 1, F.greatest(F.size("shape") - level, F.lit(0)))
+    return F.array_join(F.transform(segments, lambda s: F.when(s.rlike(TYPED), F.concat(F.lit("/"), s)).otherwise(
+        F.lit("/*"))), "")
+
+
 def _with_level(tree: DataFrame, level: int) -> DataFrame:
     """Add one segment to every template: its own, or the wildcard."""
     segment = F.get("shape", F.lit(level))
@@ -124,7 +149,7 @@ def _with_level(tree: DataFrame, level: int) -> DataFrame:
         "host", "template", "segment", F.coalesce(differs, F.lit(False)).alias("own"))
     # Typed segments and endings are general already; only literal ones merge.
     name = F.when(F.col("segment").isNull(), F.lit("")).when(
-        F.coalesce("own", F.lit(False)) | F.col("segment").rlike(r"^<|^\*\*$"), F.concat(F.lit("/"), "segment")).otherwise(
+        F.coalesce("own", F.lit(False)) | F.col("segment").rlike(TYPED), F.concat(F.lit("/"), "segment")).otherwise(
         F.lit("/*"))
     return tree.join(kept, ["host", "template", "segment"], "left").withColumn(
         "template", F.concat("template", name)).drop("own", "segment")
@@ -137,7 +162,8 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
     lower-cased; path: then up to ``?``, ``#`` or the end.  A null url, or
     one without ``://``, has both empty.  The longest rule that fits
-    decides; else the template.  Equal rows stay; other columns are not read.
+    decides; else the template.  Where no rule fits any page, all pages are
+    allowed.  Equal rows stay; other columns are not read.
     """
     host, path = _host_and_path(F.col(url_col))
     judged = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))

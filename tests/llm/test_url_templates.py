@@ -1,0 +1,92 @@
+"""The path-template tree against a plain recursion over its levels."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom.llm import urls
+from tagloom.llm.urls import Rule
+
+
+def plain_templates(rows):
+    """{(host, shape): (template, share)} from {(host, shape): (labelled, blocked)}, level by level to the deepest."""
+    template = {key: "" for key in rows}
+    for level in range(max((len(shape) for _, shape in rows), default=0)):
+        node, branch = defaultdict(Counter), defaultdict(Counter)
+        for (host, shape), (n, k) in rows.items():
+            if len(shape) > level:
+                node[host, template[host, shape]].update(n=n, k=k)
+                branch[host, template[host, shape], shape[level]].update(n=n, k=k)
+        new = {}
+        for (host, shape), before in template.items():
+            if len(shape) <= level:
+                new[host, shape] = before
+                continue
+            segment, whole = shape[level], node[host, before]
+            own = branch[host, before, segment]
+            rest_n, rest_k = whole["n"] - own["n"], whole["k"] - own["k"]
+            differs = False
+            if own["n"] and rest_n:
+                pooled = (whole["k"] + 1) / (whole["n"] + 2)
+                error = math.sqrt(pooled * (1 - pooled) * (1 / own["n"] + 1 / rest_n))
+                differs = abs(own["k"] / own["n"] - rest_k / rest_n) >= urls.DIFFERS * error
+            new[host, shape] = before + ("/" + segment if differs or segment.startswith("<") else "/*")
+        template = new
+    total = Counter()
+    for n, k in rows.values():
+        total.update(n=n, k=k)
+    p0 = (total["k"] + 0.5) / (total["n"] + 1) if total["n"] else 0
+    wide, own = defaultdict(Counter), defaultdict(Counter)
+    for key, (n, k) in rows.items():
+        wide[template[key]].update(n=n, k=k)
+        own[key[0], template[key]].update(n=n, k=k)
+    out = {}
+    for key in rows:
+        w, o = wide[template[key]], own[key[0], template[key]]
+        prior = (w["k"] + urls.PRIOR * p0) / (w["n"] + urls.PRIOR)
+        out[key] = template[key], (o["k"] + urls.PRIOR * prior) / (o["n"] + urls.PRIOR)
+    return out
+
+
+@pytest.mark.parametrize("seed, depth", [(1, 3), (2, 9), (3, 14)])
+def test_templates_equal_a_plain_recursion(spark, seed, depth):
+    rng = random.Random(seed)
+    pages = []
+    for _ in range(600):
+        shape = tuple(rng.choice(["a", "b", "<n>", "<id>.html", "c" if rng.random() < 0.3 else "a"])
+                      for _ in range(rng.randrange(depth + 1)))
+        label = rng.choice([None, int("b" in shape[-2:]), int("b" in shape[-2:]), rng.randrange(2)])
+        pages.append((rng.choice("xyz"), list(shape), label))
+    rows = defaultdict(lambda: [0, 0])
+    for host, shape, label in pages:
+        rows[host, tuple(shape)][0] += label is not None
+        rows[host, tuple(shape)][1] += label or 0
+    found = urls.templates(spark.createDataFrame(pages, "host string, shape array<string>, label int")).collect()
+    expected = plain_templates({k: tuple(v) for k, v in rows.items()})
+    assert len(found) == len(expected)
+    for r in found:
+        template, share = expected[r.host, tuple(r["shape"])]
+        assert r.template == template and r.blocked_share == pytest.approx(share)
+    assert len({t for t, _ in expected.values()}) > 8
+
+
+def test_rules_far_down_the_path_reach_other_pages(spark):
+    deep = "/q/q/q/q/q/q"
+    rules = (Rule("a.com", f"{deep}/bad", "block"), Rule("a.com", f"{deep}/fine", "allow"))
+    pages = [(i, f"http://a.com{deep}/{'bad' if i % 3 else 'fine'}/{i}") for i in range(90)]
+    pages += [(100, f"http://b.com{deep}/fine/7"), (101, f"http://a.com{deep}/other/7"), (102, "http://b.com/" + "s/" * 900)]
+    found = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), rules).collect()}
+    assert re.fullmatch(r"(/\*){6}/(bad/<n>|\*/<n>)", found[1].template) and found[1].blocked_share > 0.9
+    assert found[0].template != found[1].template and found[0].blocked_share < 0.1
+    assert len(found[102].template) == 2 * 901
+
+
+def test_without_labelled_pages_everything_is_allowed(spark):
+    pages = spark.createDataFrame([(1, "http://h.se/a/1"), (2, None), (3, "x")], "page_id long, url string")
+    found = urls.judge_urls(pages).collect()
+    assert {(r.rule, r.verdict) for r in found} == {(None, "allow")} and len(found) == 3
+    assert urls.judge_urls(pages, ()).where(F.col("verdict") == "allow").count() == 3
