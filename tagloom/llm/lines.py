@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.tables import materialize
+from tagloom.llm.tables import materialize, unused
 from tagloom.llm.words import U64, buffers, mix, slices
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -151,14 +151,15 @@ def drop_repeated_lines(documents: DataFrame, min_docs: int = 10, min_chars: int
     documents = documents.drop(*({"n_lines", "n_dropped"} & set(documents.columns)))
     copied_only = keep_copied and not keep_first
     keep_first = keep_first or keep_copied
+    name, owner = unused(documents, "drops"), unused(documents, "drop_id")
     drops = repeated_lines(documents, min_docs, min_chars, id_col, text_col, copied_only).groupBy("id").agg(
-        F.collect_list(F.struct("lo", "hi", "first")).alias("_drops")).withColumnRenamed("id", "_drop_id")
-    joined = documents.join(drops, F.col(id_col).cast("long").eqNullSafe(F.col("_drop_id")), "left").drop("_drop_id")
+        F.collect_list(F.struct("lo", "hi", "first")).alias(name)).withColumnRenamed("id", owner)
+    joined = documents.join(drops, F.col(id_col).cast("long").eqNullSafe(F.col(owner)), "left").drop(owner)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
             data, bounds = buffers(batch.column(text_col))
-            drops = batch.column("_drops").to_pylist()
+            drops = batch.column(name).to_pylist()
             texts, counts, dropped = [], [], []
             for i, own in enumerate(drops):
                 text = bytes(data[bounds[i]:bounds[i + 1]])
@@ -181,7 +182,7 @@ def drop_repeated_lines(documents: DataFrame, min_docs: int = 10, min_chars: int
                 texts.append(text.decode())
                 dropped.append(gone)
             new = {text_col: pa.array(texts, pa.string())}
-            names = [n for n in batch.schema.names if n != "_drops"]
+            names = [n for n in batch.schema.names if n != name]
             yield pa.record_batch([new.get(n, batch.column(n)) for n in names]
                                   + [pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())],
                                   names=[*names, "n_lines", "n_dropped"])

@@ -44,6 +44,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bucket_of(column: Column, buckets: int) -> Column:
     """crc32 of a value as text, modulo ``buckets``; null counts as empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % buckets
