@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import bpe, contamination, lines, minhash, quality
 from tagloom.llm.queries import TOKENIZER
-from tagloom.llm.tables import materialize, read, ship_package
+from tagloom.llm.tables import materialize, read, ship_package, unused
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -43,9 +43,10 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of every group of near-duplicates, by five-word shingles at 0.8."""
     ship_package(spark)
+    name = unused(docs, "gone")
     gone = minhash.near_duplicates(docs, k=5, percent=80).where("NOT kept").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+        F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
