@@ -1,33 +1,42 @@
 """Document quality by co-training two views.
 
 One classifier sees the text only, the other what is known about the page:
-its source, language and stated length.  In each round, each labels the
+its source, language and stated length.  In each round, each labels all
 unlabelled documents that it is sure of for the other.  Both are then
 calibrated on labelled documents that neither was fitted on, and combined.
 
-Fitting uses bounded samples, which come to the driver as a few dozen
-numbers for each document; scoring covers all documents without a shuffle.
+The labelled documents are a bounded sample, which comes to the driver as a
+few dozen numbers for each.  The unlabelled ones stay on Spark: a Newton step
+needs their gradients and curvatures only, which are summed there.  Together
+they weigh as much as the labelled ones at most, with the same shares of both
+labels, so that many sure mistakes cannot outvote what is known.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.tables import materialize
 from tagloom.llm.words import Words, hash_shingles, hash_words, slices
 
-#: Labelled and unlabelled documents that the model is fitted on, at most: those of the smallest id hashes.
-MAX_LABELLED, MAX_UNLABELLED = 20_000, 20_000
-ROUNDS, SURE, PER_ROUND = 4, 0.98, 1_000
+#: Labelled documents that the model is fitted on, at most: those of the smallest id hashes.
+MAX_LABELLED = 20_000
+#: Rounds of exchanging labels, Newton steps in each, and the probability from which a classifier is sure.
+ROUNDS, STEPS, SURE = 3, 2, 0.98
+#: Sums of the unlabelled documents that come to the driver for each step.
+SLOTS = 32
 #: One labelled document in so many is kept for calibration.
 CALIBRATION = 4
 SOURCES, LANGUAGES = 32, 8
+RIDGE = 1.0
 
 _UPPER, _LOWER, _DIGIT, _PUNCT, _ODD, _HIGH, _NEWLINE = range(7)
 
@@ -94,27 +103,35 @@ class Logistic:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Logistic:
+    def fit(cls, x: np.ndarray, y: np.ndarray) -> Logistic:
         known = ~np.isnan(x)
         n = np.maximum(known.sum(axis=0), 1)
         mean = np.where(known, x, 0).sum(axis=0) / n
         scale = np.sqrt((np.where(known, x - mean, 0) ** 2).sum(axis=0) / n) + 1e-6
-        design = np.column_stack((np.where(known, (x - mean) / scale, 0), np.ones(len(x))))
-        weights = np.zeros(design.shape[1])
-        penalty = np.append(np.full(x.shape[1], ridge), 1e-3)
+        model = cls(mean, scale, np.zeros(x.shape[1] + 1))
         for _ in range(30):
-            p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
-            gradient = design.T @ (p - y) + penalty * weights
-            hessian = (design * (p * (1 - p))[:, None]).T @ design + np.diag(penalty)
-            step = np.linalg.solve(hessian, gradient)
-            weights = weights - np.clip(step, -2, 2)
-            if np.abs(step).max() < 1e-6:
+            model, moved = model.step(*model.slopes(x, y))
+            if moved < 1e-6:
                 break
-        return cls(mean, scale, weights)
+        return model
+
+    def design(self, x: np.ndarray) -> np.ndarray:
+        return np.column_stack((np.where(np.isnan(x), 0, (x - self.mean) / self.scale), np.ones(len(x))))
+
+    def slopes(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and curvature of the loss of rows ``x`` with labels ``y``."""
+        design = self.design(x)
+        p = 1 / (1 + np.exp(-np.clip(design @ self.weights, -30, 30)))
+        return design.T @ (p - y), (design * (p * (1 - p))[:, None]).T @ design
+
+    def step(self, gradient: np.ndarray, curvature: np.ndarray) -> tuple[Logistic, float]:
+        """The model after a Newton step, and how far it went."""
+        penalty = np.append(np.full(len(self.mean), RIDGE), 1e-3)
+        step = np.linalg.solve(curvature + np.diag(penalty), gradient + penalty * self.weights)
+        return replace(self, weights=self.weights - np.clip(step, -2, 2)), float(np.abs(step).max())
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        standard = np.where(np.isnan(x), 0, (x - self.mean) / self.scale)
-        return np.clip(standard @ self.weights[:-1] + self.weights[-1], -30, 30)
+        return np.clip(self.design(x) @ self.weights, -30, 30)
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-self.margin(x)))
@@ -130,32 +147,83 @@ class Model:
         return self.both.probability(np.column_stack((self.text.margin(text), self.page.margin(page))))
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], labels: np.ndarray, pools: tuple[np.ndarray, np.ndarray],
-             spare: np.ndarray) -> Model:
-    """Views are the labelled documents' features, pools the unlabelled ones'; ``spare`` marks rows for calibration."""
+Views = tuple[np.ndarray, np.ndarray]
+#: For each view and label: how many documents the other view is sure of, and their gradient and curvature.
+Sums = dict[tuple[int, int], tuple[float, np.ndarray, np.ndarray]]
+
+
+def sure_sums(views: Views, teachers: list[Logistic], models: list[Logistic]) -> Sums:
+    """Sums over rows that ``teachers`` label, each view for the other, of the slopes of ``models``."""
+    out: Sums = {}
+    for v in (0, 1):
+        p = teachers[1 - v].probability(views[1 - v])
+        for label, sure in ((0, 1 - p >= SURE), (1, p >= SURE)):
+            rows = views[v][sure]
+            out[v, label] = (float(len(rows)), *models[v].slopes(rows, np.full(len(rows), label)))
+    return out
+
+
+def co_train(views: Views, labels: np.ndarray, spare: np.ndarray,
+             unlabelled: Callable[[list[Logistic], list[Logistic]], Sums]) -> Model:
+    """``views`` are the labelled documents' features, ``spare`` marks rows for calibration; ``unlabelled`` gives the
+    ``sure_sums`` of all unlabelled documents."""
     known = ~spare
-    added: list[dict[int, int]] = [{}, {}]  # pool row -> label given by the other view
-    models: list[Logistic] = []
-    for round_number in range(ROUNDS + 1):
-        models = []
-        for v in (0, 1):
-            rows = np.array(sorted(added[v]), np.int64)
-            x = np.concatenate((views[v][known], pools[v][rows]))
-            y = np.concatenate((labels[known], [added[v][r] for r in rows]))
-            models.append(Logistic.fit(x, y))
-        if round_number == ROUNDS or not len(pools[0]):
-            break
-        for v in (0, 1):
-            p = models[v].probability(pools[v])
-            sure = np.flatnonzero(np.maximum(p, 1 - p) >= SURE)
-            sure = sure[np.argsort(-np.abs(p[sure] - 0.5), kind="stable")]
-            fresh = [r for r in sure.tolist() if r not in added[1 - v]][:PER_ROUND]
-            added[1 - v].update((r, int(p[r] > 0.5)) for r in fresh)
+    y = labels[known]
+    models = [Logistic.fit(view[known], y) for view in views]
+    for _ in range(ROUNDS):
+        teachers = models
+        for _ in range(STEPS):
+            sums, after = unlabelled(teachers, models), []
+            for v in (0, 1):
+                gradient, curvature = models[v].slopes(views[v][known], y)
+                found = [sums[v, label][0] for label in (0, 1)]
+                # As many as the labelled documents count in all, in the labelled shares.
+                mass = min(sum(found), len(y)) * np.array([np.mean(y == 0), np.mean(y == 1)])
+                for label in (0, 1):
+                    if found[label]:
+                        weight = min(mass[label] / found[label], 1.0)
+                        gradient = gradient + weight * sums[v, label][1]
+                        curvature = curvature + weight * sums[v, label][2]
+                after.append(models[v].step(gradient, curvature)[0])
+            models = after
     margins = np.column_stack([m.margin(view) for m, view in zip(models, views)])
     use = spare if len(set(labels[spare])) == 2 else np.ones(len(labels), bool)
     return Model(models[0], models[1], Logistic.fit(margins[use], labels[use]))
 
 
+def _summed(pool: DataFrame, teachers: list[Logistic], models: list[Logistic]) -> Sums:
+    """``sure_sums`` of the rows (text, page) of ``pool``: added up by task, then in SLOTS groups."""
+    shared = pool.sparkSession.sparkContext.broadcast((teachers, models))
+    keys = [(v, label) for v in (0, 1) for label in (0, 1)]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                views = tuple(np.stack(batch.column(c).to_numpy(zero_copy_only=False)).astype(float)
+                              for c in ("text", "page"))
+                sums = sure_sums(views, *shared.value)
+                own = np.concatenate([np.concatenate(([n], g, h.ravel())) for n, g, h in (sums[k] for k in keys)])
+                total = own if total is None else total + own
+        if total is not None:
+            slot = TaskContext.get().partitionId() % SLOTS
+            yield pa.record_batch([pa.array([slot], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                  names=["slot", "sums"])
+
+    def join(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x) for x in table.column("sums").to_pylist())
+        return pa.table({"sums": pa.array([total.tobytes()], pa.binary())})
+
+    rows = pool.mapInArrow(add, "slot int, sums binary").groupBy("slot").applyInArrow(join, "sums binary").collect()
+    sizes = [len(models[v].weights) for v, _ in keys]
+    total = sum((np.frombuffer(r["sums"]) for r in rows), np.zeros(sum(1 + n + n * n for n in sizes)))
+    out, at = {}, 0
+    for key, n in zip(keys, sizes):
+        out[key] = (total[at], total[at + 1:at + 1 + n], total[at + 1 + n:at + 1 + n + n * n].reshape(n, n))
+        at += 1 + n + n * n
+    return out
+
+
 def _source(documents: DataFrame, id_col: str) -> DataFrame:
     """The columns that features are made of; missing ones are null."""
     have = set(documents.columns)
@@ -167,31 +235,36 @@ def _source(documents: DataFrame, id_col: str) -> DataFrame:
 
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Model | None:
     """A model, or None if the labelled documents don't show both labels."""
-    key = F.xxhash64(id_col)
     chosen = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(
-        F.min(label_col).cast("int").alias("label")).orderBy(key, id_col).limit(MAX_LABELLED)
-    pool = documents.where(F.col(id_col).isNotNull()).join(labels.select(id_col), id_col, "left_anti").select(
-        id_col, F.lit(-1).alias("label")).distinct().orderBy(key, id_col).limit(MAX_UNLABELLED)
-    sample = chosen.unionByName(pool).withColumnRenamed(id_col, "id")
+        F.min(label_col).cast("int").alias("label")).orderBy(F.xxhash64(id_col), id_col).limit(MAX_LABELLED)
+    source = _source(documents, id_col)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = hash_words(batch.column("text"))
-            yield pa.record_batch([batch.column("id").cast(pa.int64()), batch.column("label"), *(
+            yield pa.record_batch([*(batch.column(c) for c in ("id", "label")), *(
                 pa.array(list(x.astype(np.float32)), pa.list_(pa.float32()))
                 for x in (text_features(words), page_features(batch)))], names=["id", "label", "text", "page"])
 
-    rows = _source(documents, id_col).join(F.broadcast(sample), "id").mapInArrow(
-        features, "id long, label int, text array<float>, page array<float>").toPandas().sort_values("id")
-    labelled = rows["label"].to_numpy() >= 0
-    y = rows["label"].to_numpy()[labelled]
+    def with_features(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("id", F.col("id").cast("string")).mapInArrow(
+            features, "id string, label int, text array<float>, page array<float>")
+
+    # One row for each id, so that what comes to the driver is bounded also where ids repeat.
+    known = with_features(source.join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id"))
+    rows = known.groupBy("id").agg(F.min(F.struct("label", "text", "page")).alias("row")).select(
+        "id", "row.*").toPandas().sort_values("id")
+    y = rows["label"].to_numpy()
     if len(set(y.tolist())) < 2:
         return None
-    text, page = (np.stack(rows[c].to_numpy()).astype(float) for c in ("text", "page"))
-    spare = np.array([zlib.crc32(str(i).encode()) % CALIBRATION == 0 for i in rows["id"].to_numpy()[labelled]])
+    views = tuple(np.stack(rows[c].to_numpy()).astype(float) for c in ("text", "page"))
+    spare = np.array([zlib.crc32(i.encode()) % CALIBRATION == 0 for i in rows["id"]])
     if len(set(y[~spare].tolist())) < 2:
         spare = np.zeros(len(y), bool)
-    return co_train((text[labelled], page[labelled]), y, (text[~labelled], page[~labelled]), spare)
+    others = source.join(labels.select(F.col(id_col).alias("id")), "id", "left_anti").withColumn(
+        "label", F.lit(None).cast("int"))
+    pool = materialize(with_features(others).select("text", "page"), "unlabelled")
+    return co_train(views, y, spare, lambda teachers, models: _summed(pool, teachers, models))
 
 
 def score_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",

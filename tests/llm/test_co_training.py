@@ -1,0 +1,141 @@
+"""Co-training on cases small enough for plain formulas."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tagloom.llm import quality
+from tagloom.llm.words import hash_words
+
+
+def test_text_features_equal_plain_counts():
+    rng = random.Random(3)
+    texts = ["", None, "One", "a a a", "LOUD! NOISE!! 99 ~~", "é ü\nline two\n", " ".join(
+        rng.choice(["alpha", "beta", "Gamma!", "x9", "a"]) for _ in range(200))]
+    found = quality.text_features(hash_words(pa.array(texts, pa.string())))
+    for text, row in zip(texts, found):
+        data = (text or "").encode()
+        words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+        low = [w.lower() for w in words]
+        n, size = len(words), max(len(data), 1)
+        kinds = [rb"[A-Z]", rb"[a-z]", rb"[0-9]", rb"[!\"'.,:;?]", rb"[#-&(-+\-/<->@\[-`{-~]", rb"[\x80-\xff]", rb"\n"]
+        shares = [len(re.findall(k, data)) / size for k in kinds]
+        pairs = list(zip(low, low[1:])) if n > 1 else [tuple(low)] if n else []
+        expected = [*shares, min(sum(map(len, words)) / max(n, 1), 50) / 10,
+                    sum(a == b for a, b in zip(low, low[1:])) / max(n, 1), len(set(low)) / max(n, 1),
+                    len(set(pairs)) / max(len(pairs), 1), sum(w.endswith(b"!") for w in words) / max(n, 1),
+                    math.log1p(n), math.log1p(n) ** 2 / 10]
+        assert row[:14] == pytest.approx(expected, abs=1e-9)
+        assert row[14:26] == pytest.approx(np.square(expected[:12])) and row[26:] == pytest.approx(np.sqrt(expected[:12]))
+
+
+def case(seed=5, n=200, pool=600):
+    """Two views that each show the label with noise of their own."""
+    rng = np.random.default_rng(seed)
+
+    def draw(k):
+        y = rng.integers(0, 2, k)
+        return y, (rng.normal(size=(k, 3)) + 2.5 * y[:, None] * [1, 0, 0.5], rng.normal(size=(k, 2)) + 2 * y[:, None] * [0, 1])
+
+    (y, views), (_, others) = draw(n), draw(pool)
+    views[0][::17, 1] = np.nan
+    return y, views, others
+
+
+def plain_loss(model, x, y, weight):
+    design = model.design(x)
+    margin = np.clip(design @ model.weights, -30, 30)
+    loss = np.sum(weight * (np.log1p(np.exp(-np.abs(margin))) + np.maximum(margin, 0) - y * margin))
+    penalty = np.append(np.full(len(model.mean), quality.RIDGE), 1e-3)
+    return loss + (penalty * model.weights ** 2).sum() / 2
+
+
+def test_logistic_fit_is_at_the_least_loss():
+    y, views, _ = case()
+    model = quality.Logistic.fit(views[0], y)
+    best = plain_loss(model, views[0], y, 1)
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        moved = quality.replace(model, weights=model.weights + rng.normal(size=4) * 0.05)
+        assert plain_loss(moved, views[0], y, 1) > best
+    assert model.probability(np.full((1, 3), np.nan))[0] == pytest.approx(1 / (1 + math.exp(-model.weights[-1])))
+
+
+def test_sums_are_the_slopes_of_the_rows_the_other_view_is_sure_of():
+    y, views, others = case()
+    models = [quality.Logistic.fit(v, y) for v in views]
+    sums = quality.sure_sums(others, models, models)
+    for v in (0, 1):
+        for label in (0, 1):
+            p = models[1 - v].probability(others[1 - v])
+            rows = [r for r in range(len(p)) if (p[r] if label else 1 - p[r]) >= quality.SURE]
+            count, gradient, curvature = sums[v, label]
+            assert count == len(rows) > 20
+            h = 1e-5
+            for i in range(len(gradient)):
+                losses = []
+                for sign in (1, -1):
+                    weights = models[v].weights.copy()
+                    weights[i] += sign * h
+                    moved = quality.replace(models[v], weights=weights)
+                    losses.append(plain_loss(moved, others[v][rows], np.full(len(rows), label), 1))
+                penalty = (1e-3 if i == len(gradient) - 1 else quality.RIDGE) * models[v].weights[i]
+                assert gradient[i] + penalty == pytest.approx((losses[0] - losses[1]) / (2 * h), abs=1e-3)
+            assert np.allclose(curvature, curvature.T) and np.linalg.eigvalsh(curvature).min() > -1e-9
+
+
+def test_co_training_on_spark_equals_numpy(spark):
+    y, views, others = case()
+    others = tuple(o.astype(np.float32).astype(float) for o in others)
+    table = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(*others)],
+                                  "text array<float>, page array<float>").repartition(7)
+    spare = np.arange(len(y)) % 4 == 0
+    seen = []
+
+    def plain(teachers, models):
+        sums = quality.sure_sums(others, teachers, models)
+        seen.append(sum(s[0] for s in sums.values()))
+        found = quality._summed(table, teachers, models)
+        for key, (count, gradient, curvature) in sums.items():
+            assert found[key][0] == count and np.allclose(found[key][1], gradient)
+            assert np.allclose(found[key][2], curvature)
+        return sums
+
+    model = quality.co_train(views, y, spare, plain)
+    assert len(seen) == quality.ROUNDS * quality.STEPS and min(seen) > 200   # all that are sure
+    alone = quality.co_train(views, y, spare, lambda t, m: {
+        (v, k): (0.0, 0, 0) for v in (0, 1) for k in (0, 1)})
+    test_y, test_views, _ = case(seed=6, n=4000)
+    right = [np.mean((m.probability(*test_views) >= 0.5) == test_y) for m in (model, alone)]
+    assert right[0] > 0.93 and right[0] >= right[1] - 0.01
+
+
+def test_sure_mistakes_do_not_outvote_the_labels():
+    """A million unlabelled documents of one kind weigh no more than the labelled ones."""
+    y, views, _ = case()
+    far = (np.tile([9.0, 0, 5], (1000, 1)), np.tile([0.0, 9], (1000, 1)))
+
+    def many(teachers, models):
+        return {k: (1000 * n, 1000 * g, 1000 * h) for k, (n, g, h) in quality.sure_sums(far, teachers, models).items()}
+
+    model = quality.co_train(views, y, np.zeros(len(y), bool), many)
+    assert np.mean((model.probability(*views) >= 0.5) == y) > 0.9
+
+
+def test_text_ids_and_repeated_ids(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(120):
+        good = i % 3 > 0
+        words = rng.choices(["river", "stone", "walks", "under", "light", "old"], k=30) if good else ["buy"] * 30
+        rows.append((f"d{i}", " ".join(words), "en", "good.org" if good else "spam.biz", 150))
+    docs = spark.createDataFrame(rows + rows[:1] * 200, "doc_id string, text string, lang string, source string, n_chars int")
+    labels = spark.createDataFrame([(f"d{i}", int(i % 3 > 0)) for i in range(90)], "doc_id string, quality int")
+    found = quality.score_quality(docs, labels).select("doc_id", "predicted").collect()
+    assert len(found) == 320 and all(r.predicted == int(int(r.doc_id[1:]) % 3 > 0) for r in found)
+    assert Counter(r.predicted for r in found)[1] == 80
