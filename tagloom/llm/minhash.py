@@ -205,8 +205,9 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     return pairs.mapInPandas(passing, "a long, b long")
 
 
-#: Members of a key that are held together; larger keys are searched block by block.
-BLOCK = 2048
+#: Members of a key that are held together, and shingles of theirs (64 MB), about; larger keys are searched block by
+#: block.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 23
 
 
 def _open_keys(members: DataFrame, components: DataFrame) -> DataFrame:
@@ -214,12 +215,16 @@ def _open_keys(members: DataFrame, components: DataFrame) -> DataFrame:
 
     Keys of up to BLOCK members are one group (0, 0); in larger ones every
     pair of blocks is a group, and a member is in the groups of its block.
+    Both inputs of the join are plain shuffles, which adaptive execution
+    splits where one key holds many members.
     """
     labelled = members.join(components, "id", "left").withColumn(
         "component_id", F.coalesce("component_id", "id"))
     open_keys = labelled.groupBy("key").agg(
         F.min("component_id").alias("low"), F.max("component_id").alias("high"),
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("low <> high").select("key", "blocks")
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")).where(
+        "low <> high").select("key", "blocks")
+    open_keys = materialize(open_keys, "open-keys")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = labelled.join(open_keys, "key").withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -315,7 +320,7 @@ def _components(documents: DataFrame, sketches: DataFrame, rows: DataFrame, k: i
     """(id, component_id) of the documents that are linked with any."""
     chosen = rows.where("id = class_id").select("id").distinct()
     sketches = sketches.join(chosen, "id", "left_semi").dropDuplicates(["id", "n", "f1", "f2"])
-    keys = sketches.select(F.explode("bands").alias("key"), "id")
+    keys = sketches.select(F.explode("bands").alias("key"), "id", "n")
     # Keys with the same members say the same; one of them is enough.
     heads = keys.groupBy("key").agg(
         F.min("id").alias("head"), F.max("id").alias("last"), F.count("*").alias("size"),
