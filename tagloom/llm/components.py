@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.tables import materialize
+from tagloom.llm.tables import forget, materialize
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -14,7 +14,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Each round attaches the larger neighbours of every id to its smallest
     neighbour, then the smaller ones; it ends when the links stay the same,
     after about log2(longest path) rounds.  Links with a null end are
-    ignored; loops keep their id.  No links give an empty table.
+    ignored; loops keep their id.  No links give an empty table.  Tables of
+    earlier rounds are deleted.
     """
     pairs = links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
@@ -26,8 +27,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
                               F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))).first())
         if now == before or now[0] == 0:
             break
-        before = now
-        stars = materialize(_small_star(_large_star(stars)), "links")
+        before, old = now, stars
+        stars = materialize(_small_star(_large_star(old)), "links")
+        forget(old)
     roots = stars.select(F.col("v").alias("u"), "v")
     return stars.unionByName(roots).unionByName(loops).groupBy(F.col("u").alias("id")).agg(
         F.min("v").alias("component_id"))

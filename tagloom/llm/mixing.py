@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.tables import materialize
+from tagloom.llm.tables import forget, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A source is solved when its words are this near to the target, as a share of it; rounding takes the rest.
@@ -105,8 +105,10 @@ def solve_multipliers(sizes: DataFrame, targets: DataFrame, cap: int = 3) -> Dat
         inside = (F.coalesce(newton > low, newton.isNotNull()) & F.coalesce(newton < high, newton.isNotNull()))
         width = 2 * F.greatest(F.abs(lam), F.lit(1.0))
         halved = F.when(low.isNull(), lam - width).when(high.isNull(), lam + width).otherwise((low + high) / 2)
+        old = state
         state = materialize(tried.withColumn("lam", F.when(F.col("done"), lam).when(inside, newton).otherwise(halved))
                             .select(state.columns), "mix-dual")
+        forget(old)
         if state.where("NOT done").isEmpty():
             break
     return state

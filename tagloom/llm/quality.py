@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.tables import materialize
+from tagloom.llm.tables import forget, materialize
 from tagloom.llm.words import Words, hash_shingles, hash_words, slices
 
 #: Labelled documents that the model is fitted on, at most: those of the smallest id hashes.
@@ -237,23 +237,21 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_c
     """A model, or None if the labelled documents don't show both labels."""
     chosen = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(
         F.min(label_col).cast("int").alias("label")).orderBy(F.xxhash64(id_col), id_col).limit(MAX_LABELLED)
-    source = _source(documents, id_col)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = hash_words(batch.column("text"))
-            yield pa.record_batch([*(batch.column(c) for c in ("id", "label")), *(
+            yield pa.record_batch([batch.column("id"), *(
                 pa.array(list(x.astype(np.float32)), pa.list_(pa.float32()))
-                for x in (text_features(words), page_features(batch)))], names=["id", "label", "text", "page"])
-
-    def with_features(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("id", F.col("id").cast("string")).mapInArrow(
-            features, "id string, label int, text array<float>, page array<float>")
+                for x in (text_features(words), page_features(batch)))], names=["id", "text", "page"])
 
+    # From here on texts are not moved: a document is its features, a tenth of its size.
+    source = _source(documents, id_col).withColumn("id", F.col("id").cast("string"))
+    every = materialize(source.mapInArrow(features, "id string, text array<float>, page array<float>"), "features")
+    chosen = chosen.withColumn("id", F.col(id_col).cast("string")).select("id", "label")
     # One row for each id, so that what comes to the driver is bounded also where ids repeat.
-    known = with_features(source.join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id"))
-    rows = known.groupBy("id").agg(F.min(F.struct("label", "text", "page")).alias("row")).select(
-        "id", "row.*").toPandas().sort_values("id")
+    rows = every.join(F.broadcast(chosen), "id").groupBy("id").agg(
+        F.min(F.struct("label", "text", "page")).alias("row")).select("id", "row.*").toPandas().sort_values("id")
     y = rows["label"].to_numpy()
     if len(set(y.tolist())) < 2:
         return None
@@ -261,9 +259,9 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_c
     spare = np.array([zlib.crc32(i.encode()) % CALIBRATION == 0 for i in rows["id"]])
     if len(set(y[~spare].tolist())) < 2:
         spare = np.zeros(len(y), bool)
-    others = source.join(labels.select(F.col(id_col).alias("id")), "id", "left_anti").withColumn(
-        "label", F.lit(None).cast("int"))
-    pool = materialize(with_features(others).select("text", "page"), "unlabelled")
+    labelled = labels.select(F.col(id_col).cast("string").alias("id"))
+    pool = materialize(every.join(labelled, "id", "left_anti").select("text", "page"), "unlabelled")
+    forget(every)
     return co_train(views, y, spare, lambda teachers, models: _summed(pool, teachers, models))
 
 

@@ -11,7 +11,7 @@ import tagloom
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.session import scratch_dir
+from tagloom.session import delete_path, scratch_dir
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,7 +41,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table of ``materialize`` that nothing will read again."""
+    delete_path(df.sparkSession, df._scratch)
 
 
 def unused(df: DataFrame, name: str) -> str:
