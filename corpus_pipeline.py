@@ -20,7 +20,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the co-trained classifier rejects."""
+    """Without the documents that the co-trained classifier rejects.
+
+    A null text counts as empty; unknown source, language or length speaks
+    for nothing.  Rows that share an id are judged each by its own text, a row
+    without an id like any other.  Equal scores at the limit stay.  Without
+    labels of both kinds nothing goes.
+    """
     ship_package(spark)
     scored = quality.score_quality(docs, read(spark, sf_dir, "labels"))
     return scored.where("predicted = 1").select(docs.columns)
@@ -30,6 +36,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Without the lines that stand in ten documents or more; a document stays even if all its lines go.
 
     Lines in fewer than ten different texts, repeated only because texts are copied, stay in the smallest id.
+    A null text becomes empty, an empty one stays; blank lines never count.  Rows that share an id, or have none,
+    count as one document.
     """
     ship_package(spark)
     kept = lines.drop_repeated_lines(docs, min_docs=10, keep_copied=True)
@@ -41,7 +49,11 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of every group of near-duplicates, by five-word shingles at 0.8."""
+    """The document of the smallest id of every group of near-duplicates, by five-word shingles at 0.8.
+
+    Documents without words are near to nothing and stay, so do rows without an id.  Rows that share an id are one
+    document: they go or stay together.
+    """
     ship_package(spark)
     name = unused(docs, "gone")
     gone = minhash.near_duplicates(docs, k=5, percent=80).where("NOT kept").select(
@@ -50,13 +62,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold an item of the benchmark."""
+    """Without the documents that hold an item of the benchmark, 80 percent of its five-word shingles at least.
+
+    Items and documents without words match nothing.  Rows that share an id go together; rows without an id stay.
+    """
     ship_package(spark)
     return contamination.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row; a null text is empty, ids may be null or repeat."""
     ship_package(spark)
     return bpe.round_trip(docs, TOKENIZER)
 
