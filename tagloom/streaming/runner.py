@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 
 class BatchKey(NamedTuple):
@@ -79,12 +80,49 @@ def drain(stream: DataFrame, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
+class _Progress(StreamingQueryListener):
+    """The watermark and the late rows of one run, from every batch: the query itself remembers the last hundred."""
+
+    def __init__(self) -> None:
+        self._ended: set[str] = set()
+        self._waiting = threading.Condition()
+        self._seen: dict[str, list[dict]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self._waiting:
+            self._seen.setdefault(str(event.progress.runId), []).append(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._waiting:
+            self._ended.add(str(event.runId))
+            self._waiting.notify_all()
+
+    def of(self, run_id: str, seconds: float = 60) -> list[dict]:
+        """All progress of a run, once its end has been reported."""
+        with self._waiting:
+            if not self._waiting.wait_for(lambda: run_id in self._ended, seconds):
+                raise TimeoutError(f"the end of run {run_id} was not reported")
+            return self._seen.get(run_id, [])
+
+
 def drain_closed(stream: DataFrame, folder: str) -> tuple[DataFrame, str | None, int]:
     """``drain`` with the last watermark (ISO text) and the number of late rows
-    that it has dropped."""
-    query = start_append(stream, f"{folder}/rows", f"{folder}/checkpoint", available_now=True)
-    query.awaitTermination()
-    found = [json.loads(progress.json) for progress in query.recentProgress]
+    that it has dropped, from all batches."""
+    listener = _Progress()
+    streams = stream.sparkSession.streams
+    streams.addListener(listener)
+    try:
+        query = start_append(stream, f"{folder}/rows", f"{folder}/checkpoint", available_now=True)
+        query.awaitTermination()
+        found = listener.of(str(query.runId))
+    finally:
+        streams.removeListener(listener)
     marks = [p["eventTime"]["watermark"] for p in found if "watermark" in p.get("eventTime", {})]
     rows = stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
     return rows, max(marks, default=None), sum(late_rows(p) for p in found)

@@ -469,3 +469,15 @@ def test_ledger_from_reported_progress(spark, tmp_path):
     assert rows(ledger.counts()) == [("t", 0, 8, 0), ("t", 1, 11, 2)]
     listener.onQueryProgress(progress(2, {"logOffset": 1}, {"logOffset": 2}))
     assert ledger.start_offsets() == [("t", 0, 8), ("t", 1, 11)]
+
+
+def test_late_rows_of_all_batches_are_counted(spark, inbox, tmp_path, changed_conf):
+    """More batches than a query remembers."""
+    changed_conf(spark__sql__streaming__numRecentProgressUpdates="2")
+    inbox.put(message("z", second=1000))
+    for n in range(5):
+        inbox.put(message("late", second=n))
+    found, mark, late = runner.drain_closed(words.window_word_counts(inbox.stream(), lateness="0 seconds"),
+                                            f"{tmp_path}/q")
+    # A batch drops what is older than the watermark that the batch before it began with.
+    assert late == 4 and mark.startswith("2024-01-01T00:16:40") and found.count() == 0
