@@ -4,7 +4,8 @@ import pytest
 
 from frames import rows
 from pyspark.sql import types as T
-from tagloom.streaming import sinks
+from tagloom.streaming import events, sinks
+from tagloom.streaming.offsets import OffsetLedger
 from tagloom.streaming.runner import BatchKey
 from tagloom.streaming.sinks import BatchFolder, merging
 
@@ -99,3 +100,15 @@ def test_handlers_merge_now_and_then(spark, tmp_path):
     for n in range(9):
         handle(batch(spark, str(n)), BatchKey("q", n))
     assert sink._log.read()["upto"] == {"q": 6} and len(rows(sink.read())) == 9
+
+
+def test_a_merged_batch_is_still_measured(spark, tmp_path):
+    sink = BatchFolder(spark, f"{tmp_path}/e", events.EVENTS)
+    ledger = OffsetLedger(spark, f"{tmp_path}/l")
+    handle = events.recorded(events.append_handler(sink), ledger, partitions=[("t", 0, 0)])
+    rows_of = spark.createDataFrame([("bad", "t", 0, 4)], "value string, topic string, partition int, offset bigint")
+    for n in (0, 1):
+        handle(rows_of, BatchKey("q", n))
+    assert sink.merge() == 1
+    handle(rows_of, BatchKey("q", 0))
+    assert sink.read().count() == 2 and rows(ledger.read()) == [("t", 0, 5)]
