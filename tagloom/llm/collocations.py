@@ -222,10 +222,23 @@ def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ranks(counted: DataFrame, most: int) -> Ranks:
-    """Ids for the ``most`` most frequent of (key, f)."""
-    rows = counted.count()
-    keys = counted.orderBy(F.col("f").desc(), "key").limit(most).select("key").toPandas()["key"].to_numpy(np.int64)
-    return Ranks(keys.view(U64), rows <= most)
+    """Ids for the most frequent of (key, f), at most ``most`` of them.
+
+    Frequencies are first counted in steps of a 64th of a power of two, so
+    that only what gets an id comes to the driver.
+    """
+    step = F.floor(F.log2("f") * 64)
+    sizes = counted.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
+    so_far, least = 0, None
+    for row in sizes:
+        if so_far + row["n"] > most:
+            break
+        so_far, least = so_far + row["n"], row["step"]
+    if least is None:
+        return Ranks(np.zeros(0, U64), not sizes)
+    rows = counted.where(step >= least).select("key", "f").toPandas()
+    keys, f = rows["key"].to_numpy(np.int64).view(U64), rows["f"].to_numpy(np.int64)
+    return Ranks(keys[np.lexsort((keys, -f))], so_far == sum(row["n"] for row in sizes))
 
 
 def count_phrases(docs: DataFrame, min_count: int = 30) -> tuple[DataFrame, DataFrame]:
