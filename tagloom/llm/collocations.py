@@ -305,7 +305,15 @@ def collocations(docs: DataFrame, min_count: int = 30, top: int = 2000, covered:
     longest = longer.groupBy("lang", "phrase").agg(F.max("f").alias("f"))
     kept = best.join(longest, ["lang", "phrase"], "left").where(
         F.coalesce(F.col("f").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * covered, F.lit(True)))
-    kept = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+    kept = materialize(kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), "scores")
+    # Only scores that can be among the first meet by language: their counts, in steps, say down to which.
+    step = F.floor(F.log2(F.col("score") + 1) * 64)
+    steps = kept.groupBy("lang", step.alias("step")).agg(F.count("*").alias("rows"))
+    above = F.sum("rows").over(Window.partitionBy("lang").orderBy(F.desc("step")).rowsBetween(
+        Window.unboundedPreceding, -1))
+    least = steps.withColumn("above", above).where(F.coalesce("above", F.lit(0)) < top).groupBy("lang").agg(
+        F.min("step").alias("least"))
+    kept = kept.join(least, "lang").where(step >= F.col("least")).drop("least")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
