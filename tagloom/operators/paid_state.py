@@ -4,7 +4,8 @@ The state of a day holds, for every user, the sum, the number of distinct
 orders and the last payment day of everything up to that day.  The orders
 themselves are kept apart, in folders by number range.  A day's run reads one
 day of payments, the totals of the day before, and only those earlier orders
-whose numbers lie in the ranges of the day's own.
+whose numbers lie in the ranges of the day's own.  The payments are grouped and
+compared with the earlier orders once, and written down for what comes of them.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from ..commits import DayFolder
 from ..functions.days import Day, day_of, days_before, in_days, parse_day, until_day
 from ..functions.tagrows import tag_rows
+from ..session import delete_path, stored
 from ..settings import PAID_STATUSES, TAG_IDS
 
 #: Order numbers in one range; orders without a whole number are dealt into so many ranges by hash.
@@ -94,9 +96,10 @@ class PaidState:
         else:
             today = until_day(paid, self.day_column, day) | day_of(paid, self.day_column).isNull()
             before, folders = None, []
-        payments = _payments(paid.filter(today), self.day_column)
+        aside = self.days.stage()
+        payments = stored(_payments(paid.filter(today), self.day_column), f"{self.location}/{aside}/payments")
         if folders:
-            payments = self._mark_known(payments, folders)
+            payments = stored(self._mark_known(payments, folders), f"{self.location}/{aside}/marked")
             new = F.col("order_id").isNotNull() & F.col("known").isNull()
         else:
             new = F.col("order_id").isNotNull()
@@ -107,6 +110,7 @@ class PaidState:
         if len(folders) >= MERGE_AFTER:
             added, folders = added.unionByName(self._orders(added, folders)), []
         added.write.partitionBy("part").parquet(f"{self.location}/{orders_run}")
+        delete_path(self.spark, f"{self.location}/{aside}")
         self.days.commit(day, {TOTALS: f"{run}/{TOTALS}", ORDERS: [*folders, orders_run]})
         return self.totals(day)
 
@@ -124,11 +128,14 @@ class PaidState:
         """``payments`` with ``known`` where the user has paid for the order before.
 
         The bounds of the day's ranges are looked up first, so that the scan
-        of the kept orders is pruned to their folders.
+        of the kept orders is pruned to their folders.  Only kept orders that
+        are paid again meet the payments' other columns: where the day's keys
+        are small enough to be broadcast, the kept orders are not shuffled.
         """
         lowest, highest = payments.agg(F.min("part"), F.max("part")).first()
         kept = self._orders(payments, folders)
         kept = kept.filter(F.lit(False)) if lowest is None else kept.filter(F.col("part").between(lowest, highest))
         kept = kept.select(F.col("user_id").alias("_user"), F.col("order_id").alias("_order"), F.lit(True).alias("known"))
         same = F.col("user_id").eqNullSafe(F.col("_user")) & (F.col("order_id") == F.col("_order"))
-        return payments.join(kept, same, "left").drop("_user", "_order")
+        again = kept.join(payments.select("user_id", "order_id"), same, "left_semi")
+        return payments.join(again, same, "left").drop("_user", "_order")

@@ -12,7 +12,7 @@ from ..operators import backfill, cookie, paid, returns, rfm, sms
 from ..operators.coverage import CoveredDays
 from ..operators.paid_state import PaidState, paid_tags_of
 from ..operators.writer import PathTagTable, PublishedTagTable
-from ..session import STREAMING, scratch_dir, with_settings
+from ..session import STREAMING, scratch_dir, stored, with_settings
 from ..sources import sample
 from ..sources.kafka import after_ledger, union_streams
 from ..sources.replay import table, table_stream
@@ -195,9 +195,13 @@ STATE_DAYS = 4
 
 @query
 def paid_state_chain(spark: SparkSession, folder: str) -> DataFrame:
-    """Payments up to a day, then three days one by one, each on top of the day before."""
-    state = PaidState(spark, scratch_dir(spark, "paid_state"))
-    payments = sample.order_payments(spark, folder)
+    """Payments up to a day, then three days one by one, each on top of the day before.
+
+    The payments are derived by a join that no day filter can get past, so it runs once and not for each day.
+    """
+    out = scratch_dir(spark, "paid_state")
+    state = PaidState(spark, f"{out}/state")
+    payments = stored(sample.order_payments(spark, folder), f"{out}/payments")
     for n in reversed(range(STATE_DAYS)):
         day = days_before(sample.PAID_DAY, n)
         totals = state.run_day(payments, day, bootstrap=n == STATE_DAYS - 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Applied by build_session; a session handed in by a caller is left as it is.
 DEFAULTS = {
@@ -61,6 +61,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{folder.toString()}/data"
 
 
+def stored(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` written to a new path and read from there, for what is read more than once."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists in the file system of ``path``."""
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

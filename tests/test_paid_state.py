@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.days import days_before
 from tagloom.operators import paid, paid_state
 from tagloom.operators.paid_state import PaidState
+from tagloom.plans import registry
 
 SCHEMA = ("user_id bigint, order_id {}, order_total_amount decimal(18,2), pay_status int, pay_time string, "
           "result_pay_time string")
@@ -101,3 +102,44 @@ def test_a_day_reads_one_day_and_its_own_ranges(spark, tmp_path):
     assert kept and any("part#" in line.split("PartitionFilters")[1].split("]")[0] for line in kept)
     state.run_day(table, second)
     assert rows(state.totals(second), "user_id", "orders") == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_payments_are_made_once_for_all_that_comes_of_them(spark, tmp_path, monkeypatch):
+    """Totals, new orders and ranges of a day come from one pass over its payments, the days of the chain from one join."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(order):
+        made.add(1)
+        return order
+
+    last = registry.sample.PAID_DAY
+    data = [(u, o, Decimal(o), 1, *[str(days_before(last, (u + o) % 6))] * 2) for u in range(4) for o in range(30)]
+    table = spark.createDataFrame(data, SCHEMA.format("bigint"))
+    payments = table.withColumn("order_id", counted("order_id"))
+    state = PaidState(spark, f"{tmp_path}/state")
+    for n, day in enumerate((days_before(last, 1), last)):
+        made.value = 0
+        state.run_day(payments, day, bootstrap=n == 0)
+        assert made.value == sum(d[5] == str(day) if n else d[5] <= str(day) for d in data)
+        assert state.days.vacuum() == 0
+    made.value = 0
+    monkeypatch.setattr(registry.sample, "order_payments", lambda *_: payments)
+    assert tags(registry.paid_state_chain(spark, "")) == tags(paid.paid_tags(table, last))
+    assert made.value == len(data)
+
+
+def test_a_small_day_does_not_shuffle_the_kept_orders(spark, tmp_path, changed_conf):
+    changed_conf(spark__sql__autoBroadcastJoinThreshold="4000")
+    table, state = orders(spark), PaidState(spark, f"{tmp_path}/state")
+    state.run_day(table, FIRST + dt.timedelta(11), bootstrap=True)
+    spark.createDataFrame([(1, 5, 0), (None, 9, 0), (2, None, None)], "user_id bigint, order_id bigint, part bigint"
+                          ).coalesce(1).write.parquet(f"{tmp_path}/day")
+    day, folders = spark.read.parquet(f"{tmp_path}/day"), state.days.names(FIRST + dt.timedelta(11))["orders"]
+    marked = state._mark_known(day, folders)
+    joins = [line for line in marked._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join " in line]
+    assert any("BroadcastHashJoin" in line and "LeftSemi, BuildRight" in line for line in joins)
+    kept = {tuple(r) for r in state._orders(day, folders).select("user_id", "order_id").collect()}
+    assert rows(marked, "user_id", "order_id", "known") == sorted(
+        [(u, o, (u, o) in kept or None) for u, o in [(1, 5), (None, 9), (2, None)]],
+        key=lambda r: [(v is not None, v) for v in r])
