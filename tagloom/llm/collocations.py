@@ -22,12 +22,15 @@ from pyspark.sql import functions as F
 from tagloom.llm.tables import materialize
 from tagloom.llm.words import U64, hash_words, mix, slices
 
-#: Ids go to the most frequent symbols only, which bounds what is broadcast (12 bytes each); others count by hash.
+#: Ids go to the most frequent symbols only, which bounds what is broadcast (8 bytes each); others count by hash.
 MOST_WORDS, MOST_PAIRS = 1 << 20, 1 << 22
-#: Ids along a side of a tile; how full a tile has to be to get a dense array; dense arrays of a task (8 MB each).
+#: Ids along a side of a tile; how full a tile has to be to get a dense array; dense arrays of a counter (4 MB each).
 SIDE, FILLED, MOST_DENSE = 1 << 10, 1 / 8, 12
-#: Coordinates that a task collects before sorting them, and sorted ones that it keeps before handing them on.
-PENDING, KEPT = 1 << 21, 1 << 22
+#: Coordinates that a task collects before sorting them, and sorted ones that it keeps before handing them on; bytes of
+#: text that it takes at once.
+PENDING, KEPT, SLICE = 1 << 19, 1 << 22, 1 << 19
+#: Pairs after which a task hands all counts on, as they have 32 bits; rows of a batch that it hands on.
+MOST_ADDED, ROWS = 1 << 30, 1 << 16
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -41,39 +44,40 @@ def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Ranks:
-    """Ids of symbols by falling frequency, found by binary search over their sorted keys."""
+    """Ids of symbols by falling frequency, found by binary search over their sorted keys.
+
+    Only the keys are sent; they are sorted where one is first looked for.
+    """
 
     def __init__(self, keys: np.ndarray, complete: bool):
         self.keys, self.complete = keys, complete
-        self._order = np.argsort(keys).astype(np.int32)
-        self._sorted = keys[self._order]
+        self._sorted = None
+
+    def __reduce__(self):
+        return Ranks, (self.keys, self.complete)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The id of every key, or -1."""
         if not len(self.keys):
             return np.full(len(keys), -1, np.int64)
+        if self._sorted is None:
+            self._order = np.argsort(self.keys).astype(np.int32)
+            self._sorted = self.keys[self._order]
         at = np.minimum(np.searchsorted(self._sorted, keys), len(self._sorted) - 1)
         return np.where(self._sorted[at] == keys, self._order[at], -1).astype(np.int64)
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the sums of their counts."""
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool))
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
-
-
 class TileCounter:
     """Counts of pairs of ids: dense arrays for filled tiles, sorted coordinates for the others."""
 
     def __init__(self) -> None:
         self._dense: dict[int, np.ndarray] = {}
         self._pending: list[np.ndarray] = []
-        self._waiting = 0
-        self._keys, self._counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._waiting = self._added = 0
+        self._keys, self._counts = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self._added += len(a)
         if self._dense:
             tile = (a // SIDE) << 32 | b // SIDE
             rest = np.ones(len(a), bool)
@@ -91,31 +95,54 @@ class TileCounter:
         """Take in the waiting coordinates; tiles that have filled up become dense."""
         found = np.concatenate([np.zeros(0, np.int64), *self._pending])
         self._pending, self._waiting = [], 0
-        self._keys, self._counts = _summed(np.concatenate([self._keys, found]),
-                                           np.concatenate([self._counts, np.ones(len(found), np.int64)]))
-        tile = (self._keys >> 32) // SIDE << 32 | (self._keys & 0xFFFFFFFF) // SIDE
-        numbers, cells = np.unique(tile, return_counts=True)
-        for number in numbers[np.argsort(-cells)][:MOST_DENSE - len(self._dense)].tolist():
-            inside = tile == number
-            if inside.sum() < SIDE * SIDE * FILLED:
-                break
+        found.sort()
+        first = np.flatnonzero(np.diff(found, prepend=-1))
+        found, counts = found[first], np.diff(first, append=len(found))
+        at = np.searchsorted(self._keys, found)
+        old = np.zeros(len(found), bool)
+        inner = at < len(self._keys)
+        old[inner] = self._keys[at[inner]] == found[inner]
+        self._counts[at[old]] += counts[old]
+        self._counts = np.insert(self._counts, at[~old], counts[~old])
+        self._keys = np.insert(self._keys, at[~old], found[~old])
+        self._fill()
+
+    def _fill(self) -> None:
+        """Move the fullest tiles into dense arrays, as far as there are any left."""
+        free, least = MOST_DENSE - len(self._dense), SIDE * SIDE * FILLED
+        if free <= 0 or len(self._keys) < least:
+            return
+        cells = []
+        rows = np.searchsorted(self._keys, np.arange((int(self._keys[-1]) >> 32) // SIDE + 2) * SIDE << 32)
+        for row in np.flatnonzero(np.diff(rows) >= least).tolist():
+            n = np.bincount((self._keys[rows[row]:rows[row + 1]] & 0xFFFFFFFF) // SIDE)
+            cells += [(int(n[column]), row << 32 | column) for column in np.flatnonzero(n >= least).tolist()]
+        for _, number in sorted(cells, reverse=True)[:free]:
+            low, high = np.searchsorted(self._keys, np.array([number >> 32, (number >> 32) + 1]) * SIDE << 32)
+            inside = np.zeros(len(self._keys), bool)
+            inside[low:high] = (self._keys[low:high] & 0xFFFFFFFF) // SIDE == number & 0xFFFFFFFF
             moved = self._keys[inside]
             cell = (moved >> 32) % SIDE * SIDE + (moved & 0xFFFFFFFF) % SIDE
-            self._dense[number] = np.bincount(cell, self._counts[inside], SIDE * SIDE).astype(np.int64)
-            self._keys, self._counts, tile = self._keys[~inside], self._counts[~inside], tile[~inside]
+            self._dense[number] = np.bincount(cell, self._counts[inside], SIDE * SIDE).astype(np.int32)
+            self._keys, self._counts = self._keys[~inside], self._counts[~inside]
 
     @property
     def full(self) -> bool:
-        return len(self._keys) > KEPT
+        return len(self._keys) > KEPT or self._added >= MOST_ADDED
 
     def take(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(a, b, count) of everything counted; the counter starts over, with the same dense tiles."""
+        """(a, b, count) of everything counted, in parts; the counter starts over, with the same dense tiles."""
         self._sort()
-        yield self._keys >> 32, self._keys & 0xFFFFFFFF, self._counts
-        self._keys, self._counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._added = 0
+        for low in range(0, len(self._keys), ROWS):
+            keys = self._keys[low:low + ROWS]
+            yield keys >> 32, keys & 0xFFFFFFFF, self._counts[low:low + ROWS]
+        self._keys, self._counts = np.zeros(0, np.int64), np.zeros(0, np.int32)
         for number, cells in self._dense.items():
-            at = np.flatnonzero(cells)
-            yield (number >> 32) * SIDE + at // SIDE, (number & 0xFFFFFFFF) * SIDE + at % SIDE, cells[at]
+            counted = np.flatnonzero(cells)
+            for low in range(0, len(counted), ROWS):
+                at = counted[low:low + ROWS]
+                yield (number >> 32) * SIDE + at // SIDE, (number & 0xFFFFFFFF) * SIDE + at % SIDE, cells[at]
             cells[:] = 0
 
 
@@ -148,46 +175,47 @@ def _counts(level: int, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.Recor
                             "n": n.astype(np.int64)})
 
 
-def _count_rest(level: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+def _count_rest(level: int, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Pairs with a symbol that has no id, as coordinates of hashes."""
     _, first, n = np.unique(pair_keys(a, b), return_index=True, return_counts=True)
-    return _counts(level, a[first], b[first], n)
+    for low in range(0, len(n), ROWS):
+        at = first[low:low + ROWS]
+        yield _counts(level, a[at], b[at], n[low:low + ROWS])
 
 
 def _count_tiles(level: int, counter: TileCounter, left: Ranks, right: Ranks) -> Iterator[pa.RecordBatch]:
     for a, b, n in counter.take():
-        if len(n):
-            yield _counts(level, left.keys[a], right.keys[b], n)
+        yield _counts(level, left.keys[a], right.keys[b], n)
 
 
 def _pair_counter(ranks) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Counts of neighbouring words (level 2)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counter = ranks.value, TileCounter()
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             _, keys, _, _, joined = _symbols(batch)
             ids, at = words.find(keys), np.flatnonzero(joined)
             known = (ids[at] >= 0) & (ids[at + 1] >= 0)
             counter.add(ids[at[known]], ids[at[known] + 1])
             if not words.complete:
-                yield _count_rest(2, keys[at[~known]], keys[at[~known] + 1])
+                yield from _count_rest(2, keys[at[~known]], keys[at[~known] + 1])
             if counter.full:
                 yield from _count_tiles(2, counter, words, words)
         yield from _count_tiles(2, counter, words, words)
     return count
 
 
-def _phrase_counter(ranks) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _phrase_counter(ranks, pair_ranks) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Counts of a pair and the word after it (level 3) and of two neighbouring pairs (level 4)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = ranks.value
+        words, pairs = ranks.value, pair_ranks.value
         three, four = TileCounter(), TileCounter()
 
         def tiles() -> Iterator[pa.RecordBatch]:
             yield from _count_tiles(3, three, pairs, words)
             yield from _count_tiles(4, four, pairs, pairs)
 
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             _, keys, _, _, joined = _symbols(batch)
             ids, at = words.find(keys), np.flatnonzero(joined)
             if words.complete:
@@ -205,7 +233,7 @@ def _phrase_counter(ranks) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                 counter.add(pair[start[known]], ranked[start[known] + 2])
                 if not known.all():
                     rest = start[~known]
-                    yield _count_rest(level, both[rest], symbols[rest + 2])
+                    yield from _count_rest(level, both[rest], symbols[rest + 2])
             if three.full or four.full:
                 yield from tiles()
         yield from tiles()
@@ -225,7 +253,8 @@ def _ranks(counted: DataFrame, most: int) -> Ranks:
     """Ids for the most frequent of (key, f), at most ``most`` of them.
 
     Frequencies are first counted in steps of a 64th of a power of two, so
-    that only what gets an id comes to the driver.
+    that only what gets an id comes to the driver: its key alone, 8 bytes in
+    Arrow batches that Spark has sorted.
     """
     step = F.floor(F.log2("f") * 64)
     sizes = counted.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
@@ -236,9 +265,8 @@ def _ranks(counted: DataFrame, most: int) -> Ranks:
         so_far, least = so_far + row["n"], row["step"]
     if least is None:
         return Ranks(np.zeros(0, U64), not sizes)
-    rows = counted.where(step >= least).select("key", "f").toPandas()
-    keys, f = rows["key"].to_numpy(np.int64).view(U64), rows["f"].to_numpy(np.int64)
-    return Ranks(keys[np.lexsort((keys, -f))], so_far == sum(row["n"] for row in sizes))
+    keys = counted.where(step >= least).orderBy(F.desc("f"), "key").select("key").toArrow().column("key").to_numpy()
+    return Ranks(keys.view(U64), so_far == sum(row["n"] for row in sizes))
 
 
 def count_phrases(docs: DataFrame, min_count: int = 30) -> tuple[DataFrame, DataFrame]:
@@ -248,16 +276,16 @@ def count_phrases(docs: DataFrame, min_count: int = 30) -> tuple[DataFrame, Data
     every = materialize(texts.mapInArrow(_count_words, "key long, lang string, word string, n long")
                         .groupBy("key", "lang", "word").agg(F.sum("n").alias("f")), "phrases-1")
     words = every.where(F.col("f") >= min_count)
-    ranked = _ranks(words, MOST_WORDS)
+    ranked = context.broadcast(_ranks(words, MOST_WORDS))
 
     def frequent(counts: DataFrame, name: str) -> DataFrame:
         sums = counts.groupBy("level", "a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
         return materialize(sums, name)
 
-    pairs = frequent(texts.mapInArrow(_pair_counter(context.broadcast(ranked)), _PAIR), "phrases-2")
+    pairs = frequent(texts.mapInArrow(_pair_counter(ranked), _PAIR), "phrases-2")
     pairs = materialize(pairs.mapInArrow(_with_key, "level int, a long, b long, f long, key long"), "phrases-2-keys")
-    both = context.broadcast((ranked, _ranks(pairs, MOST_PAIRS)))
-    longer = frequent(texts.mapInArrow(_phrase_counter(both), _PAIR), "phrases-4")
+    ranked_pairs = context.broadcast(_ranks(pairs, MOST_PAIRS))
+    longer = frequent(texts.mapInArrow(_phrase_counter(ranked, ranked_pairs), _PAIR), "phrases-4")
 
     one = words.select("key", "lang", F.array("word").alias("words"), "f")
 

@@ -1,7 +1,9 @@
 """Phrase collocations against plain Python."""
 
+import pickle
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -92,6 +94,25 @@ def test_tiles(monkeypatch, side, dense):
     assert bool(counter._dense) == bool(dense) and len(counter._dense) <= dense
 
 
+def test_counts_are_handed_on_in_small_parts(monkeypatch):
+    """Dense tiles and coordinates alike, and after so many pairs as 32 bits surely hold."""
+    for name, value in (("SIDE", 8), ("MOST_DENSE", 2), ("PENDING", 100), ("ROWS", 7), ("MOST_ADDED", 1_000)):
+        monkeypatch.setattr(collocations, name, value)
+    rng = np.random.default_rng(4)
+    counter, expected, found = collocations.TileCounter(), Counter(), Counter()
+    for i in range(12):
+        a, b = (np.minimum(rng.zipf(1.5, 200), 40) for _ in range(2))
+        expected.update(zip(a.tolist(), b.tolist()))
+        counter.add(a, b)
+        assert counter.full == (i % 5 == 4)
+        if counter.full or i == 11:
+            parts = list(counter.take())
+            assert max(len(n) for _, _, n in parts) == 7 and not counter.full
+            for x, y, n in parts:
+                found += Counter(dict(zip(zip(x.tolist(), y.tolist()), n.tolist())))
+    assert found == expected and counter._dense
+
+
 def test_ranks():
     keys = np.array([5, 2**63 + 1, 7, 0], U64)
     ranks = collocations.Ranks(keys, True)
@@ -99,6 +120,26 @@ def test_ranks():
     assert collocations.Ranks(keys[:0], True).find(keys).tolist() == [-1] * 4
 
 
+@pytest.mark.parametrize("most, named", [(200_000, 200_000), (150_000, 100_000), (10, 0)])
+def test_ids_come_to_the_driver_as_bare_keys(spark, most, named):
+    """Half of the symbols are twice as frequent; what the driver holds and sends is 8 bytes for each id."""
+    counted = spark.range(0, 200_000, 1, 5).selectExpr("xxhash64(id) AS key", "30 * (1 + id % 2) AS f")
+    collocations._ranks(counted.limit(10), most)
+    tracemalloc.start()
+    try:
+        ranks = collocations._ranks(counted, most)
+        sent = pickle.dumps(ranks, 5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(sent) < 8 * named + 1_000 and peak < 40 * 200_000
+    f = {key % 2**64: n for key, n in counted.collect()}
+    keys = pickle.loads(sent).keys.tolist()
+    assert [f[k] for k in keys] == sorted(f.values(), reverse=True)[:named] and len(set(keys)) == named
+    assert ranks.complete == (named == 200_000)
+    assert pickle.loads(sent).find(np.array([*keys[-3:], 1], U64)).tolist() == [*range(named)[-3:], -1]
+
+
 def test_counts_past_64_bits(spark, monkeypatch):
     """2,000,000 times a and 100 times f do not fit 64 bits here."""
     big = 9 * 10**18
